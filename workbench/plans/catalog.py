@@ -85,3 +85,173 @@ def _crosstab(t: float) -> Query:
 
 register("score_crosstab_t4")(_crosstab(4.0))
 register("score_crosstab_t2")(_crosstab(2.0))
+
+
+# ---- sources: file round trips and line parsers ------------------------------------
+from workbench.operators import evaluate, recommend  # noqa: E402
+from workbench.session import scratch_path  # noqa: E402
+from workbench.sources import files, lines  # noqa: E402
+
+LINKAGE_SCHEMA = ("id_1 bigint, id_2 bigint, cmp_a double, cmp_b double, cmp_c int, "
+                  "cmp_d int, is_match boolean")
+
+
+def _cast_like(df: DataFrame, like: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields])
+
+
+@register("csv_roundtrip_infer")
+def csv_roundtrip_infer(spark, d):
+    src = V.linkage_like(spark, d)
+    path = files.write_csv(src, scratch_path(spark, "linkage-csv"), null_value="?")
+    back = files.read_csv(spark, path, header=True, null_value="?", infer=True)
+    return _cast_like(back, src)  # inference narrows bigint → int
+
+
+@register("csv_roundtrip_schema")
+def csv_roundtrip_schema(spark, d):
+    src = V.linkage_like(spark, d)
+    path = files.write_csv(src, scratch_path(spark, "linkage-csv"), null_value="?")
+    return files.read_csv(spark, path, header=True, null_value="?", schema=LINKAGE_SCHEMA)
+
+
+@register("csv_positional")
+def csv_positional(spark, d):
+    src = V.labelled(spark, d)
+    path = files.write_csv(src, scratch_path(spark, "labelled-csv"), header=False)
+    back = files.read_csv(spark, path, header=False, infer=True, names=V.LABELLED_COLS)
+    return back.withColumn("y", F.col("y").cast("double"))
+
+
+def play_lines(spark, d) -> DataFrame:
+    """The play table as ``user artist count`` text lines, written and read back."""
+    p = V.plays(spark, d)
+    txt = p.select(F.concat_ws(" ", "user", "artist", "count").alias("value"))
+    return files.read_lines(spark, files.write_lines(txt, "value", scratch_path(spark, "plays")))
+
+
+def item_lines(spark, d) -> DataFrame:
+    """Catalogue lines ``id<TAB>name`` with a rule-made share of malformed ones."""
+    p = V.table(spark, d, "part")
+    k, name, brand = F.col("p_partkey"), F.col("p_name"), F.col("p_brand")
+    tab = F.lit("\t")
+    v = (F.when(k % 7 == 0, F.concat(k.cast("string"), F.lit(" "), name))
+         .when(k % 7 == 1, F.concat(F.lit("x"), k.cast("string"), tab, name))
+         .when(k % 7 == 2, F.concat(k.cast("string"), tab))
+         .when(k % 7 == 3, F.concat(F.lit(" "), k.cast("string"), F.lit(" "), tab, name))
+         .when(k % 7 == 4, F.concat((k + 3000000000).cast("string"), tab, name))
+         .when(k % 7 == 5, F.concat(k.cast("string"), tab, name, tab, brand))
+         .otherwise(F.concat(k.cast("string"), tab, F.lit("  "), name, F.lit("  "))))
+    txt = p.select(v.alias("value"))
+    return files.read_lines(spark, files.write_lines(txt, "value", scratch_path(spark, "items")))
+
+
+def alias_lines(spark, d) -> DataFrame:
+    """Alias lines ``bad<TAB>good``, plus lines with an empty first field."""
+    p = V.table(spark, d, "part")
+    k = F.col("p_partkey")
+    v = (F.when(k % 10 == 9, F.concat(k.cast("string"), F.lit("\t"), (k - 9).cast("string")))
+         .when(k % 10 == 8, F.concat(F.lit("\t"), k.cast("string"))))
+    txt = p.select(v.alias("value")).where(F.col("value").isNotNull())
+    return files.read_lines(spark, files.write_lines(txt, "value", scratch_path(spark, "alias")))
+
+
+@register("parse_strict")
+def parse_strict(spark, d):
+    return lines.parse_fields_strict(play_lines(spark, d), ["user", "artist", "count"])
+
+
+@register("parse_lenient")
+def parse_lenient(spark, d):
+    return lines.parse_id_name_lenient(item_lines(spark, d))
+
+
+@register("parse_alias_lenient")
+def parse_alias_lenient(spark, d):
+    return lines.parse_pairs_lenient(alias_lines(spark, d))
+
+
+@register("xml_pages")
+def xml_pages(spark, d):
+    docs = V.table(spark, d, "documents").select(
+        F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("title"), "text")
+    path = files.write_xml_records(docs, scratch_path(spark, "dump-xml"), "page", "mediawiki")
+    return files.read_xml_records(spark, path, "page", "title string, text string")
+
+
+# ---- recommender: relational parts -------------------------------------------------
+@register("id_ranges")
+def id_ranges(spark, d):
+    return profile.column_ranges(V.plays(spark, d), ["user", "artist"])
+
+
+@register("alias_resolve")
+def alias_resolve(spark, d):
+    alias = lines.parse_pairs_lenient(alias_lines(spark, d))
+    return recommend.build_counts(play_lines(spark, d), alias)
+
+
+@register("item_lookup")
+def item_lookup(spark, d):
+    return V.items(spark, d).where(F.col("id").isin(10, 20))
+
+
+# Fixed value: the user whose history is looked up.
+SPOT_USER = 7
+
+
+@register("user_history")
+def user_history(spark, d):
+    return recommend.history(V.plays(spark, d), V.items(spark, d), [SPOT_USER])
+
+
+@register("hash_split")
+def hash_split(spark, d):
+    return evaluate.with_split(V.plays(spark, d), ["user", "artist"])
+
+
+def _split_plays(spark, d):
+    return evaluate.hash_split(V.plays(spark, d), ["user", "artist"])
+
+
+@register("popularity_predict")
+def popularity_predict(spark, d):
+    train, _ = _split_plays(spark, d)
+    return recommend.popularity_predictor(train)(V.plays(spark, d))
+
+
+@register("distinct_items")
+def distinct_items(spark, d):
+    return V.plays(spark, d).select("artist").distinct()
+
+
+@register("first_n_users")
+def first_n_users(spark, d):
+    return V.plays(spark, d).select("user").distinct().orderBy("user").limit(100)
+
+
+def _negatives(spark, d):
+    plays = V.plays(spark, d)
+    _, cv = _split_plays(spark, d)
+    return cv, evaluate.sample_negatives(cv, plays.select("artist"), seed=7)
+
+
+@register("negative_sample")
+def negative_sample(spark, d):
+    return _negatives(spark, d)[1]
+
+
+@register("auc_sampled")
+def auc_sampled(spark, d):
+    train, _ = _split_plays(spark, d)
+    cv, neg = _negatives(spark, d)
+    pred = recommend.popularity_predictor(train)
+    return rounded(evaluate.per_user_auc(pred(cv.select("user", "artist")),
+                                         pred(neg), "user"))
+
+
+@register("auc_mean")
+def auc_mean(spark, d):
+    train, _ = _split_plays(spark, d)
+    cv, neg = _negatives(spark, d)
+    return rounded(evaluate.mean_auc(cv, neg, recommend.popularity_predictor(train)))

@@ -17,7 +17,7 @@ VIEW_SQL = {
                l_returnflag = 'R' AS is_match
         FROM lineitem""",
     "plays": """
-        SELECT CAST(o_custkey AS INTEGER) AS "user", CAST(l_partkey AS INTEGER) AS item,
+        SELECT CAST(o_custkey AS INTEGER) AS "user", CAST(l_partkey AS INTEGER) AS artist,
                CAST(l_quantity AS INTEGER) AS "count"
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "items": """
@@ -120,7 +120,94 @@ def _build() -> dict[str, str]:
             f"FROM (SELECT coalesce(cmp_a,0) + coalesce(cmp_b,0) + coalesce(cmp_c,0) "
             f"+ coalesce(cmp_d,0) AS score, is_match FROM linkage_like) GROUP BY 1",
             "linkage_like")
+    _sources(q)
+    _recommend(q)
     return q
 
 
+def md5_u32(*parts: str) -> str:
+    return f"('0x' || substr(md5(concat_ws(':', {', '.join(parts)})), 1, 8))::BIGINT"
+
+
+def _sources(q: dict[str, str]) -> None:
+    q["csv_roundtrip_infer"] = with_views("SELECT * FROM linkage_like", "linkage_like")
+    q["csv_roundtrip_schema"] = q["csv_roundtrip_infer"]
+    q["csv_positional"] = with_views(
+        "SELECT * EXCLUDE (l_orderkey, l_linenumber) FROM labelled", "labelled")
+    q["parse_strict"] = with_views('SELECT "user", artist, "count" FROM plays', "plays")
+    q["parse_lenient"] = """
+        SELECT CAST(p_partkey AS INTEGER) AS id,
+               CASE p_partkey % 7 WHEN 2 THEN ''
+                                  WHEN 5 THEN p_name || chr(9) || p_brand
+                                  ELSE p_name END AS name
+        FROM part WHERE p_partkey % 7 IN (2, 5, 6)"""
+    q["parse_alias_lenient"] = with_views("SELECT artist, alias FROM alias_pairs", "alias_pairs")
+    q["xml_pages"] = "SELECT 'doc ' || doc_id AS title, text FROM documents"
+
+
+def _split_sql() -> str:
+    return (f"SELECT *, ({md5_u32('0', '\"user\"', 'artist')} % 10) < 9 AS is_train "
+            f"FROM plays")
+
+
+def _recommend(q: dict[str, str]) -> None:
+    q["id_ranges"] = with_views(
+        'SELECT min("user") AS min_user, max("user") AS max_user, '
+        'min(artist) AS min_artist, max(artist) AS max_artist FROM plays', "plays")
+    q["alias_resolve"] = with_views(
+        'SELECT p."user", coalesce(a.alias, p.artist) AS artist, p."count" '
+        'FROM plays p LEFT JOIN alias_pairs a ON p.artist = a.artist', "plays", "alias_pairs")
+    q["item_lookup"] = with_views("SELECT id, name FROM items WHERE id IN (10, 20)", "items")
+    q["user_history"] = with_views(
+        'SELECT id, name FROM items WHERE id IN (SELECT artist FROM plays WHERE "user" = 7)',
+        "plays", "items")
+    split = _split_sql()
+    q["hash_split"] = with_views(
+        f"SELECT \"user\", artist, \"count\", CASE WHEN is_train THEN 'train' ELSE 'test' END "
+        f"AS split FROM ({split})", "plays")
+    q["popularity_predict"] = with_views(
+        f"SELECT p.\"user\", p.artist, l.prediction FROM plays p LEFT JOIN "
+        f"(SELECT artist, CAST(sum(\"count\") AS BIGINT) AS prediction FROM ({split}) "
+        f"WHERE is_train GROUP BY artist) l ON p.artist = l.artist", "plays")
+    q["distinct_items"] = with_views("SELECT DISTINCT artist FROM plays", "plays")
+    q["first_n_users"] = with_views(
+        'SELECT DISTINCT "user" FROM plays ORDER BY "user" LIMIT 100', "plays")
+    negatives = f"""
+        split AS ({split}),
+        cv AS (SELECT * FROM split WHERE NOT is_train),
+        cat AS (SELECT artist, row_number() OVER (ORDER BY artist) - 1 AS idx
+                FROM (SELECT DISTINCT artist FROM plays)),
+        n AS (SELECT count(*) AS n FROM cat),
+        pos AS (SELECT DISTINCT "user", artist FROM cv),
+        targets AS (SELECT "user", count(*) AS target FROM pos GROUP BY "user"),
+        slots AS (SELECT "user", target, slot,
+                         {md5_u32('7', '"user"', 'slot')} % n AS idx
+                  FROM (SELECT t."user", t.target, n.n, unnest(range(1, n.n + 1)) AS slot
+                        FROM targets t CROSS JOIN n)),
+        draws AS (SELECT s."user", s.target, s.slot, c.artist FROM slots s JOIN cat c
+                  ON c.idx = s.idx),
+        hits AS (SELECT d.* FROM draws d ANTI JOIN pos p
+                 ON d."user" = p."user" AND d.artist = p.artist),
+        neg AS (SELECT "user", artist FROM (
+                  SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY slot) AS k
+                  FROM hits) WHERE k <= target)"""
+    q["negative_sample"] = with_views(
+        f"WITH {negatives.strip()} SELECT \"user\", artist FROM neg", "plays"
+    ).replace(")\nWITH ", "),\n", 1)
+    auc = f"""
+        {negatives.strip()},
+        pop AS (SELECT artist, sum("count") AS prediction FROM split WHERE is_train
+                GROUP BY artist),
+        pp AS (SELECT cv."user", pop.prediction AS p FROM cv LEFT JOIN pop USING (artist)),
+        np AS (SELECT neg."user", pop.prediction AS q FROM neg LEFT JOIN pop USING (artist)),
+        per_user AS (SELECT pp."user", count_if(pp.p > np.q) / count(*) AS auc
+                     FROM pp JOIN np ON pp."user" = np."user" GROUP BY pp."user")"""
+    q["auc_sampled"] = with_views(
+        f"WITH {auc.strip()} SELECT \"user\", {r6('auc')} AS auc FROM per_user", "plays"
+    ).replace(")\nWITH ", "),\n", 1)
+    q["auc_mean"] = with_views(
+        f"WITH {auc.strip()} SELECT {r6('avg(auc)')} AS mean_auc, count(*) AS users "
+        f"FROM per_user", "plays").replace(")\nWITH ", "),\n", 1)
+
+
 ORACLE = _build()

@@ -45,12 +45,12 @@ def linkage_like(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user, item, count) play counts: customers 'playing' parts by quantity."""
+    """(user, artist, count) play counts: customers 'playing' parts by quantity."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("o_custkey").cast("int").alias("user"),
-        F.col("l_partkey").cast("int").alias("item"),
+        F.col("l_partkey").cast("int").alias("artist"),
         F.col("l_quantity").cast("int").alias("count"),
     )
 
