@@ -255,3 +255,111 @@ def auc_mean(spark, d):
     train, _ = _split_plays(spark, d)
     cv, neg = _negatives(spark, d)
     return rounded(evaluate.mean_auc(cv, neg, recommend.popularity_predictor(train)))
+
+
+# ---- classification ---------------------------------------------------------------
+from workbench.operators import classify  # noqa: E402
+
+CLASSES = [1, 2, 3, 4, 5, 6, 7]
+ONE_HOT_GROUPS = {"flag": V.FLAG_COLS, "line": V.LINE_COLS}
+
+
+def _labelled_split(spark, d):
+    return evaluate.hash_split(V.labelled(spark, d, keyed=True), ["l_orderkey", "l_linenumber"])
+
+
+def rule_prediction(df: DataFrame) -> DataFrame:
+    """A fixed rule standing in for a model: it errs, and predicts a class (0) that no
+    label has."""
+    pred = (F.lit(1) + F.least(F.lit(6), F.floor(
+        (F.col("q") + 3 * (F.col("l_linenumber") % 3) - 3) / 8))).cast("double")
+    return df.withColumn("prediction", pred)
+
+
+@register("class_priors")
+def class_priors(spark, d):
+    train, _ = _labelled_split(spark, d)
+    return rounded(evaluate.class_priors(train, "y"))
+
+
+@register("prior_accuracy")
+def prior_accuracy(spark, d):
+    train, test = _labelled_split(spark, d)
+    return rounded(evaluate.prior_accuracy(train, test, "y"))
+
+
+@register("confusion_matrix")
+def confusion_matrix(spark, d):
+    p = rule_prediction(V.labelled(spark, d, keyed=True))
+    return evaluate.confusion_matrix(p, "y", "prediction", CLASSES)
+
+
+@register("accuracy_f1")
+def accuracy_f1(spark, d):
+    p = rule_prediction(V.labelled(spark, d, keyed=True))
+    return rounded(evaluate.accuracy_f1(p, "y", "prediction"))
+
+
+@register("undo_one_hot")
+def undo_one_hot(spark, d):
+    return classify.undo_one_hot(V.labelled(spark, d), ONE_HOT_GROUPS)
+
+
+def _train_test_features(spark, d):
+    train, test = _labelled_split(spark, d)
+    return train.drop("l_orderkey", "l_linenumber"), test
+
+
+@register("tree_predict")
+def tree_predict(spark, d):
+    train, test = _train_test_features(spark, d)
+    model = classify.fit_tree(train, "y", seed=42)
+    return classify.predictions(model, test, ["l_orderkey", "l_linenumber", "y"])
+
+
+@register("tree_importance")
+def tree_importance(spark, d):
+    train, _ = _train_test_features(spark, d)
+    cols = classify.feature_columns(train, "y")
+    return classify.importances(classify.fit_tree(train, "y", cols, seed=42), cols)
+
+
+@register("tree_eval")
+def tree_eval(spark, d):
+    """Accuracy and weighted F1 of the default tree on held-out rows."""
+    train, test = _train_test_features(spark, d)
+    model = classify.fit_tree(train, "y", seed=42)
+    return evaluate.accuracy_f1(model.transform(test), "y", "prediction")
+
+
+@register("tree_tuned")
+def tree_tuned(spark, d):
+    """The chosen tree (entropy, depth 20, 300 bins, no minimum gain) on held-out rows."""
+    train, test = _train_test_features(spark, d)
+    model = classify.fit_tree(train, "y", seed=42, impurity="entropy", maxDepth=20,
+                              maxBins=300, minInfoGain=0.0)
+    return evaluate.accuracy_f1(model.transform(test), "y", "prediction")
+
+
+@register("tree_categorical")
+def tree_categorical(spark, d):
+    train, test = _train_test_features(spark, d)
+    tr = classify.undo_one_hot(train, ONE_HOT_GROUPS)
+    te = classify.undo_one_hot(test, ONE_HOT_GROUPS)
+    model = classify.fit_categorical(tr, "y", model="tree", max_bins=50, seed=42)
+    return evaluate.accuracy_f1(model.transform(te), "y", "prediction")
+
+
+@register("forest_importance")
+def forest_importance(spark, d):
+    train, _ = _train_test_features(spark, d)
+    tr = classify.undo_one_hot(train, ONE_HOT_GROUPS)
+    model = classify.fit_categorical(tr, "y", model="forest", max_bins=50, seed=42)
+    return classify.importances(model, classify.feature_columns(tr, "y"))
+
+
+@register("tree_grid")
+def tree_grid(spark, d):
+    train, _ = _train_test_features(spark, d)
+    table, _best = classify.tree_grid_search(train.cache(), "y", seed=42)
+    return table

@@ -122,6 +122,7 @@ def _build() -> dict[str, str]:
             "linkage_like")
     _sources(q)
     _recommend(q)
+    _classify(q)
     return q
 
 
@@ -210,4 +211,43 @@ def _recommend(q: dict[str, str]) -> None:
         f"FROM per_user", "plays").replace(")\nWITH ", "),\n", 1)
 
 
+def _classify(q: dict[str, str]) -> None:
+    split = (f"SELECT *, ({md5_u32('0', 'l_orderkey', 'l_linenumber')} % 10) < 9 AS is_train "
+             f"FROM labelled")
+    q["class_priors"] = with_views(
+        f"SELECT y, count(*) AS count, {r6('count(*) / (SELECT count(*) FROM sp WHERE is_train)')}"
+        f" AS p FROM sp WHERE is_train GROUP BY y", "labelled").replace(
+        "\nSELECT", f",\nsp AS ({split})\nSELECT", 1)
+    q["prior_accuracy"] = with_views(
+        "SELECT " + r6("sum(a.p * b.p)") + " AS accuracy FROM "
+        "(SELECT y, count(*) / (SELECT count(*) FROM sp WHERE is_train) AS p FROM sp "
+        " WHERE is_train GROUP BY y) a JOIN "
+        "(SELECT y, count(*) / (SELECT count(*) FROM sp WHERE NOT is_train) AS p FROM sp "
+        " WHERE NOT is_train GROUP BY y) b ON a.y = b.y", "labelled").replace(
+        "\nSELECT", f",\nsp AS ({split})\nSELECT", 1)
+    rule = ("SELECT y, CAST(1 + least(6, floor((q + 3 * (l_linenumber % 3) - 3) / 8)) AS DOUBLE)"
+            " AS prediction FROM labelled")
+    cells = ", ".join(f'count_if(prediction = {c}) AS "{c}"' for c in range(1, 8))
+    q["confusion_matrix"] = with_views(
+        f"SELECT y, {cells} FROM ({rule}) GROUP BY y ORDER BY y", "labelled")
+    q["accuracy_f1"] = with_views(f"""
+        SELECT {r6('sum(tp) / sum(actual)')} AS accuracy,
+               {r6('sum(CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0 END'
+                   ' * actual) / sum(actual)')} AS weighted_f1
+        FROM (SELECT a.actual, coalesce(t.tp, 0) AS tp,
+                     CASE WHEN coalesce(pr.predicted, 0) > 0 THEN coalesce(t.tp, 0) / pr.predicted
+                          ELSE 0 END AS prec,
+                     coalesce(t.tp, 0) / a.actual AS rec
+              FROM (SELECT y AS c, count(*) AS actual FROM ({rule}) GROUP BY y) a
+              LEFT JOIN (SELECT y AS c, count(*) AS tp FROM ({rule}) WHERE y = prediction
+                         GROUP BY y) t ON a.c = t.c
+              LEFT JOIN (SELECT prediction AS c, count(*) AS predicted FROM ({rule})
+                         GROUP BY prediction) pr ON a.c = pr.c)""", "labelled")
+    q["undo_one_hot"] = with_views(
+        "SELECT q, e, d, t, y, "
+        "CAST(coalesce(list_position([Flag_0, Flag_1, Flag_2], 1), 0) - 1 AS DOUBLE) AS flag, "
+        "CAST(coalesce(list_position([Line_0, Line_1, Line_2, Line_3, Line_4, Line_5, Line_6], 1),"
+        " 0) - 1 AS DOUBLE) AS line FROM labelled", "labelled")
+
+
 ORACLE = _build()
