@@ -363,3 +363,183 @@ def tree_grid(spark, d):
     train, _ = _train_test_features(spark, d)
     table, _best = classify.tree_grid_search(train.cache(), "y", seed=42)
     return table
+
+
+# ---- clustering, anomalies, projection --------------------------------------------
+from pyspark.ml.feature import StandardScaler  # noqa: E402
+from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: E402
+
+from workbench.operators import cluster, project  # noqa: E402
+
+
+def _fixed_clusters(spark, d):
+    vec = V.vectors(spark, d)
+    centers = cluster.group_centers(vec, "label", "vec_id", "embedding")
+    return cluster.assign(vec, "embedding", centers)
+
+
+@register("nearest_center")
+def nearest_center(spark, d):
+    return rounded(_fixed_clusters(spark, d).select("vec_id", "cluster", "dist"))
+
+
+@register("mean_cost")
+def mean_cost(spark, d):
+    c = _fixed_clusters(spark, d)
+    return rounded(c.agg(F.sum("dist").alias("cost"), F.avg("dist").alias("mean_cost")))
+
+
+@register("label_by_cluster")
+def label_by_cluster(spark, d):
+    return cluster.label_by_cluster(_fixed_clusters(spark, d), "cluster", "label")
+
+
+@register("cluster_sizes")
+def cluster_sizes(spark, d):
+    return cluster.cluster_sizes(_fixed_clusters(spark, d))
+
+
+@register("cluster_entropy")
+def cluster_entropy(spark, d):
+    return rounded(cluster.cluster_entropy(_fixed_clusters(spark, d), "cluster", "label"))
+
+
+@register("anomalies_topk")
+def anomalies_topk(spark, d):
+    c = _fixed_clusters(spark, d)
+    return cluster.anomalies(c, "dist", 100, keep=["vec_id", "label"])
+
+
+def _standardized(spark, d, with_mean):
+    vec = V.vectors(spark, d).select("vec_id", array_to_vector("embedding").alias("v"))
+    model = StandardScaler(inputCol="v", outputCol="s", withStd=True,
+                           withMean=with_mean).fit(vec)
+    out = model.transform(vec).select(
+        "vec_id", F.posexplode(vector_to_array("s")).alias("dim", "value"))
+    return rounded(out)
+
+
+@register("standardize")
+def standardize(spark, d):
+    return _standardized(spark, d, False)
+
+
+@register("standardize_centered")
+def standardize_centered(spark, d):
+    return _standardized(spark, d, True)
+
+
+@register("one_hot")
+def one_hot(spark, d):
+    s = V.sessions(spark, d).select("l_orderkey", "l_linenumber", "priority")
+    from pyspark.ml import Pipeline
+    stages, vec = cluster.one_hot_stages("priority")
+    out = Pipeline(stages=stages).fit(s).transform(s)
+    arr = vector_to_array(vec)
+    return out.select("l_orderkey", "l_linenumber", "priority",
+                      F.col("priority_indexed").cast("int").alias("priority_index"),
+                      (F.array_position(arr, F.lit(1.0)) - 1).cast("int").alias("hot"))
+
+
+@register("constant_columns")
+def constant_columns(spark, d):
+    return profile.constant_columns(V.linkage_like(spark, d))
+
+
+@register("random_projection")
+def random_projection(spark, d):
+    vec = V.vectors(spark, d)
+    return rounded(project.random_projection(vec, "embedding", 64, 3, seed=42)
+                   .select("vec_id", "x1", "x2", "x3"))
+
+
+def _session_feats(spark, d):
+    return V.sessions(spark, d)
+
+
+@register("kmeans_sweep")
+def kmeans_sweep(spark, d):
+    """Mean cost per row, numeric columns, default iterations."""
+    return cluster.kmeans_sweep(_session_feats(spark, d), cluster.K_SWEEP_SMALL,
+                                numeric=V.SESSION_NUMERIC, seed=42)
+
+
+@register("kmeans_sweep_tight")
+def kmeans_sweep_tight(spark, d):
+    """40 iterations, tolerance 1e-5."""
+    return cluster.kmeans_sweep(_session_feats(spark, d), cluster.K_SWEEP_SMALL,
+                                numeric=V.SESSION_NUMERIC, max_iter=40, tol=1e-5, seed=42)
+
+
+@register("kmeans_scaled")
+def kmeans_scaled(spark, d):
+    return cluster.kmeans_sweep(_session_feats(spark, d), cluster.K_SWEEP_LARGE,
+                                numeric=V.SESSION_NUMERIC, scale=True, max_iter=40,
+                                tol=1e-5, seed=42)
+
+
+@register("kmeans_onehot")
+def kmeans_onehot(spark, d):
+    return cluster.kmeans_sweep(_session_feats(spark, d), cluster.K_SWEEP_LARGE,
+                                numeric=V.SESSION_NUMERIC,
+                                categorical=V.SESSION_CATEGORICAL, scale=True,
+                                max_iter=40, tol=1e-5, seed=42)
+
+
+@register("kmeans_entropy_sweep")
+def kmeans_entropy_sweep(spark, d):
+    return cluster.entropy_sweep(_session_feats(spark, d), cluster.K_SWEEP_LARGE,
+                                 numeric=V.SESSION_NUMERIC,
+                                 categorical=V.SESSION_CATEGORICAL, label="label", seed=42)
+
+
+@register("kmeans_labels_k180")
+def kmeans_labels_k180(spark, d):
+    """(cluster, label, count) of the k=180 one-hot + scaled clustering."""
+    s = _session_feats(spark, d)
+    model = cluster.fit_clusters(s, 180, numeric=V.SESSION_NUMERIC,
+                                 categorical=V.SESSION_CATEGORICAL, seed=42)
+    return cluster.label_by_cluster(model.transform(s), "cluster", "label")
+
+
+@register("anomalies_fitted")
+def anomalies_fitted(spark, d):
+    """Rows at or beyond the 100th largest distance to their k=180 centre, in the
+    original columns."""
+    s = _session_feats(spark, d)
+    model = cluster.fit_clusters(s, 180, numeric=V.SESSION_NUMERIC,
+                                 categorical=V.SESSION_CATEGORICAL, seed=42)
+    scored = cluster.distance_to_model_center(model.transform(s), model.stages[-1],
+                                              "scaledFeatureVector")
+    return cluster.anomalies(scored, "dist", 100, keep=s.columns)
+
+
+@register("kmeans_formula")
+def kmeans_formula(spark, d):
+    """k=100 on every numeric column by formula; predictions, then a 1% sample."""
+    s = _session_feats(spark, d).select(*V.SESSION_NUMERIC)
+    model = cluster.formula_kmeans(s, 100, max_iter=40, seed=42)
+    return (model.transform(s).select(*V.SESSION_NUMERIC, "prediction")
+            .sample(False, 0.01, seed=42))
+
+
+@register("kmeans_scaled_centered")
+def kmeans_scaled_centered(spark, d):
+    """Scaler with mean removal + k=100 (24 iterations, tol 1e-5): cluster sizes."""
+    s = _session_feats(spark, d)
+    model = cluster.fit_clusters(s, 100, numeric=V.SESSION_NUMERIC, with_mean=True,
+                                 max_iter=24, tol=1e-5, seed=42)
+    return cluster.cluster_sizes(model.transform(s))
+
+
+@register("pca_scores")
+def pca_scores(spark, d):
+    vec = V.vectors(spark, d).select("vec_id", array_to_vector("embedding").alias("v"))
+    scores, _ = project.pca_scores(vec, "v", 3, keep=["vec_id"])
+    return scores
+
+
+@register("pca_variance")
+def pca_variance(spark, d):
+    vec = V.vectors(spark, d).select("vec_id", array_to_vector("embedding").alias("v"))
+    return project.pca_scores(vec, "v", 3)[1]

@@ -123,6 +123,7 @@ def _build() -> dict[str, str]:
     _sources(q)
     _recommend(q)
     _classify(q)
+    _cluster(q)
     return q
 
 
@@ -250,4 +251,80 @@ def _classify(q: dict[str, str]) -> None:
         " 0) - 1 AS DOUBLE) AS line FROM labelled", "labelled")
 
 
+def _sqdist(a: str, b: str) -> str:
+    return (f"list_reduce(list_transform(list_zip({a}, {b}), "
+            f"lambda x: (x[1] - x[2]) * (x[1] - x[2])), lambda s, v: s + v)")
+
+
+def _dot(a: str, b: str) -> str:
+    return (f"list_reduce(list_transform(list_zip({a}, {b}), lambda x: x[1] * x[2]), "
+            f"lambda s, v: s + v)")
+
+
+def _cluster(q: dict[str, str]) -> None:
+    fixed = f"""WITH centers AS (
+            SELECT row_number() OVER (ORDER BY label) - 1 AS cluster,
+                   arg_min(embedding, vec_id)::DOUBLE[] AS c
+            FROM embeddings GROUP BY label),
+        dists AS (
+            SELECT e.vec_id, e.label, c.cluster, {_sqdist('e.embedding::DOUBLE[]', 'c.c')} AS dist
+            FROM embeddings e CROSS JOIN centers c),
+        best AS (
+            SELECT vec_id, label, arg_min(cluster, dist) AS cluster, min(dist) AS dist
+            FROM dists GROUP BY vec_id, label)
+        """
+    q["nearest_center"] = fixed + f"SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, {r6('dist')} AS dist FROM best"
+    q["mean_cost"] = fixed + f"SELECT {r6('sum(dist)')} AS cost, {r6('avg(dist)')} AS mean_cost FROM best"
+    q["label_by_cluster"] = fixed + ("SELECT CAST(cluster AS INTEGER) AS cluster, label, count(*) AS count "
+                                     "FROM best GROUP BY ALL ORDER BY cluster, label")
+    q["cluster_sizes"] = fixed + ("SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS count "
+                                  "FROM best GROUP BY ALL")
+    q["cluster_entropy"] = fixed + f"""
+        , counts AS (SELECT cluster, label, count(*) AS n FROM best GROUP BY ALL),
+          sizes AS (SELECT cluster, sum(n) AS n_c FROM counts GROUP BY cluster)
+        SELECT {r6('sum(-n * ln(n / n_c)) / sum(n)')} AS entropy, CAST(sum(n) AS BIGINT) AS rows
+        FROM counts JOIN sizes USING (cluster)"""
+    q["anomalies_topk"] = fixed + """
+        SELECT vec_id, label FROM best
+        WHERE dist >= (SELECT min(dist) FROM (SELECT dist FROM best ORDER BY dist DESC LIMIT 100))"""
+    long = """WITH long AS (
+            SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS dim,
+                   CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+        st AS (SELECT dim, avg(x) AS m, stddev_samp(x) AS sd FROM long GROUP BY dim)
+        """
+    q["standardize"] = long + (
+        f"SELECT vec_id, CAST(dim AS INTEGER) AS dim, "
+        f"{r6('CASE WHEN sd = 0 THEN 0.0 ELSE x / sd END')} AS value FROM long JOIN st USING (dim)")
+    q["standardize_centered"] = long + (
+        f"SELECT vec_id, CAST(dim AS INTEGER) AS dim, "
+        f"{r6('CASE WHEN sd = 0 THEN 0.0 ELSE (x - m) / sd END')} AS value "
+        f"FROM long JOIN st USING (dim)")
+    q["one_hot"] = with_views("""
+        SELECT l_orderkey, l_linenumber, priority, CAST(idx AS INTEGER) AS priority_index,
+               CAST(CASE WHEN idx < n_levels - 1 THEN idx ELSE -1 END AS INTEGER) AS hot
+        FROM sessions JOIN (
+            SELECT priority, row_number() OVER (ORDER BY count(*) DESC, priority) - 1 AS idx,
+                   count(*) OVER () AS n_levels
+            FROM sessions GROUP BY priority) USING (priority)""", "sessions")
+    cells = []
+    for c in LINKAGE_NUMERIC:
+        cells.append(
+            f"SELECT '{c}' AS field, CAST(CASE WHEN count({c}) = 0 THEN 1 "
+            f"WHEN count({c}) = count(*) AND min({c}) = max({c}) THEN 1 ELSE 2 END AS INTEGER) "
+            f"AS n_values FROM linkage_like")
+    cells.append("SELECT 'is_match' AS field, CAST(CASE WHEN count(is_match) = 0 THEN 1 "
+                 "WHEN count(is_match) = count(*) AND min(is_match) = max(is_match) THEN 1 "
+                 "ELSE 2 END AS INTEGER) AS n_values FROM linkage_like")
+    q["constant_columns"] = with_views(
+        f"SELECT field, n_values, n_values <= 1 AS constant FROM ({' UNION ALL '.join(cells)})",
+        "linkage_like")
+    from workbench.operators.project import projection_matrix
+    m = projection_matrix(64, 3, seed=42)
+    cols = []
+    for j in range(3):
+        lit = "[" + ", ".join(repr(float(v)) for v in m[:, j]) + "]::DOUBLE[]"
+        cols.append(f"{r6(_dot('embedding::DOUBLE[]', lit))} AS x{j + 1}")
+    q["random_projection"] = f"SELECT vec_id, {', '.join(cols)} FROM embeddings"
+
+
 ORACLE = _build()
