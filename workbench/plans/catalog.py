@@ -543,3 +543,70 @@ def pca_scores(spark, d):
 def pca_variance(spark, d):
     vec = V.vectors(spark, d).select("vec_id", array_to_vector("embedding").alias("v"))
     return project.pca_scores(vec, "v", 3)[1]
+
+
+# ---- text --------------------------------------------------------------------------
+from workbench.operators import text as X  # noqa: E402
+
+
+def stop_words(spark) -> DataFrame:
+    """The stop-word list as a one-word-per-line file, read back as a word table."""
+    words = spark.createDataFrame([(w,) for w in X.STOP_WORDS], "value string")
+    return files.read_word_set(spark, files.write_lines(words, "value",
+                                                        scratch_path(spark, "stopwords")))
+
+
+def _doc_terms(spark, d, lemmas=None):
+    docs = V.table(spark, d, "documents")
+    return X.doc_terms(docs, "doc_id", "text", stop_words=stop_words(spark), lemmas=lemmas)
+
+
+@register("page_text")
+def page_text(spark, d):
+    return X.page_text(V.table(spark, d, "pages"), "html", keep=["page_id"])
+
+
+@register("doc_terms")
+def doc_terms(spark, d):
+    t = _doc_terms(spark, d)
+    return t.select("doc_id", F.size("terms").alias("n_terms"),
+                    F.size(F.array_distinct("terms")).alias("n_distinct"))
+
+
+@register("lemma_terms")
+def lemma_terms(spark, d):
+    lemmas = spark.createDataFrame(X.LEMMAS, "form string, lemma string")
+    tf = X.term_freq(_doc_terms(spark, d, lemmas), "doc_id")
+    return tf.groupBy("term").agg(F.sum("tf").alias("total"))
+
+
+@register("term_freq")
+def term_freq(spark, d):
+    return X.term_freq(_doc_terms(spark, d), "doc_id")
+
+
+@register("vocabulary")
+def vocabulary(spark, d):
+    return X.vocabulary(X.term_freq(_doc_terms(spark, d), "doc_id"), 20000)
+
+
+@register("idf")
+def idf(spark, d):
+    tf = X.term_freq(_doc_terms(spark, d), "doc_id")
+    return rounded(X.idf(tf, "doc_id", X.vocabulary(tf, 20000)))
+
+
+@register("tfidf")
+def tfidf(spark, d):
+    tf = X.term_freq(_doc_terms(spark, d), "doc_id")
+    return rounded(X.tfidf(tf, "doc_id", X.idf(tf, "doc_id", X.vocabulary(tf, 20000))))
+
+
+@register("tfidf_vectors")
+def tfidf_vectors(spark, d):
+    """Spark ML vectors per document, reported as (doc_id, terms in vector, weight sum)."""
+    vecs, _vocab = X.tfidf_vectors(_doc_terms(spark, d), "doc_id", 20000)
+    arr = vector_to_array("tfidfVec")
+    return rounded(vecs.select(
+        "doc_id", F.size(F.filter(arr, lambda v: v != 0)).alias("nnz"),
+        F.aggregate(arr, F.lit(0.0), lambda a, v: a + v).alias("weight")))

@@ -124,6 +124,7 @@ def _build() -> dict[str, str]:
     _recommend(q)
     _classify(q)
     _cluster(q)
+    _text(q)
     return q
 
 
@@ -327,4 +328,59 @@ def _cluster(q: dict[str, str]) -> None:
     q["random_projection"] = f"SELECT vec_id, {', '.join(cols)} FROM embeddings"
 
 
+def _text(q: dict[str, str]) -> None:
+    from workbench.operators.text import LEMMAS, STOP_WORDS
+    stop = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
+    lemma_map = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in LEMMAS) + "}"
+
+    def terms(lemma: bool) -> str:
+        words = ("list_transform(list_filter(regexp_split_to_array(text, '[^\\p{L}]+'), "
+                 "lambda w: length(w) > 0), lambda w: lower(w))")
+        if lemma:
+            words = (f"list_transform({words}, lambda w: coalesce("
+                     f"map_extract_value({lemma_map}, w), w))")
+        return (f"SELECT doc_id, list_filter({words}, lambda w: length(w) >= 3 AND NOT "
+                f"list_contains({stop}, w)) AS terms FROM documents")
+
+    docs = f"WITH docs AS (SELECT * FROM ({terms(False)}) WHERE len(terms) >= 2)\n"
+    q["doc_terms"] = docs + ("SELECT doc_id, CAST(len(terms) AS INTEGER) AS n_terms, "
+                             "CAST(len(list_distinct(terms)) AS INTEGER) AS n_distinct FROM docs")
+    tf = docs + (", tf AS (SELECT doc_id, term, count(*) AS tf FROM "
+                 "(SELECT doc_id, unnest(terms) AS term FROM docs) GROUP BY ALL)\n")
+    q["term_freq"] = tf + "SELECT doc_id, term, tf FROM tf"
+    vocab = tf + (", vocab AS (SELECT row_number() OVER (ORDER BY count DESC, term) - 1 AS term_id, "
+                  "term, count FROM (SELECT term, CAST(sum(tf) AS BIGINT) AS count FROM tf "
+                  "GROUP BY term ORDER BY count DESC, term LIMIT 20000))\n")
+    q["vocabulary"] = vocab.replace("\n, ", ",\n") + "SELECT CAST(term_id AS INTEGER) AS term_id, term, count FROM vocab"
+    idf = vocab + (", idf AS (SELECT v.term_id, v.term, d.df, "
+                   "ln(((SELECT count(DISTINCT doc_id) FROM tf) + 1) / (d.df + 1)) AS idf "
+                   "FROM vocab v JOIN (SELECT term, count(*) AS df FROM tf GROUP BY term) d "
+                   "USING (term))\n")
+    q["idf"] = idf.replace("\n, ", ",\n") + f"SELECT CAST(term_id AS INTEGER) AS term_id, term, df, {r6('idf')} AS idf FROM idf"
+    q["tfidf"] = idf.replace("\n, ", ",\n") + (
+        f"SELECT tf.doc_id, CAST(idf.term_id AS INTEGER) AS term_id, tf.term, tf.tf, "
+        f"{r6('tf.tf * idf.idf')} AS tfidf FROM tf JOIN idf USING (term)")
+    q["doc_terms"] = q["doc_terms"]
+    q["term_freq"] = q["term_freq"].replace("\n, ", ",\n")
+    ldocs = f"WITH docs AS (SELECT * FROM ({terms(True)}) WHERE len(terms) >= 2)\n"
+    q["lemma_terms"] = ldocs + ("SELECT term, count(*) AS total FROM "
+                                "(SELECT unnest(terms) AS term FROM docs) GROUP BY term")
+    ent = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "),
+           ("&amp;", "&")]
+
+    def unesc(x: str) -> str:
+        for a, b in ent:
+            x = f"replace({x}, '{a}', '{b}')"
+        return x
+    title = unesc("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")
+    body = "html"
+    for pat in [r"(?is)<head[^>]*>.*?</head>", r"(?is)<script[^>]*>.*?</script>",
+                r"(?is)<style[^>]*>.*?</style>", r"(?s)<!--.*?-->", r"<[^>]*>"]:
+        body = f"regexp_replace({body}, '{pat}', ' ', 'g')"
+    content = f"trim(regexp_replace({unesc(body)}, '[ \\t\\n\\r\\f]+', ' ', 'g'))"
+    q["page_text"] = (f"SELECT page_id, trim(regexp_replace({title}, '[ \\t\\n\\r\\f]+', ' ', 'g')) "
+                      f"AS title, content FROM (SELECT page_id, html, {content} AS content FROM pages) "
+                      f"WHERE length(content) > 0")
+
+
 ORACLE = _build()
