@@ -45,7 +45,7 @@ def fit_als(train: DataFrame, *, rank: int = 10, reg: float = 0.01, alpha: float
     predict NaN (turned into null by the evaluators)."""
     als = (ALS(implicitPrefs=True, rank=rank, regParam=reg, alpha=alpha, maxIter=max_iter,
                seed=seed, userCol=user, itemCol=item, ratingCol=rating,
-               predictionCol="prediction", coldStartStrategy="nan"))
+               coldStartStrategy="nan").setPredictionCol("prediction"))
     if blocks:
         als = als.setNumBlocks(blocks)
     return als.fit(train)

@@ -610,3 +610,85 @@ def tfidf_vectors(spark, d):
     return rounded(vecs.select(
         "doc_id", F.size(F.filter(arr, lambda v: v != 0)).alias("nnz"),
         F.aggregate(arr, F.lit(0.0), lambda a, v: a + v).alias("weight")))
+
+
+# ---- recommender: factor model -----------------------------------------------------
+from concurrent.futures import ThreadPoolExecutor  # noqa: E402
+
+
+def _all_counts(spark, d):
+    """Play counts with misspelt item ids resolved (the training table)."""
+    alias = lines.parse_pairs_lenient(alias_lines(spark, d))
+    return recommend.resolve_aliases(V.plays(spark, d), alias, "artist")
+
+
+def _split_counts(spark, d):
+    return evaluate.hash_split(_all_counts(spark, d), ["user", "artist"])
+
+
+@register("als_factors")
+def als_factors(spark, d):
+    model = recommend.fit_als(_all_counts(spark, d), rank=10, reg=0.01, alpha=1.0,
+                              max_iter=5, seed=42)
+    return recommend.factors(model, "user")
+
+
+@register("als_topn_batch")
+def als_topn_batch(spark, d):
+    """Top 5 per user for every user, in one job, from the tuned model."""
+    model = recommend.fit_als(_all_counts(spark, d), rank=30, reg=4.0, alpha=1.0,
+                              max_iter=5, seed=42)
+    return recommend.top_n(model, 5)
+
+
+@register("als_topn_names")
+def als_topn_names(spark, d):
+    """Names of the top-5 items of the spot user (an inner join with the catalogue)."""
+    counts = _all_counts(spark, d)
+    model = recommend.fit_als(counts, rank=10, reg=0.01, alpha=1.0, max_iter=5, seed=42)
+    users = counts.where(F.col("user") == SPOT_USER).select("user").distinct()
+    top = recommend.top_n(model, 5, users)
+    return top.join(V.items(spark, d), top.artist == F.col("id")).select(
+        "user", "rank", "artist", "name", "prediction")
+
+
+def _als_auc(spark, d, train, cv, neg, rank, reg, alpha, max_iter):
+    model = recommend.fit_als(train, rank=rank, reg=reg, alpha=alpha, max_iter=max_iter,
+                              seed=42)
+    return evaluate.mean_auc(cv, neg, recommend.als_predictor(model)).first()["mean_auc"]
+
+
+@register("als_auc")
+def als_auc(spark, d):
+    """Mean per-user AUC of the factor model next to the popularity baseline, on the
+    same held-out plays and sampled negatives."""
+    counts = _all_counts(spark, d)
+    train, cv = evaluate.hash_split(counts, ["user", "artist"])
+    train = train.cache()
+    neg = evaluate.sample_negatives(cv, counts.select("artist"), seed=7).cache()
+    als = _als_auc(spark, d, train, cv, neg, 10, 0.01, 1.0, 5)
+    pop = evaluate.mean_auc(cv, neg, recommend.popularity_predictor(train)).first()["mean_auc"]
+    return spark.createDataFrame([("als", float(als)), ("popularity", float(pop))],
+                                 "predictor string, mean_auc double")
+
+
+# The factor-model grid.
+ALS_RANKS = [5, 30]
+ALS_REGS = [4.0, 0.0001]
+ALS_ALPHAS = [1.0, 40.0]
+
+
+@register("als_grid")
+def als_grid(spark, d):
+    """Mean AUC for rank × reg × alpha (8 fits, 20 iterations), best first."""
+    counts = _all_counts(spark, d)
+    train, cv = evaluate.hash_split(counts, ["user", "artist"])
+    train = train.cache()
+    cv = cv.cache()
+    neg = evaluate.sample_negatives(cv, counts.select("artist"), seed=7).cache()
+    grid = [(r, g, a) for r in ALS_RANKS for g in ALS_REGS for a in ALS_ALPHAS]
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        aucs = list(pool.map(lambda p: _als_auc(spark, d, train, cv, neg, *p, 20), grid))
+    rows = [(r, g, a, float(x)) for (r, g, a), x in zip(grid, aucs)]
+    return (spark.createDataFrame(rows, "rank int, reg double, alpha double, mean_auc double")
+            .orderBy(F.col("mean_auc").desc()))
