@@ -104,23 +104,32 @@ def _lemma_map(lemmas: Sequence[tuple[str, str]] | DataFrame | None) -> Column |
     return F.create_map(*[F.lit(x) for kv in pairs for x in kv])
 
 
+def _lemma_forms(lemmas) -> list[str]:
+    if isinstance(lemmas, DataFrame):
+        return [r[0] for r in lemmas.select(lemmas.columns[0]).distinct().collect()]
+    return [a for a, _ in lemmas]
+
+
 def terms_column(text: Column, stop_words: Sequence[str] | DataFrame = STOP_WORDS,
                  lemmas: Sequence[tuple[str, str]] | DataFrame | None = None,
                  min_len: int = 3, case_sensitive: bool = False) -> Column:
     """array<string> of a document's terms, in text order: words of letters only,
     lower-cased (before the stop-word test unless ``case_sensitive``), mapped to
     their lemma, at least ``min_len`` long, not a stop word."""
-    stop = F.array(*[F.lit(w) for w in _word_list(stop_words)])
+    stop = _word_list(stop_words)
     lemma_map = _lemma_map(lemmas)
     words = F.filter(F.split(text, NON_LETTERS), lambda w: F.length(w) > 0)
 
     def lemma(ws: Column) -> Column:
         if lemma_map is None:
             return ws
-        return F.transform(ws, lambda w: F.coalesce(F.try_element_at(lemma_map, w), w))
+        forms = _lemma_forms(lemmas)
+        # IN over a literal list is a hash-set probe; only hits pay for the map lookup
+        return F.transform(ws, lambda w: F.when(w.isin(*forms),
+                                                F.try_element_at(lemma_map, w)).otherwise(w))
 
     def keep(w: Column) -> Column:
-        return (F.length(w) >= min_len) & ~F.array_contains(stop, w)
+        return (F.length(w) >= min_len) & ~w.isin(*stop)
 
     if case_sensitive:
         return F.transform(F.filter(lemma(words), keep), lambda w: F.lower(w))
@@ -128,8 +137,12 @@ def terms_column(text: Column, stop_words: Sequence[str] | DataFrame = STOP_WORD
 
 
 def doc_terms(df: DataFrame, key: str, text: str, *, min_terms: int = 2, **kw) -> DataFrame:
-    """(key, terms) for documents with at least ``min_terms`` terms."""
-    return (df.select(key, terms_column(F.col(text), **kw).alias("terms"))
+    """(key, terms) for documents with at least ``min_terms`` terms.
+
+    The terms come out of a one-row generator so the size filter cannot be pushed
+    below it (which would tokenise every document twice)."""
+    once = F.inline(F.array(F.struct(terms_column(F.col(text), **kw).alias("terms"))))
+    return (df.select(key, once)
             .where(F.size("terms") >= min_terms))
 
 

@@ -585,6 +585,12 @@ def term_freq(spark, d):
     return X.term_freq(_doc_terms(spark, d), "doc_id")
 
 
+def _term_table(spark, d):
+    """Term counts read by several consumers (vocabulary, document frequency, weights):
+    written once to the shared folder instead of re-tokenising per consumer."""
+    return X.term_freq(_doc_terms(spark, d), "doc_id").checkpoint(eager=True)
+
+
 @register("vocabulary")
 def vocabulary(spark, d):
     return X.vocabulary(X.term_freq(_doc_terms(spark, d), "doc_id"), 20000)
@@ -592,13 +598,13 @@ def vocabulary(spark, d):
 
 @register("idf")
 def idf(spark, d):
-    tf = X.term_freq(_doc_terms(spark, d), "doc_id")
+    tf = _term_table(spark, d)
     return rounded(X.idf(tf, "doc_id", X.vocabulary(tf, 20000)))
 
 
 @register("tfidf")
 def tfidf(spark, d):
-    tf = X.term_freq(_doc_terms(spark, d), "doc_id")
+    tf = _term_table(spark, d)
     return rounded(X.tfidf(tf, "doc_id", X.idf(tf, "doc_id", X.vocabulary(tf, 20000))))
 
 
