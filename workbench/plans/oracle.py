@@ -115,8 +115,8 @@ def _build() -> dict[str, str]:
     for name, thr in (("score_crosstab_t4", 4.0), ("score_crosstab_t2", 2.0)):
         q[name] = with_views(
             f"SELECT score >= {thr} AS above, "
-            f"NULLIF(count_if(is_match = true), 0) AS \"true\", "
-            f"NULLIF(count_if(is_match = false), 0) AS \"false\" "
+            f"CAST(NULLIF(count_if(is_match = true), 0) AS BIGINT) AS \"true\", "
+            f"CAST(NULLIF(count_if(is_match = false), 0) AS BIGINT) AS \"false\" "
             f"FROM (SELECT coalesce(cmp_a,0) + coalesce(cmp_b,0) + coalesce(cmp_c,0) "
             f"+ coalesce(cmp_d,0) AS score, is_match FROM linkage_like) GROUP BY 1",
             "linkage_like")
@@ -229,7 +229,7 @@ def _classify(q: dict[str, str]) -> None:
         "\nSELECT", f",\nsp AS ({split})\nSELECT", 1)
     rule = ("SELECT y, CAST(1 + least(6, floor((q + 3 * (l_linenumber % 3) - 3) / 8)) AS DOUBLE)"
             " AS prediction FROM labelled")
-    cells = ", ".join(f'count_if(prediction = {c}) AS "{c}"' for c in range(1, 8))
+    cells = ", ".join(f'CAST(count_if(prediction = {c}) AS BIGINT) AS "{c}"' for c in range(1, 8))
     q["confusion_matrix"] = with_views(
         f"SELECT y, {cells} FROM ({rule}) GROUP BY y ORDER BY y", "labelled")
     q["accuracy_f1"] = with_views(f"""
