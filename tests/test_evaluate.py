@@ -136,3 +136,13 @@ def test_hash_split_is_stable_and_roughly_ninety(spark):
     n = train.count()
     assert 4300 < n < 4700 and n + test.count() == 5000
     assert n == evaluate.hash_split(df.repartition(7), ["k"])[0].count()
+
+
+def test_confusion_row_sums_are_class_counts(spark):
+    rnd = random.Random(2)
+    rows = [(float(rnd.randint(1, 7)), float(rnd.randint(1, 7))) for _ in range(500)]
+    df = spark.createDataFrame(rows, "y double, prediction double")
+    cm = evaluate.confusion_matrix(df, "y", "prediction", list(range(1, 8))).collect()
+    counts = {r.y: r["count"] for r in evaluate.class_priors(df, "y").collect()}
+    for r in cm:
+        assert sum(r[str(c)] for c in range(1, 8)) == counts[r.y]

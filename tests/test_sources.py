@@ -82,3 +82,13 @@ def test_word_set(spark):
     words = _lines(spark, ["the", " and ", "", "the"])
     path = files.write_lines(words, "value", scratch_path(spark, "t-words"))
     assert sorted(r.word for r in files.read_word_set(spark, path).collect()) == ["and", "the"]
+
+
+def test_typed_view(spark):
+    from workbench.sources.schema import typed_view
+    df = spark.createDataFrame([(1, 2.0, "x")], "a int, b double, c string")
+    assert typed_view(df, "b double, a int").columns == ["b", "a"]
+    with pytest.raises(TypeError):
+        typed_view(df, "a bigint")
+    with pytest.raises(TypeError):
+        typed_view(df, "z int")

@@ -73,6 +73,16 @@ def top_n(model: ALSModel, n: int, users: DataFrame | None = None, *,
                     F.col("r.rating").cast("double").alias("prediction")))
 
 
+def recommend_for_user(model: ALSModel, user_id: int, n: int, *, user: str = "user",
+                       item: str = "artist") -> DataFrame:
+    """Top ``n`` (item, prediction) for one user: every item paired with the user as a
+    constant column, scored by the model, then a bounded top-n (ties by item id)."""
+    candidates = model.itemFactors.select(F.col("id").alias(item)).withColumn(
+        user, F.lit(user_id))
+    return (model.transform(candidates).select(item, "prediction")
+            .orderBy(F.col("prediction").desc(), F.col(item)).limit(n))
+
+
 def popularity_predictor(train: DataFrame, *, user: str = "user", item: str = "artist",
                          count: str = "count") -> Predictor:
     """Score = total plays of the item in ``train`` (null for unseen items); the

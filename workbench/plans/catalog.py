@@ -90,7 +90,7 @@ register("score_crosstab_t2")(_crosstab(2.0))
 # ---- sources: file round trips and line parsers ------------------------------------
 from workbench.operators import evaluate, recommend  # noqa: E402
 from workbench.session import scratch_path  # noqa: E402
-from workbench.sources import files, lines  # noqa: E402
+from workbench.sources import files, lines, schema  # noqa: E402
 
 LINKAGE_SCHEMA = ("id_1 bigint, id_2 bigint, cmp_a double, cmp_b double, cmp_c int, "
                   "cmp_d int, is_match boolean")
@@ -112,7 +112,8 @@ def csv_roundtrip_infer(spark, d):
 def csv_roundtrip_schema(spark, d):
     src = V.linkage_like(spark, d)
     path = files.write_csv(src, scratch_path(spark, "linkage-csv"), null_value="?")
-    return files.read_csv(spark, path, header=True, null_value="?", schema=LINKAGE_SCHEMA)
+    back = files.read_csv(spark, path, header=True, null_value="?", schema=LINKAGE_SCHEMA)
+    return schema.typed_view(back, LINKAGE_SCHEMA)
 
 
 @register("csv_positional")
@@ -658,6 +659,14 @@ def als_topn_names(spark, d):
         "user", "rank", "artist", "name", "prediction")
 
 
+@register("als_topn_user")
+def als_topn_user(spark, d):
+    """Top 5 of the spot user by scoring every item for that one user."""
+    model = recommend.fit_als(_all_counts(spark, d), rank=10, reg=0.01, alpha=1.0,
+                              max_iter=5, seed=42)
+    return recommend.recommend_for_user(model, SPOT_USER, 5)
+
+
 def _als_auc(spark, d, train, cv, neg, rank, reg, alpha, max_iter):
     model = recommend.fit_als(train, rank=rank, reg=reg, alpha=alpha, max_iter=max_iter,
                               seed=42)
