@@ -18,6 +18,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from workbench.functions.partitions import maybe_repartition
 from workbench.functions.vectors import first_hot_index
 
 
@@ -54,10 +55,11 @@ def forest(label: str, features: str = "featureVector", seed: int = 42, **params
 
 
 def fit_tree(df: DataFrame, label: str, features: Sequence[str] | None = None, *,
-             seed: int = 42, **params) -> PipelineModel:
-    """assemble → decision tree."""
+             seed: int = 42, partitions: int | None = None, **params) -> PipelineModel:
+    """assemble → decision tree (``partitions``: optional repartition of the input)."""
     cols = list(features) if features else feature_columns(df, label)
-    return Pipeline(stages=[assembler(cols), tree(label, seed=seed, **params)]).fit(df)
+    return Pipeline(stages=[assembler(cols), tree(label, seed=seed, **params)]).fit(
+        maybe_repartition(df, partitions))
 
 
 def check_bins(df: DataFrame, cols: Sequence[str], max_categories: int, max_bins: int) -> None:
@@ -80,14 +82,15 @@ def categorical_stages(cols: Sequence[str], max_categories: int = 40
 
 def fit_categorical(df: DataFrame, label: str, *, model: str = "tree",
                     max_categories: int = 40, max_bins: int = 50, seed: int = 42,
-                    **params) -> PipelineModel:
+                    partitions: int | None = None, **params) -> PipelineModel:
     """assemble → index slots with ≤ max_categories values as categories → tree or
     forest on the indexed vector."""
     cols = feature_columns(df, label)
     check_bins(df, cols, max_categories, max_bins)
     make = tree if model == "tree" else forest
     est = make(label, "indexedVector", seed=seed, maxBins=max_bins, **params)
-    return Pipeline(stages=[*categorical_stages(cols, max_categories), est]).fit(df)
+    return Pipeline(stages=[*categorical_stages(cols, max_categories), est]).fit(
+        maybe_repartition(df, partitions))
 
 
 def importances(model: PipelineModel, names: Sequence[str]) -> DataFrame:
@@ -120,7 +123,8 @@ GRID_MIN_GAIN = [0.0, 0.05]
 
 
 def tree_grid_search(df: DataFrame, label: str, *, train_ratio: float = 0.9,
-                     seed: int = 42, parallelism: int = 4) -> tuple[DataFrame, object]:
+                     seed: int = 42, parallelism: int = 4,
+                     partitions: int | None = None) -> tuple[DataFrame, object]:
     """Train/validation search over impurity × depth × bins × min-gain (16 fits, run
     ``parallelism`` at a time). Returns (metrics table sorted best first, best model)."""
     cols = feature_columns(df, label)
@@ -135,7 +139,7 @@ def tree_grid_search(df: DataFrame, label: str, *, train_ratio: float = 0.9,
     tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid,
                                evaluator=evaluator(label), trainRatio=train_ratio,
                                seed=seed, parallelism=parallelism)
-    fitted = tvs.fit(df)
+    fitted = tvs.fit(maybe_repartition(df, partitions))
     rows = []
     for pm, metric in zip(grid, fitted.validationMetrics):
         p = {k.name: v for k, v in pm.items()}

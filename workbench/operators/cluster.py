@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from workbench.functions.joins import is_small
+from workbench.functions.partitions import cache_spread
 from workbench.functions.vectors import as_double_array, nearest, sqdist
 
 # The k ranges swept by the cost and entropy studies.
@@ -61,16 +62,21 @@ def kmeans(k: int, features: str, *, max_iter: int = 20, tol: float = 1e-4,
 def fit_clusters(df: DataFrame, k: int, *, numeric: Sequence[str],
                  categorical: Sequence[str] = (), scale: bool = True, with_mean: bool = False,
                  max_iter: int = 40, tol: float = 1e-5, seed: int = 42) -> PipelineModel:
-    """one-hot → assemble → scale → k-means, as one fitted pipeline."""
+    """one-hot → assemble → scale → k-means, as one fitted pipeline. The input is
+    spread over the task slots and cached for the fit (read once per iteration)."""
     stages, feats = feature_stages(numeric, categorical, scale=scale, with_mean=with_mean)
-    return Pipeline(stages=[*stages, kmeans(k, feats, max_iter=max_iter, tol=tol,
-                                            seed=seed)]).fit(df)
+    data = cache_spread(df)
+    try:
+        return Pipeline(stages=[*stages, kmeans(k, feats, max_iter=max_iter, tol=tol,
+                                                seed=seed)]).fit(data)
+    finally:
+        data.unpersist()
 
 
 def _prepared(df: DataFrame, numeric, categorical, scale, with_mean, keep=()):
     stages, feats = feature_stages(numeric, categorical, scale=scale, with_mean=with_mean)
     prep = Pipeline(stages=stages).fit(df)
-    return prep.transform(df).select(*keep, feats), feats
+    return cache_spread(prep.transform(df).select(*keep, feats)), feats
 
 
 def _fit_many(data: DataFrame, ks: Sequence[int], make, parallelism: int):
@@ -85,7 +91,6 @@ def kmeans_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
     """(k, cost, mean_cost) for each k: cost = Σ squared distance to the nearest
     centre (the model's training cost), mean_cost = cost / rows."""
     data, feats = _prepared(df, numeric, categorical, scale, with_mean)
-    data = data.cache()
     try:
         n = data.count()
         fits = _fit_many(data, ks, lambda k: kmeans(k, feats, max_iter=max_iter, tol=tol,
@@ -126,7 +131,6 @@ def entropy_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
                   seed: int = 42, parallelism: int = 4) -> DataFrame:
     """(k, entropy): size-weighted label entropy of the clustering at each k."""
     data, feats = _prepared(df, numeric, categorical, scale, False, keep=[label])
-    data = data.cache()
     try:
         fits = _fit_many(data, ks, lambda k: kmeans(k, feats, max_iter=max_iter, tol=tol,
                                                      seed=seed), parallelism)
