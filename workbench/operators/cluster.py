@@ -143,10 +143,11 @@ def entropy_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
 
 # ---- fixed centres and anomalies ---------------------------------------------------
 def group_centers(df: DataFrame, group: str, order: str, features: str,
-                  max_groups: int = 10_000) -> list[list[float]]:
+                  max_groups: int = 1_000) -> list[list[float]]:
     """One centre per group value: the features of the group's first row by ``order``,
-    groups in ascending order. The centres come to the driver, so their number is
-    checked first."""
+    groups in ascending order. The centres come to the driver and become literals of
+    the assignment expression, so their number is checked first (for many centres,
+    fit or load a ``KMeansModel`` and use its own transform)."""
     firsts = df.groupBy(group).agg(F.min_by(as_double_array(features), F.col(order)).alias("c"))
     if not is_small(firsts, max_groups):
         raise ValueError(f"more than {max_groups} groups: too many centres")

@@ -69,6 +69,16 @@ def feature_delta_ranking(spark, d):
                                           exclude=["id_1", "id_2"]))
 
 
+@register("feature_delta_ranking_sql")
+def feature_delta_ranking_sql(spark, d):
+    """The same ranking the long way: filter each side, describe it, transpose it, and
+    join the two transposed summaries in SQL over temp views."""
+    df = V.linkage_like(spark, d)
+    match_t = profile.transpose_summary(profile.summary(df.where("is_match = true")))
+    miss_t = profile.transpose_summary(profile.summary(df.filter(F.col("is_match") == False)))  # noqa: E712
+    return rounded(profile.compare_summaries(match_t, miss_t, exclude=["id_1", "id_2"]))
+
+
 @register("pair_score")
 def pair_score(spark, d):
     return rounded(linkage.additive_score(V.linkage_like(spark, d), LINKAGE_SCORE_COLS,

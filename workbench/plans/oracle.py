@@ -108,6 +108,7 @@ def _build() -> dict[str, str]:
         f"FROM ({a}) a JOIN ({b}) b ON a.field = b.field "
         f"WHERE a.field NOT IN ('id_1', 'id_2') ORDER BY delta DESC, total DESC",
         "linkage_like")
+    q["feature_delta_ranking_sql"] = q["feature_delta_ranking"]
     q["pair_score"] = with_views(
         f"SELECT id_1, id_2, is_match, "
         f"{r6('coalesce(cmp_a,0) + coalesce(cmp_b,0) + coalesce(cmp_c,0) + coalesce(cmp_d,0)')}"
