@@ -136,6 +136,38 @@ def terms_column(text: Column, stop_words: Sequence[str] | DataFrame = STOP_WORD
     return F.filter(lemma(F.transform(words, lambda w: F.lower(w))), keep)
 
 
+def python_terms_annotator(stop_words: Sequence[str] = STOP_WORDS, min_len: int = 3):
+    """A per-partition annotator in Python with the same rules as ``terms_column``:
+    build it once per partition (as one would a tagger or lemmatiser model)."""
+    import regex
+    splitter = regex.compile(r"[^\p{L}]+")
+    stop = frozenset(stop_words)
+
+    def annotate(text: str | None) -> list[str]:
+        if text is None:
+            return []
+        words = (w.lower() for w in splitter.split(text) if w)
+        return [w for w in words if len(w) >= min_len and w not in stop]
+    return annotate
+
+
+def doc_terms_in_pandas(df: DataFrame, key: str, text: str, make_annotator=python_terms_annotator,
+                        *, min_terms: int = 2) -> DataFrame:
+    """(key, terms) computed by a Python annotator inside ``mapInPandas``: the hook for
+    an annotator that column functions cannot express (a tagger, a lemmatiser model).
+    ``make_annotator()`` runs once per partition; documents stream through in Arrow
+    batches, and no document leaves its partition."""
+    key_type = df.schema[key].dataType.simpleString()
+
+    def run(batches):
+        annotate = make_annotator()
+        for pdf in batches:
+            terms = pdf[text].map(annotate)
+            keep = terms.map(len) >= min_terms
+            yield pdf.loc[keep, [key]].assign(terms=terms[keep].values)
+    return df.select(key, text).mapInPandas(run, f"{key} {key_type}, terms array<string>")
+
+
 def doc_terms(df: DataFrame, key: str, text: str, *, min_terms: int = 2, **kw) -> DataFrame:
     """(key, terms) for documents with at least ``min_terms`` terms.
 

@@ -328,6 +328,15 @@ def tree_predict(spark, d):
     return classify.predictions(model, test, ["l_orderkey", "l_linenumber", "y"])
 
 
+@register("tree_text")
+def tree_text(spark, d):
+    """The fitted tree printed as text, one row per line."""
+    train, _ = _train_test_features(spark, d)
+    model = classify.fit_tree(train, "y", seed=42)
+    lines_ = model.stages[-1].toDebugString.splitlines()
+    return spark.createDataFrame(list(enumerate(lines_)), "line_no int, line string")
+
+
 @register("tree_importance")
 def tree_importance(spark, d):
     train, _ = _train_test_features(spark, d)
@@ -468,6 +477,27 @@ def _session_feats(spark, d):
     return V.sessions(spark, d)
 
 
+@register("kmeans_centers")
+def kmeans_centers(spark, d):
+    """Default k-means (k = 2) on the numeric columns: its centres."""
+    s = _session_feats(spark, d)
+    model = cluster.fit_clusters(s, 2, numeric=V.SESSION_NUMERIC, scale=False,
+                                 max_iter=20, tol=1e-4, seed=42)
+    centers = [(i, [float(x) for x in c]) for i, c in
+               enumerate(model.stages[-1].clusterCenters())]
+    return spark.createDataFrame(centers, "cluster int, center array<double>")
+
+
+@register("kmeans_default_labels")
+def kmeans_default_labels(spark, d):
+    """(cluster, label, count) of the default k = 2 model, by cluster then count desc."""
+    s = _session_feats(spark, d)
+    model = cluster.fit_clusters(s, 2, numeric=V.SESSION_NUMERIC, scale=False,
+                                 max_iter=20, tol=1e-4, seed=42)
+    return (model.transform(s).groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("count"))
+            .orderBy("cluster", F.col("count").desc()))
+
+
 @register("kmeans_sweep")
 def kmeans_sweep(spark, d):
     """Mean cost per row, numeric columns, default iterations."""
@@ -584,6 +614,14 @@ def doc_terms(spark, d):
                     F.size(F.array_distinct("terms")).alias("n_distinct"))
 
 
+@register("doc_terms_pandas")
+def doc_terms_pandas(spark, d):
+    """``doc_terms`` through a per-partition Python annotator (mapInPandas)."""
+    t = X.doc_terms_in_pandas(V.table(spark, d, "documents"), "doc_id", "text")
+    return t.select("doc_id", F.size("terms").alias("n_terms"),
+                    F.size(F.array_distinct("terms")).alias("n_distinct"))
+
+
 @register("lemma_terms")
 def lemma_terms(spark, d):
     lemmas = spark.createDataFrame(X.LEMMAS, "form string, lemma string")

@@ -361,7 +361,7 @@ def _text(q: dict[str, str]) -> None:
     q["tfidf"] = idf.replace("\n, ", ",\n") + (
         f"SELECT tf.doc_id, CAST(idf.term_id AS INTEGER) AS term_id, tf.term, tf.tf, "
         f"{r6('tf.tf * idf.idf')} AS tfidf FROM tf JOIN idf USING (term)")
-    q["doc_terms"] = q["doc_terms"]
+    q["doc_terms_pandas"] = q["doc_terms"]
     q["term_freq"] = q["term_freq"].replace("\n, ", ",\n")
     ldocs = f"WITH docs AS (SELECT * FROM ({terms(True)}) WHERE len(terms) >= 2)\n"
     q["lemma_terms"] = ldocs + ("SELECT term, count(*) AS total FROM "
