@@ -8,13 +8,20 @@ bits of a different summation order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StandardScaler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from workbench.operators import linkage, profile
+from workbench.operators import classify, cluster, evaluate, linkage, profile, project, recommend
+from workbench.operators import text as X
 from workbench.plans import views as V
+from workbench.session import scratch_path
+from workbench.sources import files, lines, schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,9 +105,6 @@ register("score_crosstab_t2")(_crosstab(2.0))
 
 
 # ---- sources: file round trips and line parsers ------------------------------------
-from workbench.operators import evaluate, recommend  # noqa: E402
-from workbench.session import scratch_path  # noqa: E402
-from workbench.sources import files, lines, schema  # noqa: E402
 
 LINKAGE_SCHEMA = ("id_1 bigint, id_2 bigint, cmp_a double, cmp_b double, cmp_c int, "
                   "cmp_d int, is_match boolean")
@@ -269,7 +273,6 @@ def auc_mean(spark, d):
 
 
 # ---- classification ---------------------------------------------------------------
-from workbench.operators import classify  # noqa: E402
 
 CLASSES = [1, 2, 3, 4, 5, 6, 7]
 ONE_HOT_GROUPS = {"flag": V.FLAG_COLS, "line": V.LINE_COLS}
@@ -386,10 +389,6 @@ def tree_grid(spark, d):
 
 
 # ---- clustering, anomalies, projection --------------------------------------------
-from pyspark.ml.feature import StandardScaler  # noqa: E402
-from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: E402
-
-from workbench.operators import cluster, project  # noqa: E402
 
 
 def _fixed_clusters(spark, d):
@@ -452,7 +451,6 @@ def standardize_centered(spark, d):
 @register("one_hot")
 def one_hot(spark, d):
     s = V.sessions(spark, d).select("l_orderkey", "l_linenumber", "priority")
-    from pyspark.ml import Pipeline
     stages, vec = cluster.one_hot_stages("priority")
     out = Pipeline(stages=stages).fit(s).transform(s)
     arr = vector_to_array(vec)
@@ -587,7 +585,6 @@ def pca_variance(spark, d):
 
 
 # ---- text --------------------------------------------------------------------------
-from workbench.operators import text as X  # noqa: E402
 
 
 def stop_words(spark) -> DataFrame:
@@ -668,7 +665,6 @@ def tfidf_vectors(spark, d):
 
 
 # ---- recommender: factor model -----------------------------------------------------
-from concurrent.futures import ThreadPoolExecutor  # noqa: E402
 
 
 def _all_counts(spark, d):
