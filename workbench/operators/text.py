@@ -157,6 +157,8 @@ def doc_terms_in_pandas(df: DataFrame, key: str, text: str, make_annotator=pytho
     an annotator that column functions cannot express (a tagger, a lemmatiser model).
     ``make_annotator()`` runs once per partition; documents stream through in Arrow
     batches, and no document leaves its partition."""
+    from workbench.session import ship_package
+    ship_package(df.sparkSession)
     key_type = df.schema[key].dataType.simpleString()
 
     def run(batches):

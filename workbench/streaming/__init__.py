@@ -1,0 +1,7 @@
+"""Streaming.
+
+The analyses this library rebuilds read only static files: there is no stream source,
+watermark, event-time window or state in them, so nothing is implemented here. Every
+operator is a DataFrame → DataFrame function, so the stateless ones (parsing, scoring,
+distances, term extraction) can be applied inside ``foreachBatch`` unchanged.
+"""
