@@ -190,7 +190,7 @@ def parse_alias_lenient(spark, d):
 def xml_pages(spark, d):
     docs = V.table(spark, d, "documents").select(
         F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("title"), "text")
-    path = files.write_xml_records(docs, scratch_path(spark, "dump-xml"), "page", "mediawiki")
+    path = files.write_xml_records(docs, scratch_path(spark, "dump-xml"), "page", "pages")
     return files.read_xml_records(spark, path, "page", "title string, text string")
 
 
@@ -578,6 +578,20 @@ def pca_scores(spark, d):
     return scores
 
 
+@register("pca_sample")
+def pca_sample(spark, d):
+    """1% sample of the numeric rows → drop constant columns → centred, scaled PCA:
+    first three scores per sampled row."""
+    s = _session_feats(spark, d).select("l_orderkey", "l_linenumber", *V.SESSION_NUMERIC)
+    sample = s.sample(False, 0.01, seed=42)
+    kept = profile.drop_constant_columns(sample, V.SESSION_NUMERIC)
+    cols = [c for c in V.SESSION_NUMERIC if c in kept.columns]
+    vec = classify.assembler(cols, "v").transform(kept)
+    scores, _ = project.pca_scores(vec, "v", min(3, len(cols)),
+                                   keep=["l_orderkey", "l_linenumber"])
+    return scores
+
+
 @register("pca_variance")
 def pca_variance(spark, d):
     vec = V.vectors(spark, d).select("vec_id", array_to_vector("embedding").alias("v"))
