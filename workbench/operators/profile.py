@@ -90,17 +90,29 @@ def compare_groups(df: DataFrame, label: str, exclude: Sequence[str] = (),
                    cols: Sequence[str] | None = None) -> DataFrame:
     """Rank fields by how much their mean differs between label = true and false.
 
-    (field, total, delta) where total = count(true)+count(false), delta = mean(true) −
-    mean(false), ordered by delta desc, total desc. Rows whose label is null belong to
-    neither side. Both sides come out of one ``grouped_summary`` pass."""
-    g = grouped_summary(df, label, cols).where(~F.col("field").isin(list(exclude)))
-    a = g.where(F.col(label) == F.lit(True)).alias("a")
-    b = g.where(F.col(label) == F.lit(False)).alias("b")
-    # both sides hold one row per field: a few hundred rows at most, broadcast is safe
-    return (a.join(F.broadcast(b), F.col("a.field") == F.col("b.field"))
-            .select(F.col("a.field").alias("field"),
-                    (F.col("a.count") + F.col("b.count")).alias("total"),
-                    (F.col("a.mean") - F.col("b.mean")).alias("delta"))
+    (field, total, delta) where total = count(true)+count(false) of the field's
+    non-null values, delta = mean(true) − mean(false), ordered by delta desc, total
+    desc. Rows whose label is null belong to neither side.
+
+    One global aggregate with conditional counts and means per field: a single scan
+    whose partial buffers are merged in one small final step, with no shuffle by key
+    (filtering each side and describing it would scan twice, and a self-join of a
+    grouped summary lets the optimizer push each side's filter into its own scan)."""
+    cols = [c for c in (cols or numeric_columns(df, exclude=[label])) if c not in exclude]
+    yes, no = F.col(label) == F.lit(True), F.col(label) == F.lit(False)
+    aggs = []
+    for c in cols:
+        x = F.col(c)
+        aggs.append(F.struct(
+            F.count(F.when(yes, x)).cast("double").alias("count_t"),
+            F.avg(F.when(yes, x)).cast("double").alias("mean_t"),
+            F.count(F.when(no, x)).cast("double").alias("count_f"),
+            F.avg(F.when(no, x)).cast("double").alias("mean_f"),
+        ).alias(c))
+    long = df.agg(*aggs).unpivot([], cols, "field", "s")
+    return (long.select("field",
+                        (F.col("s.count_t") + F.col("s.count_f")).alias("total"),
+                        (F.col("s.mean_t") - F.col("s.mean_f")).alias("delta"))
             .orderBy(F.col("delta").desc(), F.col("total").desc()))
 
 
@@ -131,7 +143,7 @@ def constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
 
     A column is constant when it holds at most one distinct value counting null as a
     value: all null, or no null and min = max. Exact, and needs no distinct count.
-    ``n_values`` is 0, 1 or 2 (2 meaning 'two or more')."""
+    ``n_values`` is 1 or 2 (2 meaning "two or more")."""
     cols = list(cols) if cols else df.columns
     total = F.count(F.lit(1))
     structs = []
