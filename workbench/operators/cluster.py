@@ -15,7 +15,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import OneHotEncoder, RFormula, StandardScaler, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from workbench.functions.joins import is_small
@@ -104,12 +104,13 @@ def kmeans_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
 
 def cluster_entropy(df: DataFrame, cluster: str = "cluster", label: str = "label") -> DataFrame:
     """One row (entropy, rows): label entropy of each cluster (natural log), weighted by
-    cluster size, = Σ_{c,l} −n_cl·ln(n_cl / n_c) / N. Two small aggregations; no
-    cluster's rows are ever gathered."""
+    cluster size, = Σ_{c,l} −n_cl·ln(n_cl / n_c) / N. One scan: the (cluster, label)
+    counts come from an aggregation with map-side combine, and the cluster sizes are a
+    window over those counts (a cluster's window holds one row per label it contains,
+    not its rows)."""
     counts = df.groupBy(cluster, label).agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy(cluster).agg(F.sum("n").alias("n_c"))
-    terms = counts.join(sizes, cluster).select(
-        (-F.col("n") * F.log(F.col("n") / F.col("n_c"))).alias("h"), "n")
+    sizes = F.sum("n").over(Window.partitionBy(cluster))
+    terms = counts.select((-F.col("n") * F.log(F.col("n") / sizes)).alias("h"), "n")
     return terms.agg((F.sum("h") / F.sum("n")).alias("entropy"),
                      F.sum("n").alias("rows"))
 

@@ -245,21 +245,27 @@ def first_n_users(spark, d):
     return V.plays(spark, d).select("user").distinct().orderBy("user").limit(100)
 
 
-def _negatives(spark, d):
-    plays = V.plays(spark, d)
-    _, cv = _split_plays(spark, d)
-    return cv, evaluate.sample_negatives(cv, plays.select("artist"), seed=7)
+def _plays_table(spark, d):
+    """The play table for the evaluation pipelines, which read it five times (split
+    sides, catalogue, positives, scores): the join is written once to the shared
+    folder instead of being recomputed per consumer."""
+    return V.plays(spark, d).checkpoint(eager=True)
+
+
+def _negatives(spark, d, plays=None):
+    plays = plays if plays is not None else _plays_table(spark, d)
+    train, cv = evaluate.hash_split(plays, ["user", "artist"])
+    return train, cv, evaluate.sample_negatives(cv, plays.select("artist"), seed=7)
 
 
 @register("negative_sample")
 def negative_sample(spark, d):
-    return _negatives(spark, d)[1]
+    return _negatives(spark, d)[2]
 
 
 @register("auc_sampled")
 def auc_sampled(spark, d):
-    train, _ = _split_plays(spark, d)
-    cv, neg = _negatives(spark, d)
+    train, cv, neg = _negatives(spark, d)
     pred = recommend.popularity_predictor(train)
     return rounded(evaluate.per_user_auc(pred(cv.select("user", "artist")),
                                          pred(neg), "user"))
@@ -267,8 +273,7 @@ def auc_sampled(spark, d):
 
 @register("auc_mean")
 def auc_mean(spark, d):
-    train, _ = _split_plays(spark, d)
-    cv, neg = _negatives(spark, d)
+    train, cv, neg = _negatives(spark, d)
     return rounded(evaluate.mean_auc(cv, neg, recommend.popularity_predictor(train)))
 
 
@@ -735,12 +740,16 @@ def _als_auc(spark, d, train, cv, neg, rank, reg, alpha, max_iter):
 def als_auc(spark, d):
     """Mean per-user AUC of the factor model next to the popularity baseline, on the
     same held-out plays and sampled negatives."""
-    counts = _all_counts(spark, d)
-    train, cv = evaluate.hash_split(counts, ["user", "artist"])
-    train = train.cache()
-    neg = evaluate.sample_negatives(cv, counts.select("artist"), seed=7).cache()
-    als = _als_auc(spark, d, train, cv, neg, 10, 0.01, 1.0, 5)
-    pop = evaluate.mean_auc(cv, neg, recommend.popularity_predictor(train)).first()["mean_auc"]
+    counts = _all_counts(spark, d).checkpoint(eager=True)
+    train, cv, neg = _negatives(spark, d, counts)
+    train, neg = train.cache(), neg.cache()
+    try:
+        als = _als_auc(spark, d, train, cv, neg, 10, 0.01, 1.0, 5)
+        pop = evaluate.mean_auc(cv, neg, recommend.popularity_predictor(train)
+                                ).first()["mean_auc"]
+    finally:
+        train.unpersist()
+        neg.unpersist()
     return spark.createDataFrame([("als", float(als)), ("popularity", float(pop))],
                                  "predictor string, mean_auc double")
 
@@ -754,14 +763,16 @@ ALS_ALPHAS = [1.0, 40.0]
 @register("als_grid")
 def als_grid(spark, d):
     """Mean AUC for rank × reg × alpha (8 fits, 20 iterations), best first."""
-    counts = _all_counts(spark, d)
-    train, cv = evaluate.hash_split(counts, ["user", "artist"])
-    train = train.cache()
-    cv = cv.cache()
-    neg = evaluate.sample_negatives(cv, counts.select("artist"), seed=7).cache()
+    counts = _all_counts(spark, d).checkpoint(eager=True)
+    train, cv, neg = _negatives(spark, d, counts)
+    train, cv, neg = train.cache(), cv.cache(), neg.cache()
     grid = [(r, g, a) for r in ALS_RANKS for g in ALS_REGS for a in ALS_ALPHAS]
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        aucs = list(pool.map(lambda p: _als_auc(spark, d, train, cv, neg, *p, 20), grid))
+    try:
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            aucs = list(pool.map(lambda p: _als_auc(spark, d, train, cv, neg, *p, 20), grid))
+    finally:
+        for f in (train, cv, neg):
+            f.unpersist()
     rows = [(r, g, a, float(x)) for (r, g, a), x in zip(grid, aucs)]
     return (spark.createDataFrame(rows, "rank int, reg double, alpha double, mean_auc double")
             .orderBy(F.col("mean_auc").desc()))
