@@ -59,3 +59,13 @@ def test_page_text(spark):
     df = spark.createDataFrame([(1, html), (2, "<html><body> </body></html>")], "id int, html string")
     rows = X.page_text(df, "html", keep=["id"]).collect()
     assert [(r.id, r.title, r.content) for r in rows] == [(1, "A & B", "Hello world")]
+
+
+def test_long_form_from_text_equals_array_form(spark):
+    docs = _docs(spark)
+    lem = spark.createDataFrame([("went", "go"), ("cats", "cat"), ("dogs", "dog")],
+                                "form string, lemma string")
+    for kw in ({}, {"lemmas": lem}):
+        a = X.term_freq(X.doc_terms(docs, "doc_id", "text", **kw), "doc_id")
+        b = X.term_freq_from_text(docs, "doc_id", "text", **kw)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

@@ -186,6 +186,29 @@ def term_freq(terms: DataFrame, key: str) -> DataFrame:
             .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def term_freq_from_text(df: DataFrame, key: str, text: str, *,
+                        stop_words: Sequence[str] | DataFrame = STOP_WORDS,
+                        lemmas: Sequence[tuple[str, str]] | DataFrame | None = None,
+                        min_len: int = 3, min_terms: int = 2) -> DataFrame:
+    """Long form (key, term, tf) straight from the text, same rules as ``doc_terms``.
+
+    Words are exploded first and filtered with plain column expressions (compiled by
+    whole-stage codegen; the array-lambda form is interpreted), then counted with
+    map-side combine. Documents with fewer than ``min_terms`` terms are dropped by a
+    window over their own distinct terms."""
+    stop = _word_list(stop_words)
+    w = F.lower(F.col("_w"))
+    if lemmas is not None:
+        lemma_map = _lemma_map(lemmas)
+        w = F.when(w.isin(*_lemma_forms(lemmas)), F.try_element_at(lemma_map, w)).otherwise(w)
+    words = df.select(key, F.explode(F.split(F.col(text), NON_LETTERS)).alias("_w"))
+    terms = (words.where(F.length("_w") > 0).select(key, w.alias("term"))
+             .where((F.length("term") >= min_len) & ~F.col("term").isin(*stop)))
+    tf = terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    n_terms = F.sum("tf").over(Window.partitionBy(key))
+    return tf.withColumn("_n", n_terms).where(F.col("_n") >= min_terms).drop("_n")
+
+
 def vocabulary(tf: DataFrame, vocab_size: int = 20000) -> DataFrame:
     """(term_id, term, count): the ``vocab_size`` terms with the largest total count,
     ties by term; ids 0.. in that order. A bounded top-k, then numbering of at most

@@ -641,24 +641,30 @@ def doc_terms_pandas(spark, d):
 @register("lemma_terms")
 def lemma_terms(spark, d):
     lemmas = spark.createDataFrame(X.LEMMAS, "form string, lemma string")
-    tf = X.term_freq(_doc_terms(spark, d, lemmas), "doc_id")
+    tf = X.term_freq_from_text(V.table(spark, d, "documents"), "doc_id", "text",
+                               stop_words=stop_words(spark), lemmas=lemmas)
     return tf.groupBy("term").agg(F.sum("tf").alias("total"))
 
 
+def _tf_long(spark, d):
+    return X.term_freq_from_text(V.table(spark, d, "documents"), "doc_id", "text",
+                                 stop_words=stop_words(spark))
+
+
 @register("term_freq")
 def term_freq(spark, d):
-    return X.term_freq(_doc_terms(spark, d), "doc_id")
+    return _tf_long(spark, d)
 
 
 def _term_table(spark, d):
     """Term counts read by several consumers (vocabulary, document frequency, weights):
     written once to the shared folder instead of re-tokenising per consumer."""
-    return X.term_freq(_doc_terms(spark, d), "doc_id").checkpoint(eager=True)
+    return _tf_long(spark, d).checkpoint(eager=True)
 
 
 @register("vocabulary")
 def vocabulary(spark, d):
-    return X.vocabulary(X.term_freq(_doc_terms(spark, d), "doc_id"), 20000)
+    return X.vocabulary(_tf_long(spark, d), 20000)
 
 
 @register("idf")
