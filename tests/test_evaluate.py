@@ -146,3 +146,20 @@ def test_confusion_row_sums_are_class_counts(spark):
     counts = {r.y: r["count"] for r in evaluate.class_priors(df, "y").collect()}
     for r in cm:
         assert sum(r[str(c)] for c in range(1, 8)) == counts[r.y]
+
+
+def test_hot_user_is_split_across_chunks_and_auc_exact(spark):
+    from workbench.functions import prefix
+    rnd = random.Random(9)
+    pos = [(0, round(rnd.random(), 3)) for _ in range(600)]
+    neg = [(0, round(rnd.random(), 3)) for _ in range(600)]
+    for u in range(1, 60):
+        pos += [(u, round(rnd.random(), 2)) for _ in range(3)]
+        neg += [(u, round(rnd.random(), 2)) for _ in range(3)]
+    got, want = _auc(spark, pos, neg), brute_auc(pos, neg)
+    assert set(got) == set(want) and all(math.isclose(got[u], want[u]) for u in want)
+    # the hot user's rows land in several range chunks, not one task
+    df = spark.createDataFrame([(0, i) for i in range(2000)] + [(u, 0) for u in range(1, 50)],
+                               "k int, o int")
+    chunks = prefix._chunks(df, ["k", "o"], 8)
+    assert chunks.where("k = 0").select("_chunk").distinct().count() >= 4
