@@ -92,3 +92,10 @@ def test_typed_view(spark):
         typed_view(df, "a bigint")
     with pytest.raises(TypeError):
         typed_view(df, "z int")
+
+
+def test_strict_id_name_fails_on_corrupt_line(spark):
+    good = lines.parse_id_name_strict(_lines(spark, ["12\tA", "13\t B "]))
+    assert sorted(map(tuple, good.collect())) == [(12, "A"), (13, "B")]
+    with pytest.raises(Exception):
+        lines.parse_id_name_strict(_lines(spark, ["12\tA", "no id here"])).collect()

@@ -69,6 +69,18 @@ def parse_fields_strict(lines: DataFrame, names: Sequence[str], sep: str = " ",
                         for i, nm in enumerate(names)])
 
 
+def parse_id_name_strict(lines: DataFrame, col: str = "value") -> DataFrame:
+    """``id<TAB>name`` lines → (id int, name string), failing the job on the first
+    line whose id is not an int (a line without a tab has its whole text as the id)."""
+    v = F.col(col)
+    pos = F.instr(v, "\t")
+    id_txt = F.when(pos > 0, F.expr(f"substring(`{col}`, 1, instr(`{col}`, '\t') - 1)")
+                    ).otherwise(v)
+    name = F.when(pos > 0, java_trim(F.expr(f"substring(`{col}`, instr(`{col}`, '\t') + 1)"))
+                  ).otherwise(F.lit(""))
+    return lines.select(strict_int(id_txt, col).alias("id"), name.alias("name"))
+
+
 def parse_id_name_lenient(lines: DataFrame, col: str = "value") -> DataFrame:
     """``id<TAB>name`` lines → (id int, name string); lines without a tab or with a
     bad id give no row. The name is the rest of the line after the first tab (later
