@@ -27,3 +27,11 @@ def cache_spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 def maybe_repartition(df: DataFrame, partitions: int | None) -> DataFrame:
     """An explicit ``repartition(n)`` when the caller asks for one."""
     return df.repartition(partitions) if partitions else df
+
+
+def slots_or_more(df: DataFrame) -> int | None:
+    """A repartition target for a frame read straight from files (no shuffle in its
+    plan, so counting its partitions plans file splits and runs no job): the number of
+    task slots when the input has fewer splits, else None (keep the input's splits)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return slots if df.rdd.getNumPartitions() < slots else None

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from workbench.functions.partitions import slots_or_more
 from workbench.operators import classify, cluster, evaluate, linkage, profile, project, recommend
 from workbench.operators import text as X
 from workbench.plans import views as V
@@ -329,10 +330,15 @@ def _train_test_features(spark, d):
     return train.drop("l_orderkey", "l_linenumber"), test
 
 
+def _slots(df):
+    # the training side is a filtered file scan: its split count is known without a job
+    return slots_or_more(df)
+
+
 @register("tree_predict")
 def tree_predict(spark, d):
     train, test = _train_test_features(spark, d)
-    model = classify.fit_tree(train, "y", seed=42)
+    model = classify.fit_tree(train, "y", seed=42, partitions=_slots(train))
     return classify.predictions(model, test, ["l_orderkey", "l_linenumber", "y"])
 
 
@@ -356,7 +362,7 @@ def tree_importance(spark, d):
 def tree_eval(spark, d):
     """Accuracy and weighted F1 of the default tree on held-out rows."""
     train, test = _train_test_features(spark, d)
-    model = classify.fit_tree(train, "y", seed=42)
+    model = classify.fit_tree(train, "y", seed=42, partitions=_slots(train))
     return evaluate.accuracy_f1(model.transform(test), "y", "prediction")
 
 
@@ -365,7 +371,7 @@ def tree_tuned(spark, d):
     """The chosen tree (entropy, depth 20, 300 bins, no minimum gain) on held-out rows."""
     train, test = _train_test_features(spark, d)
     model = classify.fit_tree(train, "y", seed=42, impurity="entropy", maxDepth=20,
-                              maxBins=300, minInfoGain=0.0)
+                              maxBins=300, minInfoGain=0.0, partitions=_slots(train))
     return evaluate.accuracy_f1(model.transform(test), "y", "prediction")
 
 
@@ -374,7 +380,8 @@ def tree_categorical(spark, d):
     train, test = _train_test_features(spark, d)
     tr = classify.undo_one_hot(train, ONE_HOT_GROUPS)
     te = classify.undo_one_hot(test, ONE_HOT_GROUPS)
-    model = classify.fit_categorical(tr, "y", model="tree", max_bins=50, seed=42)
+    model = classify.fit_categorical(tr, "y", model="tree", max_bins=50, seed=42,
+                                     partitions=_slots(tr))
     return evaluate.accuracy_f1(model.transform(te), "y", "prediction")
 
 
@@ -382,14 +389,15 @@ def tree_categorical(spark, d):
 def forest_importance(spark, d):
     train, _ = _train_test_features(spark, d)
     tr = classify.undo_one_hot(train, ONE_HOT_GROUPS)
-    model = classify.fit_categorical(tr, "y", model="forest", max_bins=50, seed=42)
+    model = classify.fit_categorical(tr, "y", model="forest", max_bins=50, seed=42,
+                                     partitions=_slots(tr))
     return classify.importances(model, classify.feature_columns(tr, "y"))
 
 
 @register("tree_grid")
 def tree_grid(spark, d):
     train, _ = _train_test_features(spark, d)
-    table, _best = classify.tree_grid_search(train.cache(), "y", seed=42)
+    table, _best = classify.tree_grid_search(train, "y", seed=42)
     return table
 
 
