@@ -488,6 +488,12 @@ def _session_feats(spark, d):
     return V.sessions(spark, d)
 
 
+@register("session_label_counts")
+def session_label_counts(spark, d):
+    """Rows per label of the connection-log stand-in, most frequent first."""
+    return profile.value_counts(V.sessions(spark, d), "label")
+
+
 @register("kmeans_centers")
 def kmeans_centers(spark, d):
     """Default k-means (k = 2) on the numeric columns: its centres."""

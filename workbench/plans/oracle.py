@@ -301,6 +301,8 @@ def _cluster(q: dict[str, str]) -> None:
         f"SELECT vec_id, CAST(dim AS INTEGER) AS dim, "
         f"{r6('CASE WHEN sd = 0 THEN 0.0 ELSE (x - m) / sd END')} AS value "
         f"FROM long JOIN st USING (dim)")
+    q["session_label_counts"] = with_views(
+        "SELECT label, count(*) AS count FROM sessions GROUP BY label", "sessions")
     q["one_hot"] = with_views("""
         SELECT l_orderkey, l_linenumber, priority, CAST(idx AS INTEGER) AS priority_index,
                CAST(CASE WHEN idx < n_levels - 1 THEN idx ELSE -1 END AS INTEGER) AS hot
