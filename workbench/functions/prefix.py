@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,12 +33,20 @@ def _chunks(df: DataFrame, cols: Sequence[str], partitions: int | None) -> DataF
 
 def running_total(df: DataFrame, key: str | None, order: Sequence[str], value: str,
                   out: str, *, inclusive: bool = True,
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, chunk: Column | None = None) -> DataFrame:
     """Add ``out`` = Σ ``value`` over rows of the same ``key`` ordered at or before
     (``inclusive``) or strictly before this row by ``order``. ``key=None``: one global
-    running total."""
+    running total.
+
+    ``chunk``: an integer expression that already cuts each key into ordered pieces
+    (non-decreasing along ``order``, e.g. fixed-width blocks of an integer order
+    column). Being a function of the row, it needs neither the range sampling pass nor
+    the checkpoint."""
     keys = [key] if key else []
-    ranged = _chunks(df, keys + list(order), partitions)
+    if chunk is not None:
+        ranged = df.withColumn("_chunk", chunk)
+    else:
+        ranged = _chunks(df, keys + list(order), partitions)
     totals = ranged.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_t"))
     w_prev = (Window.partitionBy(*keys).orderBy("_chunk")
               .rowsBetween(Window.unboundedPreceding, -1))

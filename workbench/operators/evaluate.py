@@ -91,7 +91,9 @@ def sample_negatives(positives: DataFrame, all_items: DataFrame, *, seed: int =
              .select(user, "target", F.col("hi").alias("lo"), F.lit(n_items).alias("hi")))
     second = successes(_draw(short, catalogue, n_items, seed, "lo", "hi", user, item))
     hits = first.unionByName(second).withColumn("_one", F.lit(1))
-    ranked = running_total(hits, user, ["slot"], "_one", "_k")
+    # slots are integers: fixed-width slot blocks are ordered chunks of each user
+    ranked = running_total(hits, user, ["slot"], "_one", "_k",
+                           chunk=F.floor(F.col("slot") / SLOT_BLOCK))
     return ranked.where(F.col("_k") <= F.col("target")).select(user, item)
 
 
