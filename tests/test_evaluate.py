@@ -163,3 +163,25 @@ def test_hot_user_is_split_across_chunks_and_auc_exact(spark):
                                "k int, o int")
     chunks = prefix._chunks(df, ["k", "o"], 8)
     assert chunks.where("k = 0").select("_chunk").distinct().count() >= 4
+
+
+def test_running_total_property(spark):
+    """Random keys (one hot), both chunkings, against a per-key cumulative sum."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 50)), min_size=1, max_size=120,
+                    unique=True))
+    def check(pairs):
+        rows = [(k, o, (o * 7 + k) % 5) for k, o in pairs]
+        df = spark.createDataFrame(rows, "k int, o int, v int")
+        acc, want = {}, {}
+        for k, o, v in sorted(rows):
+            acc[k] = acc.get(k, 0) + v
+            want[(k, o)] = acc[k]
+        for kw in ({"partitions": 4}, {"chunk": F.floor(F.col("o") / 8)}):
+            got = {(r.k, r.o): r.run for r in
+                   running_total(df, "k", ["o"], "v", "run", **kw).collect()}
+            assert got == want
+    check()
