@@ -210,22 +210,25 @@ def term_freq_from_text(df: DataFrame, key: str, text: str, *,
 
 
 def vocabulary(tf: DataFrame, vocab_size: int = 20000) -> DataFrame:
-    """(term_id, term, count): the ``vocab_size`` terms with the largest total count,
-    ties by term; ids 0.. in that order. A bounded top-k, then numbering of at most
-    ``vocab_size`` rows."""
-    totals = tf.groupBy("term").agg(F.sum("tf").alias("count"))
-    top = totals.orderBy(F.col("count").desc(), F.col("term")).limit(vocab_size)
+    """(term_id, term, count, df): the ``vocab_size`` terms with the largest total count,
+    ties by term; ids 0.. in that order; ``df`` = documents holding the term. One
+    aggregation over the term counts gives both statistics; then a bounded top-k and a
+    numbering of at most ``vocab_size`` rows."""
+    stats = tf.groupBy("term").agg(F.sum("tf").alias("count"), F.count(F.lit(1)).alias("df"))
+    top = stats.orderBy(F.col("count").desc(), F.col("term")).limit(vocab_size)
     w = Window.orderBy(F.col("count").desc(), F.col("term"))
-    return top.select((F.row_number().over(w) - 1).alias("term_id"), "term", "count")
+    return top.select((F.row_number().over(w) - 1).alias("term_id"), "term", "count", "df")
 
 
 def idf(tf: DataFrame, key: str, vocab: DataFrame) -> DataFrame:
-    """(term_id, term, df, idf) with idf = ln((N + 1) / (df + 1)), N = documents."""
+    """(term_id, term, df, idf) with idf = ln((N + 1) / (df + 1)), N = documents.
+    Document frequencies come with the vocabulary when it carries them."""
     n_docs = tf.select(key).distinct().agg(F.count(F.lit(1))).scalar()
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return (F.broadcast(vocab).join(dfreq, "term")
-            .select("term_id", "term", "df",
-                    F.log((n_docs + 1) / (F.col("df") + 1)).alias("idf")))
+    if "df" not in vocab.columns:
+        dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        vocab = F.broadcast(vocab).join(dfreq, "term")
+    return vocab.select("term_id", "term", "df",
+                        F.log((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
 
 
 def tfidf(tf: DataFrame, key: str, idf_table: DataFrame) -> DataFrame:

@@ -678,7 +678,7 @@ def _term_table(spark, d):
 
 @register("vocabulary")
 def vocabulary(spark, d):
-    return X.vocabulary(_tf_long(spark, d), 20000)
+    return X.vocabulary(_tf_long(spark, d), 20000).select("term_id", "term", "count")
 
 
 @register("idf")
