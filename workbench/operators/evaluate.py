@@ -70,7 +70,8 @@ def sample_negatives(positives: DataFrame, all_items: DataFrame, *, seed: int =
 
     Deterministic (md5 of seed, user, draw number). ``exclude`` adds more (user, item)
     pairs to skip (for example the training plays)."""
-    catalogue = dense_index(all_items.select(F.col(item)), item, "idx")
+    # the numbered catalogue is read by every draw round: write it once
+    catalogue = dense_index(all_items.select(F.col(item)), item, "idx").checkpoint(eager=True)
     n_items = catalogue.count()
     catalogue = broadcast_if_small(catalogue)
     pos = positives.select(user, item).distinct()
