@@ -185,3 +185,26 @@ def test_running_total_property(spark):
                    running_total(df, "k", ["o"], "v", "run", **kw).collect()}
             assert got == want
     check()
+
+
+def test_all_negatives_auc_against_brute_force(spark):
+    rnd = random.Random(4)
+    items = list(range(30))
+    score = {i: rnd.choice([None, float("nan"), float(rnd.randint(0, 6))]) for i in items}
+    pos = [(u, rnd.choice(items)) for u in range(12) for _ in range(rnd.randint(1, 6))]
+    pos += [(99, i) for i in items]  # a user who holds everything: no negative
+    scores = spark.createDataFrame([(i, score[i]) for i in items], "artist int, prediction double")
+    p = spark.createDataFrame(pos, "user int, artist int")
+    got = {r.user: r.auc for r in evaluate.per_user_auc_all_negatives(p, scores).collect()}
+    want = {}
+    for u in {u for u, _ in pos}:
+        mine = [i for v, i in pos if v == u]
+        negs = [i for i in items if i not in set(mine)]
+        if not negs:
+            continue
+        pairs = [(score[a], score[b]) for a in mine for b in negs]
+        ok = sum(1 for a, b in pairs if a is not None and b is not None
+                 and not math.isnan(a) and not math.isnan(b) and a > b)
+        want[u] = ok / len(pairs)
+    assert set(got) == set(want) and 99 not in got
+    assert all(math.isclose(got[u], want[u]) for u in want)

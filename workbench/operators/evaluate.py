@@ -130,6 +130,44 @@ def per_user_auc(pos_pred: DataFrame, neg_pred: DataFrame, user: str = "user",
                            / (F.col("n_pos") * F.col("n_neg"))).alias("auc")))
 
 
+def per_user_auc_all_negatives(positive: DataFrame, item_scores: DataFrame, *,
+                               user: str = "user", item: str = "artist",
+                               col: str = "prediction") -> DataFrame:
+    """(user, auc) with every catalogue item the user lacks as a negative, for a
+    predictor whose score depends on the item only (such as popularity).
+
+    The users × items negatives are never formed. For a positive scored s, the
+    negatives below it are (catalogue items scored below s) − (the user's own distinct
+    items scored below s): a global running count over item scores minus a per-user
+    running count over the user's items. A user's pairs number |positive rows| ×
+    (catalogue − distinct positives). Null/NaN scores count in the totals and never
+    win. ``item_scores`` is (item, prediction) for the whole catalogue."""
+    scores = _score(item_scores.withColumnRenamed(item, "_i"), "_i", col) \
+        .withColumnRenamed("_i", item)
+    n_items = scores.count()
+    per_score = (scores.where(F.col("score").isNotNull()).groupBy("score")
+                 .agg(F.count(F.lit(1)).alias("_n")))
+    items_below = running_total(per_score, None, ["score"], "_n", "items_below",
+                                inclusive=False).select("score", "items_below")
+    pos = positive.select(user, item).join(scores, item, "left")
+    mine = pos.select(user, item, "score").distinct()
+    own = (mine.where(F.col("score").isNotNull()).groupBy(user, "score")
+           .agg(F.count(F.lit(1)).alias("_n")))
+    own_below = running_total(own, user, ["score"], "_n", "own_below",
+                              inclusive=False).select(user, "score", "own_below")
+    wins = (pos.where(F.col("score").isNotNull())
+            .groupBy(user, "score").agg(F.count(F.lit(1)).alias("_rows"))
+            .join(items_below, "score").join(own_below, [user, "score"])
+            .groupBy(user).agg(F.sum(F.col("_rows") * (F.col("items_below")
+                                                        - F.col("own_below"))).alias("correct")))
+    sizes = (pos.groupBy(user).agg(F.count(F.lit(1)).alias("n_pos"),
+                                   F.countDistinct(item).alias("n_own"))
+             .withColumn("n_neg", F.lit(n_items) - F.col("n_own")))
+    return (sizes.where(F.col("n_neg") > 0).join(wins, user, "left")
+            .select(user, (F.coalesce(F.col("correct"), F.lit(0))
+                           / (F.col("n_pos") * F.col("n_neg"))).alias("auc")))
+
+
 def mean_auc(positive: DataFrame, negatives: DataFrame, predict: Predictor, *,
              user: str = "user", item: str = "artist") -> DataFrame:
     """One row (mean_auc, users): per-user AUC averaged with equal user weight."""

@@ -278,6 +278,17 @@ def auc_mean(spark, d):
     return rounded(evaluate.mean_auc(cv, neg, recommend.popularity_predictor(train)))
 
 
+@register("auc_exhaustive")
+def auc_exhaustive(spark, d):
+    """Per-user AUC of the popularity baseline against every catalogue item the user
+    lacks (no sampling, no users × items product)."""
+    plays = _plays_table(spark, d)
+    train, cv = evaluate.hash_split(plays, ["user", "artist"])
+    catalogue = plays.select("artist").distinct()
+    scores = recommend.popularity_predictor(train)(catalogue.withColumn("user", F.lit(0)))
+    return rounded(evaluate.per_user_auc_all_negatives(cv, scores.drop("user")))
+
+
 # ---- classification ---------------------------------------------------------------
 
 CLASSES = [1, 2, 3, 4, 5, 6, 7]

@@ -206,6 +206,21 @@ def _recommend(q: dict[str, str]) -> None:
         np AS (SELECT neg."user", pop.prediction AS q FROM neg LEFT JOIN pop USING (artist)),
         per_user AS (SELECT pp."user", count_if(pp.p > np.q) / count(*) AS auc
                      FROM pp JOIN np ON pp."user" = np."user" GROUP BY pp."user")"""
+    q["auc_exhaustive"] = with_views(f"""WITH split AS ({split}),
+        cv AS (SELECT * FROM split WHERE NOT is_train),
+        pop AS (SELECT artist, sum("count") AS prediction FROM split WHERE is_train
+                GROUP BY artist),
+        cat AS (SELECT c.artist, pop.prediction AS q
+                FROM (SELECT DISTINCT artist FROM plays) c LEFT JOIN pop USING (artist)),
+        own AS (SELECT DISTINCT "user", artist FROM cv),
+        neg AS (SELECT u."user", cat.q FROM (SELECT DISTINCT "user" FROM cv) u CROSS JOIN cat
+                WHERE NOT EXISTS (SELECT 1 FROM own o WHERE o."user" = u."user"
+                                  AND o.artist = cat.artist)),
+        pp AS (SELECT cv."user", pop.prediction AS p FROM cv LEFT JOIN pop USING (artist)),
+        per_user AS (SELECT pp."user", count_if(pp.p > neg.q) / count(*) AS auc
+                     FROM pp JOIN neg ON pp."user" = neg."user" GROUP BY pp."user")
+        SELECT "user", {r6('auc')} AS auc FROM per_user""", "plays").replace(
+        ")\nWITH ", "),\n", 1)
     q["auc_sampled"] = with_views(
         f"WITH {auc.strip()} SELECT \"user\", {r6('auc')} AS auc FROM per_user", "plays"
     ).replace(")\nWITH ", "),\n", 1)
