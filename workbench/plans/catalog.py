@@ -195,6 +195,21 @@ def xml_pages(spark, d):
     return files.read_xml_records(spark, path, "page", "title string, text string")
 
 
+@register("xml_dump_text")
+def xml_dump_text(spark, d):
+    """A dump whose text element carries attributes (``<text bytes="…">…</text>``):
+    attributes and the element's own text arrive as fields of one struct; pages whose
+    text is empty are dropped."""
+    docs = V.table(spark, d, "documents").select(
+        F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("title"),
+        F.struct(F.col("n_chars").alias("_bytes"), F.col("text").alias("_VALUE")).alias("text"))
+    path = files.write_xml_records(docs, scratch_path(spark, "dump-attr-xml"), "page", "pages")
+    back = files.read_xml_records(spark, path, "page",
+                                  "title string, text struct<_bytes: bigint, _VALUE: string>")
+    return (back.select("title", F.col("text._VALUE").alias("content"))
+            .where(F.length("content") > 0))
+
+
 # ---- recommender: relational parts -------------------------------------------------
 @register("id_ranges")
 def id_ranges(spark, d):

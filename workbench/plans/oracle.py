@@ -147,6 +147,8 @@ def _sources(q: dict[str, str]) -> None:
         FROM part WHERE p_partkey % 7 IN (2, 5, 6)"""
     q["parse_alias_lenient"] = with_views("SELECT artist, alias FROM alias_pairs", "alias_pairs")
     q["xml_pages"] = "SELECT 'doc ' || doc_id AS title, text FROM documents"
+    q["xml_dump_text"] = ("SELECT 'doc ' || doc_id AS title, text AS content FROM documents "
+                          "WHERE length(text) > 0")
 
 
 def _split_sql() -> str:
