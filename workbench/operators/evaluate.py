@@ -149,6 +149,8 @@ def per_user_auc_all_negatives(positive: DataFrame, item_scores: DataFrame, *,
                  .agg(F.count(F.lit(1)).alias("_n")))
     items_below = running_total(per_score, None, ["score"], "_n", "items_below",
                                 inclusive=False).select("score", "items_below")
+    # one row per distinct item score: a lookup that is broadcast once its size is checked
+    items_below = broadcast_if_small(items_below.checkpoint(eager=True))
     pos = positive.select(user, item).join(scores, item, "left")
     mine = pos.select(user, item, "score").distinct()
     own = (mine.where(F.col("score").isNotNull()).groupBy(user, "score")
