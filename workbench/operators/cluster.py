@@ -79,15 +79,20 @@ def _prepared(df: DataFrame, numeric, categorical, scale, with_mean, keep=()):
     return cache_spread(prep.transform(df).select(*keep, feats)), feats
 
 
-def _fit_many(data: DataFrame, ks: Sequence[int], make, parallelism: int):
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+# Fixed value: most k-means fits of one sweep that run at the same time.
+MAX_CONCURRENT_FITS = 8
+
+
+def _fit_many(data: DataFrame, ks: Sequence[int], make, parallelism: int | None):
+    workers = parallelism or min(len(ks), MAX_CONCURRENT_FITS)
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         return list(pool.map(lambda k: (k, make(k).fit(data)), ks))
 
 
 def kmeans_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
                  categorical: Sequence[str] = (), scale: bool = False,
                  with_mean: bool = False, max_iter: int = 20, tol: float = 1e-4,
-                 seed: int = 42, parallelism: int = 4) -> DataFrame:
+                 seed: int = 42, parallelism: int | None = None) -> DataFrame:
     """(k, cost, mean_cost) for each k: cost = Σ squared distance to the nearest
     centre (the model's training cost), mean_cost = cost / rows."""
     data, feats = _prepared(df, numeric, categorical, scale, with_mean)
@@ -129,7 +134,7 @@ def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
 def entropy_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
                   categorical: Sequence[str] = (), label: str = "label",
                   scale: bool = True, max_iter: int = 40, tol: float = 1e-5,
-                  seed: int = 42, parallelism: int = 4) -> DataFrame:
+                  seed: int = 42, parallelism: int | None = None) -> DataFrame:
     """(k, entropy): size-weighted label entropy of the clustering at each k."""
     data, feats = _prepared(df, numeric, categorical, scale, False, keep=[label])
     try:
