@@ -97,7 +97,7 @@ def importances(model: PipelineModel, names: Sequence[str]) -> DataFrame:
     """(feature, importance) of the last stage, largest first. The vector has one
     entry per feature, so it is as small as the schema."""
     imp = model.stages[-1].featureImportances.toArray().tolist()
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     rows = list(zip(list(names), [float(v) for v in imp]))
     return (spark.createDataFrame(rows, "feature string, importance double")
             .orderBy(F.col("importance").desc(), F.col("feature").desc()))
