@@ -113,11 +113,19 @@ def per_user_auc(pos_pred: DataFrame, neg_pred: DataFrame, user: str = "user",
     never correct; users without a negative get no row. For each positive, the
     negatives below it are a running count over the user's scores, so the work is a
     sort, not |pos|·|neg|."""
-    p = _score(pos_pred, user, col).select(user, "score", F.lit(1).alias("np"),
-                                           F.lit(0).alias("nn"))
-    n = _score(neg_pred, user, col).select(user, "score", F.lit(0).alias("np"),
-                                           F.lit(1).alias("nn"))
-    both = p.unionByName(n)
+    both = (pos_pred.select(user, col, F.lit(1).alias("_pos"))
+            .unionByName(neg_pred.select(user, col, F.lit(0).alias("_pos"))))
+    return per_user_auc_flagged(both, "_pos", user, col)
+
+
+def per_user_auc_flagged(scored: DataFrame, flag: str, user: str = "user",
+                         col: str = "prediction") -> DataFrame:
+    """``per_user_auc`` over one scored frame whose ``flag`` column is 1 for positive
+    rows and 0 for negative rows (so a predictor is applied once to both sides)."""
+    p = F.col(col).cast("double")
+    both = scored.select(user, F.when(~F.isnan(p), p).alias("score"),
+                         F.col(flag).cast("int").alias("np"),
+                         (1 - F.col(flag).cast("int")).alias("nn"))
     sizes = both.groupBy(user).agg(F.sum("np").alias("n_pos"), F.sum("nn").alias("n_neg"))
     by_score = (both.where(F.col("score").isNotNull()).groupBy(user, "score")
                 .agg(F.sum("np").alias("np"), F.sum("nn").alias("nn")))
@@ -172,9 +180,12 @@ def per_user_auc_all_negatives(positive: DataFrame, item_scores: DataFrame, *,
 
 def mean_auc(positive: DataFrame, negatives: DataFrame, predict: Predictor, *,
              user: str = "user", item: str = "artist") -> DataFrame:
-    """One row (mean_auc, users): per-user AUC averaged with equal user weight."""
-    pu = per_user_auc(predict(positive.select(user, item)),
-                      predict(negatives.select(user, item)), user)
+    """One row (mean_auc, users): per-user AUC averaged with equal user weight. The
+    predictor scores positives and negatives in one call (it must keep the input
+    columns it is given)."""
+    both = (positive.select(user, item, F.lit(1).alias("_pos"))
+            .unionByName(negatives.select(user, item, F.lit(0).alias("_pos"))))
+    pu = per_user_auc_flagged(predict(both), "_pos", user)
     return pu.agg(F.avg("auc").alias("mean_auc"), F.count(F.lit(1)).alias("users"))
 
 

@@ -86,11 +86,12 @@ def recommend_for_user(model: ALSModel, user_id: int, n: int, *, user: str = "us
 def popularity_predictor(train: DataFrame, *, user: str = "user", item: str = "artist",
                          count: str = "count") -> Predictor:
     """Score = total plays of the item in ``train`` (null for unseen items); the
-    predictor maps (user, item, ...) rows to (user, item, prediction)."""
+    predictor adds ``prediction`` to the rows it is given (input columns kept)."""
     listens = train.groupBy(item).agg(F.sum(count).alias("prediction"))
 
     def predict(df: DataFrame) -> DataFrame:
-        return df.join(listens, [item], "left").select(user, item, "prediction")
+        cols = [c for c in df.columns if c != "prediction"]
+        return df.select(*cols).join(listens, [item], "left").select(*cols, "prediction")
     return predict
 
 

@@ -248,7 +248,8 @@ def _split_plays(spark, d):
 @register("popularity_predict")
 def popularity_predict(spark, d):
     train, _ = _split_plays(spark, d)
-    return recommend.popularity_predictor(train)(V.plays(spark, d))
+    return recommend.popularity_predictor(train)(V.plays(spark, d)).select(
+        "user", "artist", "prediction")
 
 
 @register("distinct_items")
@@ -283,8 +284,9 @@ def negative_sample(spark, d):
 def auc_sampled(spark, d):
     train, cv, neg = _negatives(spark, d)
     pred = recommend.popularity_predictor(train)
-    return rounded(evaluate.per_user_auc(pred(cv.select("user", "artist")),
-                                         pred(neg), "user"))
+    both = (cv.select("user", "artist", F.lit(1).alias("_pos"))
+            .unionByName(neg.select("user", "artist", F.lit(0).alias("_pos"))))
+    return rounded(evaluate.per_user_auc_flagged(pred(both), "_pos", "user"))
 
 
 @register("auc_mean")
@@ -300,8 +302,8 @@ def auc_exhaustive(spark, d):
     plays = _plays_table(spark, d)
     train, cv = evaluate.hash_split(plays, ["user", "artist"])
     catalogue = plays.select("artist").distinct()
-    scores = recommend.popularity_predictor(train)(catalogue.withColumn("user", F.lit(0)))
-    return rounded(evaluate.per_user_auc_all_negatives(cv, scores.drop("user")))
+    scores = recommend.popularity_predictor(train)(catalogue)
+    return rounded(evaluate.per_user_auc_all_negatives(cv, scores))
 
 
 # ---- classification ---------------------------------------------------------------
