@@ -19,7 +19,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     runtime broadcast choice), UTC time, Arrow for pandas hand-offs, UI off.
 
     Partition sizing: file splits of at most 128 MB, and shuffle partitions that AQE
-    coalesces or splits towards 128 MB, so a task's input fits an executor's memory at
+    coalesces or splits towards 64 MB, so a task's input fits an executor's memory at
     any scale; ``shuffle_partitions`` sets the starting count (about 2-3 per core on a
     cluster, a few per core locally)."""
     master = master or os.environ.get("SPARK_MASTER", "local[*]")
@@ -31,7 +31,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
         .config("spark.sql.files.maxPartitionBytes", "128m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
