@@ -7,6 +7,7 @@ group), so everything after the first aggregate runs on a handful of rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -32,8 +33,10 @@ def value_counts(df: DataFrame, col: str, count_col: str = "count") -> DataFrame
             .orderBy(F.col(count_col).desc(), F.col(col).asc_nulls_last()))
 
 
-def value_counts_sql(df: DataFrame, col: str, view: str = "linkage") -> DataFrame:
-    """Same as ``value_counts`` written as SQL text over a temp view."""
+def value_counts_sql(df: DataFrame, col: str, view: str | None = None) -> DataFrame:
+    """Same as ``value_counts`` written as SQL text over a temp view (a fresh view name
+    unless one is given, so concurrent callers do not overwrite each other's view)."""
+    view = view or f"linkage_{uuid.uuid4().hex[:12]}"
     df.createOrReplaceTempView(view)
     return df.sparkSession.sql(
         f"SELECT `{col}`, COUNT(*) AS cnt FROM `{view}` GROUP BY `{col}` ORDER BY cnt DESC")
@@ -120,12 +123,13 @@ def compare_summaries(match_t: DataFrame, miss_t: DataFrame, exclude: Sequence[s
                       ) -> DataFrame:
     """The same ranking from two transposed summaries, written as SQL over temp views."""
     spark = match_t.sparkSession
-    match_t.createOrReplaceTempView("match_desc")
-    miss_t.createOrReplaceTempView("miss_desc")
+    tag = uuid.uuid4().hex[:12]
+    match_t.createOrReplaceTempView(f"match_desc_{tag}")
+    miss_t.createOrReplaceTempView(f"miss_desc_{tag}")
     excl = ", ".join("'" + e.replace("'", "''") + "'" for e in exclude) or "NULL"
     return spark.sql(f"""
         SELECT a.field, a.count + b.count AS total, a.mean - b.mean AS delta
-        FROM match_desc a INNER JOIN miss_desc b ON a.field = b.field
+        FROM match_desc_{tag} a INNER JOIN miss_desc_{tag} b ON a.field = b.field
         WHERE a.field NOT IN ({excl})
         ORDER BY delta DESC, total DESC""")
 
