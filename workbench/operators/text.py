@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import IDF, CountVectorizer
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -238,19 +238,29 @@ def tfidf(tf: DataFrame, key: str, idf_table: DataFrame) -> DataFrame:
             .select(key, "term_id", "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")))
 
 
-def tfidf_vectors(terms: DataFrame, key: str, vocab_size: int = 20000
-                  ) -> tuple[DataFrame, DataFrame]:
-    """Spark ML form: CountVectorizer + IDF → ((key, tfidf vector), (term_id, term)).
-    The document key stays beside its vector (no positional id map)."""
-    cv = CountVectorizer(inputCol="terms", outputCol="termFreqs", vocabSize=vocab_size)
-    cv_model = cv.fit(terms)
+def tfidf_vectors(terms: DataFrame, key: str, vocab_size: int = 20000,
+                  vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Spark ML form: term-count vectors + IDF → ((key, tfidf vector), (term_id, term)).
+    The document key stays beside its vector (no positional id map).
+
+    With ``vocab`` (term_id, term, …, at most ``vocab_size`` rows, e.g. from
+    ``vocabulary``) the vector slots follow that deterministic order; otherwise
+    ``CountVectorizer`` picks the vocabulary (ties in count in any order)."""
+    if vocab is not None:
+        words = [r.term for r in vocab.orderBy("term_id").limit(vocab_size)
+                 .select("term").collect()]
+        cv_model = CountVectorizerModel.from_vocabulary(words, inputCol="terms",
+                                                        outputCol="termFreqs")
+    else:
+        cv_model = CountVectorizer(inputCol="terms", outputCol="termFreqs",
+                                   vocabSize=vocab_size).fit(terms)
     freqs = cv_model.transform(terms)
     idf_model = IDF(inputCol="termFreqs", outputCol="tfidfVec").fit(freqs)
     vectors = idf_model.transform(freqs).select(key, "tfidfVec")
     spark = terms.sparkSession
-    vocab = spark.createDataFrame(list(enumerate(cv_model.vocabulary)),
-                                  "term_id int, term string")
-    return vectors, vocab
+    vocab_table = spark.createDataFrame(list(enumerate(cv_model.vocabulary)),
+                                        "term_id int, term string")
+    return vectors, vocab_table
 
 
 def stop_word_table(spark, words: Sequence[str] = STOP_WORDS) -> DataFrame:

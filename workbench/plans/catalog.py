@@ -723,8 +723,12 @@ def tfidf(spark, d):
 
 @register("tfidf_vectors")
 def tfidf_vectors(spark, d):
-    """Spark ML vectors per document, reported as (doc_id, terms in vector, weight sum)."""
-    vecs, _vocab = X.tfidf_vectors(_doc_terms(spark, d), "doc_id", 20000)
+    """Spark ML vectors per document over the long form's vocabulary, reported as
+    (doc_id, non-zero weights, weight sum)."""
+    # the term arrays feed the vocabulary, the IDF fit and the weighting: tokenise once
+    terms = _doc_terms(spark, d).checkpoint(eager=True)
+    vocab = X.vocabulary(X.term_freq(terms, "doc_id"), 20000)
+    vecs, _vocab = X.tfidf_vectors(terms, "doc_id", 20000, vocab=vocab)
     arr = vector_to_array("tfidfVec")
     return rounded(vecs.select(
         "doc_id", F.size(F.filter(arr, lambda v: v != 0)).alias("nnz"),

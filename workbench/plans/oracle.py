@@ -381,6 +381,11 @@ def _text(q: dict[str, str]) -> None:
         f"SELECT tf.doc_id, CAST(idf.term_id AS INTEGER) AS term_id, tf.term, tf.tf, "
         f"{r6('tf.tf * idf.idf')} AS tfidf FROM tf JOIN idf USING (term)")
     q["doc_terms_pandas"] = q["doc_terms"]
+    q["tfidf_vectors"] = idf.replace("\n, ", ",\n") + (
+        f", w AS (SELECT tf.doc_id, tf.tf * idf.idf AS tfidf FROM tf JOIN idf USING (term))\n"
+        f"SELECT d.doc_id, CAST(coalesce(count_if(w.tfidf <> 0), 0) AS INTEGER) AS nnz, "
+        f"{r6('coalesce(sum(w.tfidf), 0)')} AS weight "
+        f"FROM docs d LEFT JOIN w USING (doc_id) GROUP BY d.doc_id").replace("\n, w AS", ",\nw AS")
     q["term_freq"] = q["term_freq"].replace("\n, ", ",\n")
     ldocs = f"WITH docs AS (SELECT * FROM ({terms(True)}) WHERE len(terms) >= 2)\n"
     q["lemma_terms"] = ldocs + ("SELECT term, count(*) AS total FROM "
