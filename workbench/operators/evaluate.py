@@ -84,7 +84,10 @@ def sample_negatives(positives: DataFrame, all_items: DataFrame, *, seed: int =
     def successes(draws: DataFrame) -> DataFrame:
         return draws.join(skip, [user, item], "left_anti")
 
-    first = successes(_draw(targets, catalogue, n_items, seed, "lo", "hi", user, item))
+    # first-round hits feed both the shortfall count and the result: write them once
+    # rather than repeat the draw and anti-join shuffles
+    first = successes(_draw(targets, catalogue, n_items, seed, "lo", "hi", user, item)
+                      ).checkpoint(eager=True)
     found = first.groupBy(user).agg(F.count(F.lit(1)).alias("found"))
     short = (targets.join(found, user, "left")
              .where((F.coalesce("found", F.lit(0)) < F.col("target"))
