@@ -69,3 +69,13 @@ def test_long_form_from_text_equals_array_form(spark):
         a = X.term_freq(X.doc_terms(docs, "doc_id", "text", **kw), "doc_id")
         b = X.term_freq_from_text(docs, "doc_id", "text", **kw)
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_large_word_lists_fall_back_to_joins(spark, monkeypatch):
+    docs = _docs(spark)
+    stop = spark.createDataFrame([(w,) for w in X.STOP_WORDS], "word string")
+    lem = spark.createDataFrame([("went", "go"), ("cats", "cat")], "form string, lemma string")
+    inline = X.term_freq_from_text(docs, "doc_id", "text", stop_words=stop, lemmas=lem)
+    monkeypatch.setattr(X, "MAX_LITERAL_WORDS", 1)
+    joined = X.term_freq_from_text(docs, "doc_id", "text", stop_words=stop, lemmas=lem)
+    assert sorted(map(tuple, inline.collect())) == sorted(map(tuple, joined.collect()))

@@ -195,15 +195,27 @@ def term_freq_from_text(df: DataFrame, key: str, text: str, *,
     Words are exploded first and filtered with plain column expressions (compiled by
     whole-stage codegen; the array-lambda form is interpreted), then counted with
     map-side combine. Documents with fewer than ``min_terms`` terms are dropped by a
-    window over their own distinct terms."""
-    stop = _word_list(stop_words)
+    window over their own distinct terms. Word lists and dictionaries too large to
+    inline become joins instead of hash-set tests."""
+    big_stop = isinstance(stop_words, DataFrame) and not is_small(stop_words, MAX_LITERAL_WORDS)
+    big_lemmas = isinstance(lemmas, DataFrame) and not is_small(lemmas, MAX_LITERAL_WORDS)
     w = F.lower(F.col("_w"))
-    if lemmas is not None:
+    if lemmas is not None and not big_lemmas:
         lemma_map = _lemma_map(lemmas)
         w = F.when(w.isin(*_lemma_forms(lemmas)), F.try_element_at(lemma_map, w)).otherwise(w)
     words = df.select(key, F.explode(F.split(F.col(text), NON_LETTERS)).alias("_w"))
-    terms = (words.where(F.length("_w") > 0).select(key, w.alias("term"))
-             .where((F.length("term") >= min_len) & ~F.col("term").isin(*stop)))
+    terms = words.where(F.length("_w") > 0).select(key, w.alias("term"))
+    if big_lemmas:
+        # a dictionary too large for the expression: a join (shuffle unless small)
+        lem = lemmas.groupBy(lemmas.columns[0]).agg(F.max(lemmas.columns[1]).alias("_lemma"))
+        lem = broadcast_if_small(lem.withColumnRenamed(lemmas.columns[0], "term"))
+        terms = terms.join(lem, "term", "left").select(
+            key, F.coalesce("_lemma", "term").alias("term"))
+    terms = terms.where(F.length("term") >= min_len)
+    if big_stop:
+        terms = remove_stop_words_join(terms, stop_words, "term")
+    else:
+        terms = terms.where(~F.col("term").isin(*_word_list(stop_words)))
     tf = terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     n_terms = F.sum("tf").over(Window.partitionBy(key))
     return tf.withColumn("_n", n_terms).where(F.col("_n") >= min_terms).drop("_n")
