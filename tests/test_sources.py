@@ -1,7 +1,6 @@
 """Readers and line parsers, on hand-made edge lines (T5, T6, T7, T8)."""
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from workbench.operators import recommend
