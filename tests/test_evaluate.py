@@ -208,3 +208,20 @@ def test_all_negatives_auc_against_brute_force(spark):
         want[u] = ok / len(pairs)
     assert set(got) == set(want) and 99 not in got
     assert all(math.isclose(got[u], want[u]) for u in want)
+
+
+def test_mean_auc_many_equals_separate_runs(spark):
+    from workbench.operators import recommend
+    rnd = random.Random(3)
+    plays = spark.createDataFrame([(u, rnd.randint(0, 40), rnd.randint(1, 9))
+                                   for u in range(30) for _ in range(8)],
+                                  "user int, artist int, count int")
+    train, cv = evaluate.hash_split(plays, ["user", "artist"], train_tenths=6)
+    neg = evaluate.sample_negatives(cv, plays.select("artist"), seed=1)
+    pop = recommend.popularity_predictor(train)
+    inv = lambda df: pop(df).withColumn("prediction", -F.col("prediction"))
+    many = {r.predictor: r.mean_auc for r in
+            evaluate.mean_auc_many(cv, neg, {"pop": pop, "inv": inv}).collect()}
+    for name, p in (("pop", pop), ("inv", inv)):
+        one = evaluate.mean_auc(cv, neg, p).first().mean_auc
+        assert math.isclose(many[name], one)

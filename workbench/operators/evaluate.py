@@ -192,6 +192,26 @@ def mean_auc(positive: DataFrame, negatives: DataFrame, predict: Predictor, *,
     return pu.agg(F.avg("auc").alias("mean_auc"), F.count(F.lit(1)).alias("users"))
 
 
+def mean_auc_many(positive: DataFrame, negatives: DataFrame,
+                  predictors: dict[str, Predictor], *, user: str = "user",
+                  item: str = "artist") -> DataFrame:
+    """(predictor, mean_auc, users) for several predictors on the same positives and
+    negatives in one evaluation: their scored rows are stacked and the per-user
+    counting runs once over (predictor, user) keys."""
+    both = (positive.select(user, item, F.lit(1).alias("_pos"))
+            .unionByName(negatives.select(user, item, F.lit(0).alias("_pos"))))
+    stacked = None
+    for name, predict in predictors.items():
+        scored = predict(both).select(
+            F.concat_ws("\u0001", F.lit(name), F.col(user).cast("string")).alias("_key"),
+            F.col("prediction").cast("double").alias("prediction"), "_pos")
+        stacked = scored if stacked is None else stacked.unionByName(scored)
+    pu = per_user_auc_flagged(stacked, "_pos", "_key")
+    return (pu.select(F.substring_index("_key", "\u0001", 1).alias("predictor"), "auc")
+            .groupBy("predictor").agg(F.avg("auc").alias("mean_auc"),
+                                      F.count(F.lit(1)).alias("users")))
+
+
 # ---- classification metrics ---------------------------------------------------------
 def class_priors(df: DataFrame, label: str) -> DataFrame:
     """(label, count, p) with p = count / rows, ordered by label."""
