@@ -782,12 +782,6 @@ def als_topn_user(spark, d):
     return recommend.recommend_for_user(model, SPOT_USER, 5)
 
 
-def _als_auc(spark, d, train, cv, neg, rank, reg, alpha, max_iter):
-    model = recommend.fit_als(train, rank=rank, reg=reg, alpha=alpha, max_iter=max_iter,
-                              seed=42)
-    return evaluate.mean_auc(cv, neg, recommend.als_predictor(model)).first()["mean_auc"]
-
-
 @register("als_auc")
 def als_auc(spark, d):
     """Mean per-user AUC of the factor model next to the popularity baseline, on the
@@ -809,17 +803,22 @@ ALS_ALPHAS = [1.0, 40.0]
 
 @register("als_grid")
 def als_grid(spark, d):
-    """Mean AUC for rank × reg × alpha (8 fits, 20 iterations), best first."""
+    """Mean AUC for rank × reg × alpha (8 fits, 20 iterations), best first: the fits
+    run concurrently, then all eight are evaluated in one stacked AUC pass."""
     counts = _all_counts(spark, d).checkpoint(eager=True)
     train, cv, neg = _negatives(spark, d, counts)
-    train, cv, neg = train.cache(), cv.cache(), neg.cache()
+    train = train.cache()
     grid = [(r, g, a) for r in ALS_RANKS for g in ALS_REGS for a in ALS_ALPHAS]
     try:
         with ThreadPoolExecutor(max_workers=4) as pool:
-            aucs = list(pool.map(lambda p: _als_auc(spark, d, train, cv, neg, *p, 20), grid))
+            models = list(pool.map(
+                lambda p: recommend.fit_als(train, rank=p[0], reg=p[1], alpha=p[2],
+                                            max_iter=20, seed=42), grid))
     finally:
-        for f in (train, cv, neg):
-            f.unpersist()
-    rows = [(r, g, a, float(x)) for (r, g, a), x in zip(grid, aucs)]
-    return (spark.createDataFrame(rows, "rank int, reg double, alpha double, mean_auc double")
+        train.unpersist()
+    names = {f"{r}|{g}|{a}": recommend.als_predictor(m) for (r, g, a), m in zip(grid, models)}
+    res = evaluate.mean_auc_many(cv, neg, names)
+    parts = F.split("predictor", r"\|")
+    return (res.select(parts[0].cast("int").alias("rank"), parts[1].cast("double").alias("reg"),
+                       parts[2].cast("double").alias("alpha"), "mean_auc")
             .orderBy(F.col("mean_auc").desc()))
