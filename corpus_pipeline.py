@@ -11,15 +11,25 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from workbench.llm import bpe, decontam, exact
+from workbench.llm import bpe, decontam, exact, quality, simhash
 from workbench.llm.common import stored
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal normalised texts, the row with the smallest doc_id stays."""
     return exact.drop_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of close fingerprints, the row with the smallest doc_id stays."""
+    return simhash.keep_one(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -30,7 +40,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("exact dedup", exact_dedup), ("benchmark decontamination", decontamination),
+STAGES = [("quality classifier", quality_filter), ("exact dedup", exact_dedup),
+          ("SimHash near-dedup", near_dedup), ("benchmark decontamination", decontamination),
           ("BPE encoding and decoding", tokens)]
 
 # The classifier's weights have no SQL form; the tests hold run() against brute force.

@@ -58,6 +58,26 @@ def split_words(data: np.ndarray, ends: np.ndarray, table: np.ndarray) -> Words:
     return Words(h, start + base, last + 1 + base, np.searchsorted(start, ends - base))
 
 
+def stem_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray,
+               size: int) -> np.ndarray:
+    """The first ``size`` (at most 8) bytes of words as one integer, 0 for shorter words."""
+    out = np.zeros(len(start), np.uint64)
+    long = end - start >= size
+    for k in range(size):
+        out[long] = out[long] << np.uint64(8) | table[data[start[long] + k]].astype(np.uint64)
+    return out
+
+
+def first_of_text(keys: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Places, in order, of one occurrence of each key in each text; ``owner`` ascends."""
+    both = keys ^ (owner.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    order = np.argsort(both)
+    ranked = both[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    return np.sort(order[new])
+
+
 def hash_word(word: bytes, table: np.ndarray) -> int:
     """The hash that ``split_words`` gives this word."""
     data = np.frombuffer(word, np.uint8)
