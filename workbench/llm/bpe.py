@@ -30,22 +30,25 @@ from workbench.llm.tokenfiles import Vocabulary
 SLICE, INDEXED, REMEMBER = 1 << 21, 50_000, 400_000
 
 
+def _positions(symbols: list[int], v: Vocabulary) -> dict[int, list[int]]:
+    """The index: every mergeable pair's positions."""
+    flat = np.array(symbols, np.int64)
+    at = np.flatnonzero((flat[:-1] >= 0) & (flat[1:] >= 0))
+    pairs = flat[at] << v.SHIFT | flat[at + 1]
+    order = np.argsort(pairs, kind="stable")
+    found, first = np.unique(pairs[order], return_index=True)
+    parts = zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(order)])
+    ranked = at[order]
+    return {pair: ranked[a:b].tolist() for pair, a, b in parts if pair in v.ranks}
+
+
 def encode_words(words: list[str], v: Vocabulary) -> list[tuple[int, ...]]:
     """The ids of each word."""
-    symbols: list[int] = []
-    starts = []
-    for word in words:
-        starts.append(len(symbols))
-        symbols += v.symbols(word)
-        symbols.append(-1)  # between words; no pair holds it
+    symbols, starts = v.symbol_rows(words)
     n = len(symbols)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     ranks, shift = v.ranks, v.SHIFT
-    where: dict[int, list[int]] = {}
-    for i, (a, b) in enumerate(zip(symbols, symbols[1:])):
-        pair = a << shift | b
-        if a >= 0 and b >= 0 and pair in ranks:
-            where.setdefault(pair, []).append(i)
+    where = _positions(symbols, v)
     active = [(*ranks[pair], pair) for pair in where]
     heapq.heapify(active)
     low = (1 << shift) - 1
@@ -53,20 +56,29 @@ def encode_words(words: list[str], v: Vocabulary) -> list[tuple[int, ...]]:
         _, union, pair = heapq.heappop(active)
         left, right = pair >> shift, pair & low
         for i in sorted(where.pop(pair)):
+            if symbols[i] != left:
+                continue
             j = after[i]
-            if symbols[i] != left or symbols[j] != right:
+            if symbols[j] != right:
                 continue
             symbols[i], symbols[j] = union, -2
             k = after[i] = after[j]
             before[k] = i
+            if symbols[k] >= 0:
+                new = union << shift | symbols[k]
+                if new in where:
+                    where[new].append(i)
+                elif new in ranks:
+                    where[new] = [i]
+                    heapq.heappush(active, (*ranks[new], new))
             h = before[i]
-            for at, a, b in ((i, union, symbols[k]), (h, symbols[h] if h >= 0 else -1, union)):
-                new = a << shift | b
-                if a >= 0 and b >= 0 and new in ranks:
-                    if new not in where:
-                        where[new] = []
-                        heapq.heappush(active, (*ranks[new], new))
-                    where[new].append(at)
+            if symbols[h] >= 0:
+                new = symbols[h] << shift | union
+                if new in where:
+                    where[new].append(h)
+                elif new in ranks:
+                    where[new] = [h]
+                    heapq.heappush(active, (*ranks[new], new))
     out = []
     for s in starts:
         ids, i = [], s
@@ -77,10 +89,38 @@ def encode_words(words: list[str], v: Vocabulary) -> list[tuple[int, ...]]:
     return out
 
 
+class Known:
+    """The ids of the words met so far, in one array."""
+
+    def __init__(self, v: Vocabulary):
+        self.v = v
+        self.clear()
+
+    def clear(self) -> None:
+        self.number = {t: k for k, t in enumerate(self.v.special)}
+        self.ids = np.array(list(self.v.special.values()), np.int32)
+        self.first = np.arange(len(self.ids) + 1)
+
+    def learn(self, words: list[str]) -> None:
+        for k in range(0, len(words), INDEXED):
+            part = words[k:k + INDEXED]
+            ids = encode_words(part, self.v)
+            ends = self.first[-1] + np.cumsum([len(x) for x in ids])
+            self.number.update(zip(part, range(len(self.first) - 1, len(self.first) - 1 + len(part))))
+            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(ids), np.int32)))
+            self.first = np.concatenate((self.first, ends))
+
+    def encode(self, words: list[str]) -> np.ndarray:
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        size = self.first[at + 1] - self.first[at]
+        ends = np.cumsum(size)
+        return self.ids[np.arange(size.sum()) + np.repeat(self.first[at] - ends + size, size)]
+
+
 def _encoder(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(path)
-        known: dict[str, tuple[int, ...]] = {}
+        known = Known(v)
         for batch in batches:
             _, ends = texts(batch.column(1))
             for a, b in slices(ends, SLICE):
@@ -90,21 +130,14 @@ def _encoder(path: str):
                     for special, part in v.pieces(t.as_py()):
                         words += [part] if special else v.split.findall(part)
                     split.append(words)
-                if len(known) > REMEMBER:
+                if len(known.number) > REMEMBER:
                     known.clear()
-                if not known:
-                    known.update((t, (i,)) for t, i in v.special.items())
-                new = list(set().union(*split).difference(known))
-                for k in range(0, len(new), INDEXED):
-                    part = new[k:k + INDEXED]
-                    known.update(zip(part, encode_words(part, v)))
-                ids = [np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32)
-                       for words in split]
+                known.learn(list(set().union(*split).difference(known.number)))
+                ids = [known.encode(words) for words in split]
                 offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a),
-                     pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))],
+                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids), pa.int32()))],
                     ["id", "ids"])
     return run
 

@@ -7,6 +7,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import regex
 
 # White space as the tokenizers see it, and the two files' split patterns.
@@ -59,6 +60,19 @@ class Vocabulary:
         out[-1] = self.last_id[data[-1]]
         return out
 
+    def symbol_rows(self, words: list[str]) -> tuple[list[int], list[int]]:
+        """The words' symbols before any merge, each word closed by -1, and the place of
+        each word's first."""
+        data = [w.encode("utf-8") for w in words]
+        size = np.fromiter(map(len, data), np.int64, len(data))
+        ends = np.cumsum(size)
+        flat = np.frombuffer(b"".join(data), np.uint8)
+        out = np.full(len(flat) + len(words), -1, np.int64)
+        out[np.arange(len(flat)) + np.repeat(np.arange(len(words)), size)] = np.array(self.byte_id)[flat]
+        last = ends - 1 + np.arange(len(words))
+        out[last] = np.array(self.last_id)[flat[ends - 1]]
+        return out.tolist(), (last - size + 1).tolist()
+
     def folded(self, text: str) -> str:
         """The normal form that the file asks for: composed and in lower case, each
         character by itself (so no final sigma)."""
