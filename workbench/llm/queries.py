@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from workbench.llm import bpe, decontam, exact, quality, simhash, tokencount
+from workbench.llm import bpe, decontam, exact, lm, quality, simhash, tokencount
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,3 +100,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_simhash_dedup")
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op9_lm_scores")
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.fold_scores(table(spark, sf_dir, "documents"))
