@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from workbench.llm import bpe, decontam, exact, lm, quality, simhash, tokencount
+from workbench.llm import bpe, decontam, exact, lm, pii, quality, simhash, tokencount
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,7 +84,6 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from words d left join covered c using (id) left join items t using (id)
     where d.kind = 0""")
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     found = decontam.contamination(table(spark, sf_dir, "documents"),
                                    table(spark, sf_dir, "benchmark"))
     listed = F.encode(F.array_join(F.array_sort("items"), ","), "utf-8")
@@ -105,3 +105,10 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_lm_scores")
 def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.fold_scores(table(spark, sf_dir, "documents"))
+
+
+@register("op10_pii")
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS],
+                        F.sha2(F.encode("base", "utf-8"), 256).alias("base_sha256"), "spans")
