@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workbench.llm import bpe, decontam, exact, lm, pii, quality, simhash, tokencount
+from workbench.llm import bpe, decontam, exact, lines, lm, pii, quality, simhash, tokencount
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,6 +97,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@register("op7_line_dedup")
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.fuzzy_lines(table(spark, sf_dir, "documents"))
+
+
 @register("op8_simhash_dedup")
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
