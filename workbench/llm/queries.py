@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workbench.llm import bpe, decontam, exact, lines, lm, pii, quality, simhash, tokencount
+from workbench.llm import bpe, decontam, exact, lines, lm, passages, pii, quality, simhash, tokencount
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +45,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op3_substring_dedup")
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(table(spark, sf_dir, "documents"))
+
+
 @register("op4_bpe_round_trip")
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"),
