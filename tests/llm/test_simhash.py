@@ -47,7 +47,8 @@ def test_edges(spark):
     assert run(docs) == expected
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted({c for _, _, c in expected}, key=str)
+    # two of the rows with doc_id 13 say the same, the third does not
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 12, 13, 13]
 
 
 def test_empty_table(spark):

@@ -211,17 +211,20 @@ class LabelModel(NamedTuple):
 def fit_labels(v: np.ndarray, n: np.ndarray, *, rounds: int = 100, tol: float = 1e-9) -> LabelModel:
     """Expectation-maximisation from vote patterns ``v`` that ``n`` documents have each.
 
-    In each class a labeller starts with most weight on that class's vote; a little is added
-    to every count, so that a pattern never seen has a probability. Labellers are taken to
+    A labeller that ever votes for a fault starts with most weight on that vote in the
+    fault's class, and on ``clean`` in all others; a little is added to every count, so that a pattern never seen has a probability. Labellers are taken to
     be better than chance: a fault is seen in the documents of other classes at most with
     FALSE_ALARM, and where it is by each of its labellers at least with SEEN, which also
     keeps the classes' names in place."""
     k, j = len(CLASSES), v.shape[1]
-    start = np.full((j, k, DIGITS), 0.05)
-    for c in range(k):
-        start[:, c, c + 1] = 0.6
-        start[:, c, CLEAN + 1] += 0.2  # a fault often has no trace for a labeller
-        start[:, c, BAD + 1] = 0.05 if c == CLEAN else 0.3
+    sees = np.array([(v == c).any(0) for c in range(k)]).T  # [labeller, class]
+    start = np.full((j, k, DIGITS), 0.01)
+    start[:, :, CLEAN + 1] = 0.9
+    for c in range(1, k):
+        start[sees[:, c], c, CLEAN + 1] = 0.2
+        start[sees[:, c], c, c + 1] = 0.7
+    told = (v == BAD).any(0)  # by the given label
+    start[told, 1:, BAD + 1] += 0.4
     model = LabelModel(np.array([0.75] + [0.25 / (k - 1)] * (k - 1)),
                        start / start.sum(2, keepdims=True))
     for _ in range(rounds):
@@ -240,8 +243,7 @@ def fit_labels(v: np.ndarray, n: np.ndarray, *, rounds: int = 100, tol: float =
                     vote[:, c, fault + 1] -= over
                     vote[:, c, CLEAN + 1] += over
             if c:
-                sees = (v == c).any(0)
-                vote[sees, c, c + 1] = np.maximum(vote[sees, c, c + 1], SEEN)
+                vote[sees[:, c], c, c + 1] = np.maximum(vote[sees[:, c], c, c + 1], SEEN)
         new = LabelModel(prior / prior.sum(), vote / vote.sum(2, keepdims=True))
         moved = abs(new.prior - model.prior).max() + abs(new.vote - model.vote).max()
         model = new
