@@ -225,3 +225,9 @@ def test_mean_auc_many_equals_separate_runs(spark):
     for name, p in (("pop", pop), ("inv", inv)):
         one = evaluate.mean_auc(cv, neg, p).first().mean_auc
         assert math.isclose(many[name], one)
+
+
+def test_null_key_parts_are_not_skipped(spark):
+    from workbench.functions.hashing import md5_u32
+    df = spark.createDataFrame([(None, "a"), ("a", None)], "x string, y string")
+    assert len({r[0] for r in df.select(md5_u32("x", "y")).collect()}) == 2

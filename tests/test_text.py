@@ -71,11 +71,38 @@ def test_long_form_from_text_equals_array_form(spark):
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
-def test_large_word_lists_fall_back_to_joins(spark, monkeypatch):
+def test_lists_and_tables_of_words_agree_and_nulls_are_no_words(spark):
     docs = _docs(spark)
-    stop = spark.createDataFrame([(w,) for w in X.STOP_WORDS], "word string")
-    lem = spark.createDataFrame([("went", "go"), ("cats", "cat")], "form string, lemma string")
-    inline = X.term_freq_from_text(docs, "doc_id", "text", stop_words=stop, lemmas=lem)
-    monkeypatch.setattr(X, "MAX_LITERAL_WORDS", 1)
-    joined = X.term_freq_from_text(docs, "doc_id", "text", stop_words=stop, lemmas=lem)
-    assert sorted(map(tuple, inline.collect())) == sorted(map(tuple, joined.collect()))
+    stop = spark.createDataFrame([(w,) for w in X.STOP_WORDS] + [(None,), ("the",)], "word string")
+    pairs = [("went", "go"), ("cats", "cat")]
+    lem = spark.createDataFrame([*pairs, (None, "x"), ("dogs", None)], "form string, lemma string")
+    for make in (X.term_freq_from_text, lambda *a, **k: X.term_freq(X.doc_terms(*a, **k), "doc_id")):
+        plain = make(docs, "doc_id", "text", lemmas=pairs)
+        table = make(docs, "doc_id", "text", stop_words=stop, lemmas=lem)
+        rows = sorted(map(tuple, plain.collect()))
+        assert rows and rows == sorted(map(tuple, table.collect()))
+
+
+def test_whole_token_rule(spark):
+    df = spark.createDataFrame([(1, "covid19 hit (Paris), b2b d'accord über-alles; end.")], "doc_id int, text string")
+    cut, = X.doc_terms(df, "doc_id", "text").collect()
+    whole, = X.doc_terms(df, "doc_id", "text", letters_only=True).collect()
+    assert "covid" in cut.terms and whole.terms == ["hit", "paris", "end"]
+
+
+def test_header_is_no_head_and_entities_by_number(spark):
+    html = "<html><head lang='x'><title>T</title></head><header>Top</header> <p>a &#8212; b&apos;s &#x27;c&#x27; &#0; &#x1F600;</p></html>"
+    df = spark.createDataFrame([(1, html), (2, "<header>x</header></head>y")], "id int, html string")
+    rows = {r.id: r.content for r in X.page_text(df, "html", keep=["id"]).collect()}
+    assert rows[1] == "Top a \u2014 b's 'c' &#0; \U0001F600" and rows[2] == "x y"
+
+
+def test_one_shuffle_by_document(spark):
+    p = X.term_freq_from_text(_docs(spark), "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in p.split("\n") if "hashpartitioning(doc_id" in x]) == 1
+
+
+def test_python_annotator(spark):
+    got = X.doc_terms_in_pandas(_docs(spark).unionAll(spark.createDataFrame([(9, None)], "a int, b string")),
+                                "doc_id", "text", lambda: lambda t: t.split()).collect()
+    assert {r.doc_id: len(r.terms) for r in got} == {1: 8, 4: 8, 5: 6}

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 
 def md5_u32(*parts: Column | str) -> Column:
-    """First 32 bits of md5(p1 ':' p2 ':' ...) as a non-negative bigint."""
+    """First 32 bits of md5(p1 ':' p2 ':' ...) as a non-negative bigint. A null part is the
+    empty string, so (null, 'a') and ('a', null) differ."""
     cols = [F.col(p) if isinstance(p, str) else p for p in parts]
-    joined = F.concat_ws(":", *[c.cast("string") for c in cols])
+    joined = F.concat_ws(":", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
     return F.conv(F.substring(F.md5(joined), 1, 8), 16, 10).cast("bigint")
 
 

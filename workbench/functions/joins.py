@@ -1,31 +1,16 @@
-"""Join helpers."""
+"""Join helpers. Which side is broadcast is left to Spark, which knows the sides' bytes: by
+the estimate when it plans, by the measured size when it runs (AQE)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: rows a lookup table may hold to be shipped whole to every task.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Proof of a size bound: a job that stops after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the row bound; beyond it the join stays a
-    shuffle join (AQE may still pick a broadcast from runtime sizes)."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def lookup_or_self(df: DataFrame, key: str, mapping: DataFrame, src: str, dst: str,
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def lookup_or_self(df: DataFrame, key: str, mapping: DataFrame, src: str, dst: str) -> DataFrame:
     """Replace ``df[key]`` by ``mapping[dst]`` where ``mapping[src]`` matches, else keep
     it (a map lookup with the key itself as default). One hop only."""
     m = mapping.select(F.col(src).alias("_src"), F.col(dst).alias("_dst"))
-    m = broadcast_if_small(m, max_rows)
     cols = [F.coalesce(F.col("_dst"), F.col(key)).alias(key) if c == key else F.col(c)
             for c in df.columns]
     return df.join(m, df[key] == m["_src"], "left").select(*cols)

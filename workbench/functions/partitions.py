@@ -2,36 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
-
-def cache_spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Cache ``df`` for repeated scans, with at least as many partitions as the cluster
-    has task slots.
-
-    A small join result can arrive in a few coalesced partitions and leave most cores
-    idle for every iteration of a fit. The partition count is read from the cached
-    frame (no upstream recomputation); only then, and only when it is too low, is the
-    frame spread round-robin and cached again. Large inputs are never shrunk."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    data = df.cache()
-    data.count()
-    if data.rdd.getNumPartitions() >= want:
-        return data
-    wide = data.repartition(want).cache()
-    wide.count()
-    data.unpersist()
-    return wide
+from collections.abc import Sequence
 
+from pyspark.sql import DataFrame
 
-def maybe_repartition(df: DataFrame, partitions: int | None) -> DataFrame:
-    """An explicit ``repartition(n)`` when the caller asks for one."""
-    return df.repartition(partitions) if partitions else df
+# Partitions of a frame that is fitted on. A documented parameter of the fits, and no
+# function of the cluster: a solver's random start and the order of its sums depend on it.
+FIT_PARTITIONS = 32
 
 
-def slots_or_more(df: DataFrame) -> int | None:
-    """A repartition target for a frame read straight from files (no shuffle in its
-    plan, so counting its partitions plans file splits and runs no job): the number of
-    task slots when the input has fewer splits, else None (keep the input's splits)."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return slots if df.rdd.getNumPartitions() < slots else None
+def spread(df: DataFrame, partitions: int = FIT_PARTITIONS, by: Sequence[str] | None = None) -> DataFrame:
+    """``df`` in ``partitions`` parts by the hash of ``by`` (all columns, unless given), each
+    sorted by them: the same rows in the same order on any number of task slots and for
+    any layout of the input, so that a seeded fit gives the same model. Set ``partitions``
+    so that a part fits an executor's memory."""
+    cols = list(by or df.columns)
+    return df.repartition(partitions, *cols).sortWithinPartitions(*cols)

@@ -23,9 +23,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Rows of a chunk, when the caller names no number of chunks.
+CHUNK_ROWS = 250_000
+
+
 def _chunks(df: DataFrame, cols: Sequence[str], partitions: int | None) -> DataFrame:
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # chunks grow in number with the data, not in size
+    n = partitions or max(1, -(-df.count() // CHUNK_ROWS))
     ranged = df.repartitionByRange(n, *cols).withColumn("_chunk", F.spark_partition_id())
     # reliable checkpoint: survives executor loss and pins the chunk ids
     return ranged.checkpoint(eager=True)

@@ -32,14 +32,11 @@ def dot(a: Column, b: Column) -> Column:
                        lambda acc, x: acc + x)
 
 
-def nearest(points: Column, centers: Sequence[Sequence[float]]) -> tuple[Column, Column]:
-    """(index of the nearest centre, squared distance to it) for k fixed centres.
-
-    The k centres are literals in the expression (k is a model parameter, so the
-    expression size is bounded); ties go to the lower index."""
-    dists = F.array(*[sqdist(points, literal_vector(c)) for c in centers])
-    best = F.array_min(dists)
-    return (F.array_position(dists, best) - 1).cast("int"), best
+def nearest(point: Column, centers: Column) -> Column:
+    """struct (dist, cluster) of the nearest of ``centers``, an array of (cluster, center);
+    ties go to the lower cluster."""
+    return F.array_min(F.transform(centers, lambda c: F.struct(
+        sqdist(point, c["center"]).alias("dist"), c["cluster"].alias("cluster"))))
 
 
 def first_hot_index(cols: Sequence[str]) -> Column:

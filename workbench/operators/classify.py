@@ -18,7 +18,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workbench.functions.partitions import maybe_repartition
+from workbench.functions.partitions import FIT_PARTITIONS, spread
 from workbench.functions.vectors import first_hot_index
 
 
@@ -55,19 +55,22 @@ def forest(label: str, features: str = "featureVector", seed: int = 42, **params
 
 
 def fit_tree(df: DataFrame, label: str, features: Sequence[str] | None = None, *,
-             seed: int = 42, partitions: int | None = None, **params) -> PipelineModel:
-    """assemble → decision tree (``partitions``: optional repartition of the input)."""
+             seed: int = 42, partitions: int = FIT_PARTITIONS, **params) -> PipelineModel:
+    """assemble → decision tree (``partitions``: see ``spread``)."""
     cols = list(features) if features else feature_columns(df, label)
     return Pipeline(stages=[assembler(cols), tree(label, seed=seed, **params)]).fit(
-        maybe_repartition(df, partitions))
+        spread(df, partitions))
 
 
 def check_bins(df: DataFrame, cols: Sequence[str], max_categories: int, max_bins: int) -> None:
     """maxBins must cover the largest categorical feature (≤ max_categories values)."""
     if max_bins < max_categories:
         # the indexer may declare up to max_categories values for a feature
-        distinct = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-        widest = max(v for v in distinct.asDict().values() if v <= max_categories)
+        seen = (df.select(F.explode(F.map_from_arrays(
+                    F.array(*[F.lit(c) for c in cols]),
+                    F.array(*[F.col(c).cast("double") for c in cols]))).alias("feature", "value"))
+                .distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("n")))
+        widest = seen.where(F.col("n") <= max_categories).agg(F.max("n")).first()[0] or 0
         if widest > max_bins:
             raise ValueError(f"maxBins={max_bins} is below a categorical feature with "
                              f"{widest} values; raise maxBins to at least {widest}")
@@ -82,7 +85,7 @@ def categorical_stages(cols: Sequence[str], max_categories: int = 40
 
 def fit_categorical(df: DataFrame, label: str, *, model: str = "tree",
                     max_categories: int = 40, max_bins: int = 50, seed: int = 42,
-                    partitions: int | None = None, **params) -> PipelineModel:
+                    partitions: int = FIT_PARTITIONS, **params) -> PipelineModel:
     """assemble → index slots with ≤ max_categories values as categories → tree or
     forest on the indexed vector."""
     cols = feature_columns(df, label)
@@ -90,7 +93,7 @@ def fit_categorical(df: DataFrame, label: str, *, model: str = "tree",
     make = tree if model == "tree" else forest
     est = make(label, "indexedVector", seed=seed, maxBins=max_bins, **params)
     return Pipeline(stages=[*categorical_stages(cols, max_categories), est]).fit(
-        maybe_repartition(df, partitions))
+        spread(df, partitions))
 
 
 def importances(model: PipelineModel, names: Sequence[str]) -> DataFrame:
@@ -124,7 +127,7 @@ GRID_MIN_GAIN = [0.0, 0.05]
 
 def tree_grid_search(df: DataFrame, label: str, *, train_ratio: float = 0.9,
                      seed: int = 42, parallelism: int = 4,
-                     partitions: int | None = None) -> tuple[DataFrame, object]:
+                     partitions: int = FIT_PARTITIONS) -> tuple[DataFrame, object]:
     """Train/validation search over impurity × depth × bins × min-gain (16 fits, run
     ``parallelism`` at a time). Returns (metrics table sorted best first, best model)."""
     cols = feature_columns(df, label)
@@ -139,7 +142,7 @@ def tree_grid_search(df: DataFrame, label: str, *, train_ratio: float = 0.9,
     tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid,
                                evaluator=evaluator(label), trainRatio=train_ratio,
                                seed=seed, parallelism=parallelism)
-    fitted = tvs.fit(maybe_repartition(df, partitions))
+    fitted = tvs.fit(spread(df, partitions))
     rows = []
     for pm, metric in zip(grid, fitted.validationMetrics):
         p = {k.name: v for k, v in pm.items()}

@@ -18,20 +18,23 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from workbench.functions.joins import is_small
-from workbench.functions.partitions import cache_spread
+from workbench.functions.partitions import FIT_PARTITIONS, spread
 from workbench.functions.vectors import as_double_array, nearest, sqdist
+from workbench.session import materialised
 
 # The k ranges swept by the cost and entropy studies.
 K_SWEEP_SMALL = list(range(20, 101, 20))
 K_SWEEP_LARGE = list(range(60, 271, 30))
 
+SCALED = "scaled"  # the scaled feature vector's column
 
-def one_hot_stages(col: str) -> tuple[list, str]:
-    """String column → frequency-ordered index → one-hot vector (last level dropped)."""
-    indexer = StringIndexer(inputCol=col, outputCol=f"{col}_indexed")
-    encoder = OneHotEncoder(inputCol=f"{col}_indexed", outputCol=f"{col}_vec")
-    return [indexer, encoder], f"{col}_vec"
+
+def one_hot_stages(*cols: str) -> tuple[list, list[str]]:
+    """String columns → frequency-ordered indexes → one-hot vectors (last level dropped).
+    One indexer for all columns: their levels are counted in one pass."""
+    indexed, hot = ([f"{c}_{suffix}" for c in cols] for suffix in ("level", "hot"))
+    return [StringIndexer(inputCols=list(cols), outputCols=indexed),
+            OneHotEncoder(inputCols=indexed, outputCols=hot)], hot
 
 
 def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), *,
@@ -41,15 +44,14 @@ def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), *,
     from workbench.operators.classify import assembler
     stages: list = []
     cols = list(numeric)
-    for c in categorical:
-        s, out = one_hot_stages(c)
-        stages += s
-        cols.append(out)
+    if categorical:
+        stages, hot = one_hot_stages(*categorical)
+        cols += hot
     stages.append(assembler(cols, features))
     if scale:
-        stages.append(StandardScaler(inputCol=features, outputCol="scaledFeatureVector",
-                                     withStd=True, withMean=with_mean))
-        features = "scaledFeatureVector"
+        stages.append(StandardScaler(inputCol=features, outputCol=SCALED, withStd=True,
+                                     withMean=with_mean))
+        features = SCALED
     return stages, features
 
 
@@ -61,11 +63,13 @@ def kmeans(k: int, features: str, *, max_iter: int = 20, tol: float = 1e-4,
 
 def fit_clusters(df: DataFrame, k: int, *, numeric: Sequence[str],
                  categorical: Sequence[str] = (), scale: bool = True, with_mean: bool = False,
-                 max_iter: int = 40, tol: float = 1e-5, seed: int = 42) -> PipelineModel:
-    """one-hot → assemble → scale → k-means, as one fitted pipeline. The input is
-    spread over the task slots and cached for the fit (read once per iteration)."""
+                 max_iter: int = 40, tol: float = 1e-5, seed: int = 42,
+                 partitions: int = FIT_PARTITIONS) -> PipelineModel:
+    """one-hot → assemble → scale → k-means, as one fitted pipeline. The used columns are
+    dealt into ``partitions`` parts (see ``spread``) and cached for the fit, which reads
+    them once per iteration."""
     stages, feats = feature_stages(numeric, categorical, scale=scale, with_mean=with_mean)
-    data = cache_spread(df)
+    data = spread(df.select(*numeric, *categorical), partitions).cache()
     try:
         return Pipeline(stages=[*stages, kmeans(k, feats, max_iter=max_iter, tol=tol,
                                                 seed=seed)]).fit(data)
@@ -73,20 +77,29 @@ def fit_clusters(df: DataFrame, k: int, *, numeric: Sequence[str],
         data.unpersist()
 
 
-def _prepared(df: DataFrame, numeric, categorical, scale, with_mean, keep=()):
+def _prepared(df: DataFrame, numeric, categorical, scale, with_mean, keep=(),
+              partitions: int = FIT_PARTITIONS):
+    """The feature vectors, cached. The used columns are cached while the stages are
+    fitted and the vectors made, and let go before the fits."""
     stages, feats = feature_stages(numeric, categorical, scale=scale, with_mean=with_mean)
-    prep = Pipeline(stages=stages).fit(df)
-    return cache_spread(prep.transform(df).select(*keep, feats)), feats
+    base = spread(df.select(*dict.fromkeys([*keep, *numeric, *categorical])), partitions).cache()
+    try:
+        data = Pipeline(stages=stages).fit(base).transform(base).select(*keep, feats).cache()
+        data.count()
+    finally:
+        base.unpersist()
+    return data, feats
 
 
 # Fixed value: most k-means fits of one sweep that run at the same time.
 MAX_CONCURRENT_FITS = 8
 
 
-def _fit_many(data: DataFrame, ks: Sequence[int], make, parallelism: int | None):
+def _each(ks: Sequence[int], run, parallelism: int | None) -> list:
+    """``run(k)`` for every k, several at a time."""
     workers = parallelism or min(len(ks), MAX_CONCURRENT_FITS)
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        return list(pool.map(lambda k: (k, make(k).fit(data)), ks))
+        return list(pool.map(run, ks))
 
 
 def kmeans_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
@@ -98,10 +111,13 @@ def kmeans_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
     data, feats = _prepared(df, numeric, categorical, scale, with_mean)
     try:
         n = data.count()
-        fits = _fit_many(data, ks, lambda k: kmeans(k, feats, max_iter=max_iter, tol=tol,
-                                                     seed=seed), parallelism)
-        rows = [(int(k), float(m.summary.trainingCost), float(m.summary.trainingCost) / n)
-                for k, m in fits]
+
+        def run(k: int) -> tuple[int, float, float]:
+            model = kmeans(k, feats, max_iter=max_iter, tol=tol, seed=seed).fit(data)
+            cost = float(model.summary.trainingCost)
+            return int(k), cost, cost / n
+
+        rows = _each(ks, run, parallelism)
     finally:
         data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, cost double, mean_cost double")
@@ -138,33 +154,39 @@ def entropy_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
     """(k, entropy): size-weighted label entropy of the clustering at each k."""
     data, feats = _prepared(df, numeric, categorical, scale, False, keep=[label])
     try:
-        fits = _fit_many(data, ks, lambda k: kmeans(k, feats, max_iter=max_iter, tol=tol,
-                                                     seed=seed), parallelism)
-        rows = [(int(k), float(cluster_entropy(m.transform(data), "cluster", label)
-                               .first()["entropy"])) for k, m in fits]
+        def run(k: int) -> tuple[int, float]:
+            model = kmeans(k, feats, max_iter=max_iter, tol=tol, seed=seed).fit(data)
+            return int(k), float(cluster_entropy(model.transform(data), "cluster", label)
+                                 .first()["entropy"])
+
+        rows = _each(ks, run, parallelism)
     finally:
         data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, entropy double")
 
 
 # ---- fixed centres and anomalies ---------------------------------------------------
-def group_centers(df: DataFrame, group: str, order: str, features: str,
-                  max_groups: int = 1_000) -> list[list[float]]:
-    """One centre per group value: the features of the group's first row by ``order``,
-    groups in ascending order. The centres come to the driver and become literals of
-    the assignment expression, so their number is checked first (for many centres,
-    fit or load a ``KMeansModel`` and use its own transform)."""
-    firsts = df.groupBy(group).agg(F.min_by(as_double_array(features), F.col(order)).alias("c"))
-    if not is_small(firsts, max_groups):
-        raise ValueError(f"more than {max_groups} groups: too many centres")
-    return [list(r.c) for r in firsts.orderBy(group).collect()]
-
-
-def assign(df: DataFrame, features: str, centers: Sequence[Sequence[float]],
+def group_centers(df: DataFrame, group: str, order: str, features: str) -> DataFrame:
+    """(cluster, center): the features of each group's first row by ``order``, groups
+    numbered from 0 in ascending order (a window over one row per group)."""
+    firsts = df.groupBy(group).agg(F.min_by(as_double_array(features), F.col(order)).alias("center"))
+    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(group)) - 1
+    return firsts.select(number.cast("int").alias("cluster"), "center")
+
+
+def assign(df: DataFrame, features: str, centers: DataFrame | Sequence[Sequence[float]],
            cluster: str = "cluster", dist: str = "dist") -> DataFrame:
-    """Nearest of k given centres and the squared distance to it."""
-    idx, d = nearest(as_double_array(features), centers)
-    return df.withColumn(cluster, idx).withColumn(dist, d)
+    """Nearest of the given centres, a table (cluster, center) or a list, and the squared
+    distance to it; ties go to the lower cluster. The centres reach the rows as one array
+    (a scalar subquery), and each distance is computed once."""
+    if not isinstance(centers, DataFrame):
+        centers = df.sparkSession.createDataFrame(
+            [(i, [float(x) for x in c]) for i, c in enumerate(centers)],
+            "cluster int, center array<double>")
+    every = centers.agg(F.sort_array(F.collect_list(F.struct("cluster", "center")))).scalar()
+    best = nearest(as_double_array(features), F.col("_centers"))
+    return (df.withColumn("_centers", every).withColumn("_best", best).withColumn(cluster, F.col("_best.cluster"))
+            .withColumn(dist, F.col("_best.dist")).drop("_best", "_centers"))
 
 
 def distance_to_model_center(clustered: DataFrame, model: KMeansModel, features: str,
@@ -184,7 +206,9 @@ def anomalies(scored: DataFrame, dist: str = "dist", k: int = 100,
               keep: Sequence[str] | None = None) -> DataFrame:
     """Rows whose distance is at least the k-th largest distance (ties kept; with
     fewer than k rows the smallest distance). The threshold is a scalar subquery over
-    a top-k (partial top-k per task, then a k-row merge)."""
+    a top-k (partial top-k per task, then a k-row merge). The distances are computed
+    once: the threshold and the result read the same stored rows."""
+    scored = materialised(scored.select(*dict.fromkeys([*(keep or scored.columns), dist])), "distances")
     top = scored.select(dist).orderBy(F.col(dist).desc()).limit(k)
     threshold = top.agg(F.min(dist)).scalar()
     out = scored.where(F.col(dist) >= threshold)
@@ -192,9 +216,9 @@ def anomalies(scored: DataFrame, dist: str = "dist", k: int = 100,
 
 
 def formula_kmeans(df: DataFrame, k: int = 100, *, formula: str = "~ .", max_iter: int = 40,
-                   seed: int = 42) -> PipelineModel:
+                   seed: int = 42, partitions: int = FIT_PARTITIONS) -> PipelineModel:
     """R-style ``~ .`` features (every column; strings one-hot) → k-means."""
     rf = RFormula(formula=formula, featuresCol="features")
     return Pipeline(stages=[rf, KMeans(k=k, maxIter=max_iter, seed=seed,
                                        featuresCol="features", predictionCol="prediction",
-                                       initMode="k-means||")]).fit(df)
+                                       initMode="k-means||")]).fit(spread(df, partitions))

@@ -9,13 +9,14 @@ cuts a hot user into chunks.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from workbench.functions.hashing import hash_split_flag, md5_u32
-from workbench.functions.joins import broadcast_if_small
 from workbench.functions.prefix import dense_index, running_total
+from workbench.session import materialised
 
 Predictor = Callable[[DataFrame], DataFrame]
 
@@ -36,8 +37,8 @@ def with_split(df: DataFrame, key: Sequence[str], train_tenths: int = 9, seed: i
 
 
 # ---- negatives ----------------------------------------------------------------------
-# Fixed value: first-round draws per wanted negative before the rest of the catalogue
-# is drawn for users still short.
+# Fixed value: first-round draws per wanted negative; later rounds draw as many again as
+# have been drawn, for users still short.
 FIRST_ROUND_DRAWS = 4
 SLOT_BLOCK = 4096
 
@@ -71,30 +72,29 @@ def sample_negatives(positives: DataFrame, all_items: DataFrame, *, seed: int =
     Deterministic (md5 of seed, user, draw number). ``exclude`` adds more (user, item)
     pairs to skip (for example the training plays)."""
     # the numbered catalogue is read by every draw round: write it once
-    catalogue = dense_index(all_items.select(F.col(item)), item, "idx").checkpoint(eager=True)
+    catalogue = materialised(dense_index(all_items.select(F.col(item)), item, "idx"), "catalogue")
     n_items = catalogue.count()
-    catalogue = broadcast_if_small(catalogue)
     pos = positives.select(user, item).distinct()
     skip = pos if exclude is None else pos.unionByName(exclude.select(user, item)).distinct()
     targets = pos.groupBy(user).agg(F.count(F.lit(1)).alias("target"))
-    targets = targets.select(
-        user, "target", F.lit(0).alias("lo"),
-        F.least(F.lit(n_items), F.col("target") * FIRST_ROUND_DRAWS).alias("hi"))
-
-    def successes(draws: DataFrame) -> DataFrame:
-        return draws.join(skip, [user, item], "left_anti")
-
-    # first-round hits feed both the shortfall count and the result: write them once
-    # rather than repeat the draw and anti-join shuffles
-    first = successes(_draw(targets, catalogue, n_items, seed, "lo", "hi", user, item)
-                      ).checkpoint(eager=True)
-    found = first.groupBy(user).agg(F.count(F.lit(1)).alias("found"))
-    short = (targets.join(found, user, "left")
-             .where((F.coalesce("found", F.lit(0)) < F.col("target"))
-                    & (F.col("hi") < n_items))
-             .select(user, "target", F.col("hi").alias("lo"), F.lit(n_items).alias("hi")))
-    second = successes(_draw(short, catalogue, n_items, seed, "lo", "hi", user, item))
-    hits = first.unionByName(second).withColumn("_one", F.lit(1))
+    short = targets.select(
+        user, "target", F.col("target").alias("wanted"), F.lit(0).cast("bigint").alias("lo"),
+        F.least(F.lit(n_items), F.col("target") * FIRST_ROUND_DRAWS).cast("bigint").alias("hi"))
+    # a round's hits feed the shortfall count and the result: each is written once. Blocks
+    # double, so the rounds are few and nobody draws much more than is wanted
+    rounds: list[DataFrame] = []
+    while True:
+        drawn = _draw(short, catalogue, n_items, seed, "lo", "hi", user, item)
+        rounds.append(materialised(drawn.join(skip, [user, item], "left_anti"), "draws"))
+        found = rounds[-1].groupBy(user).agg(F.count(F.lit(1)).alias("found"))
+        missing = F.col("wanted") - F.coalesce("found", F.lit(0))
+        short = materialised(
+            short.join(found, user, "left").where((missing > 0) & (F.col("hi") < n_items))
+            .select(user, "target", missing.alias("wanted"), F.col("hi").alias("lo"),
+                    F.least(F.lit(n_items), 2 * F.col("hi")).cast("bigint").alias("hi")), "short")
+        if short.isEmpty():
+            break
+    hits = reduce(DataFrame.unionByName, rounds).withColumn("_one", F.lit(1))
     # slots are integers: fixed-width slot blocks are ordered chunks of each user
     ranked = running_total(hits, user, ["slot"], "_one", "_k",
                            chunk=F.floor(F.col("slot") / SLOT_BLOCK))
@@ -129,10 +129,12 @@ def per_user_auc_flagged(scored: DataFrame, flag: str, user: str = "user",
     both = scored.select(user, F.when(~F.isnan(p), p).alias("score"),
                          F.col(flag).cast("int").alias("np"),
                          (1 - F.col(flag).cast("int")).alias("nn"))
-    sizes = both.groupBy(user).agg(F.sum("np").alias("n_pos"), F.sum("nn").alias("n_neg"))
-    by_score = (both.where(F.col("score").isNotNull()).groupBy(user, "score")
-                .agg(F.sum("np").alias("np"), F.sum("nn").alias("nn")))
-    below = running_total(by_score, user, ["score"], "nn", "neg_below", inclusive=False)
+    # one pass over the predictions: sizes and ordered counts both come from this table
+    by_score = materialised(both.groupBy(user, "score").agg(
+        F.sum("np").alias("np"), F.sum("nn").alias("nn")), "scores")
+    sizes = by_score.groupBy(user).agg(F.sum("np").alias("n_pos"), F.sum("nn").alias("n_neg"))
+    below = running_total(by_score.where(F.col("score").isNotNull()), user, ["score"], "nn",
+                          "neg_below", inclusive=False)
     correct = below.groupBy(user).agg(
         F.sum(F.col("np") * F.col("neg_below")).alias("correct"))
     return (sizes.where((F.col("n_pos") > 0) & (F.col("n_neg") > 0))
@@ -160,8 +162,7 @@ def per_user_auc_all_negatives(positive: DataFrame, item_scores: DataFrame, *,
                  .agg(F.count(F.lit(1)).alias("_n")))
     items_below = running_total(per_score, None, ["score"], "_n", "items_below",
                                 inclusive=False).select("score", "items_below")
-    # one row per distinct item score: a lookup that is broadcast once its size is checked
-    items_below = broadcast_if_small(items_below.checkpoint(eager=True))
+    items_below = materialised(items_below, "items-below")
     pos = positive.select(user, item).join(scores, item, "left")
     mine = pos.select(user, item, "score").distinct()
     own = (mine.where(F.col("score").isNotNull()).groupBy(user, "score")
@@ -198,8 +199,9 @@ def mean_auc_many(positive: DataFrame, negatives: DataFrame,
     """(predictor, mean_auc, users) for several predictors on the same positives and
     negatives in one evaluation: their scored rows are stacked and the per-user
     counting runs once over (predictor, user) keys."""
-    both = (positive.select(user, item, F.lit(1).alias("_pos"))
-            .unionByName(negatives.select(user, item, F.lit(0).alias("_pos"))))
+    # every predictor reads the pairs: derive the negatives once
+    both = materialised(positive.select(user, item, F.lit(1).alias("_pos"))
+                        .unionByName(negatives.select(user, item, F.lit(0).alias("_pos"))), "pairs")
     stacked = None
     for name, predict in predictors.items():
         scored = predict(both).select(
@@ -216,9 +218,9 @@ def mean_auc_many(positive: DataFrame, negatives: DataFrame,
 def class_priors(df: DataFrame, label: str) -> DataFrame:
     """(label, count, p) with p = count / rows, ordered by label."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1)).alias("_n"))
-    # one row: the total is a scalar subquery, not a cross join
-    return (counts.withColumn("p", F.col("count") / total.scalar()).orderBy(label))
+    # the window runs over one row per class, not over the data
+    total = F.sum("count").over(Window.partitionBy(F.lit(0)))
+    return counts.withColumn("p", F.col("count") / total).orderBy(label)
 
 
 def prior_accuracy(train: DataFrame, test: DataFrame, label: str) -> DataFrame:
@@ -243,13 +245,15 @@ def accuracy_f1(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """One row (accuracy, weighted_f1) as aggregates over the (label, prediction)
     counts; classes are those of the label column, weighted by their frequency."""
     cells = df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"))
-    tp = cells.where(F.col(label) == F.col(prediction)).select(
-        F.col(label).alias("c"), F.col("n").alias("tp"))
-    actual = cells.groupBy(label).agg(F.sum("n").alias("actual")).withColumnRenamed(label, "c")
-    predicted = (cells.groupBy(prediction).agg(F.sum("n").alias("predicted"))
-                 .withColumnRenamed(prediction, "c"))
-    per = (actual.join(tp, "c", "left").join(predicted, "c", "left")
-           .fillna(0, ["tp", "predicted"]))
+    y, p, n, zero = F.col(label), F.col(prediction), F.col("n"), F.lit(0).cast("bigint")
+    # each cell counts for its true class and for its predicted one: the rows are read once
+    parts = cells.select(F.inline(F.array(
+        F.struct(y.cast("double").alias("c"), n.alias("actual"), zero.alias("predicted"),
+                 F.when(y == p, n).otherwise(zero).alias("tp")),
+        F.struct(p.cast("double").alias("c"), zero.alias("actual"), n.alias("predicted"),
+                 zero.alias("tp")))))
+    per = (parts.groupBy("c").agg(*[F.sum(x).alias(x) for x in ("actual", "predicted", "tp")])
+           .where(F.col("actual") > 0))
     precision = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     recall = F.col("tp") / F.col("actual")
     f1 = F.when(precision + recall > 0, 2 * precision * recall / (precision + recall)

@@ -7,7 +7,6 @@ group), so everything after the first aggregate runs on a handful of rows.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -33,13 +32,11 @@ def value_counts(df: DataFrame, col: str, count_col: str = "count") -> DataFrame
             .orderBy(F.col(count_col).desc(), F.col(col).asc_nulls_last()))
 
 
-def value_counts_sql(df: DataFrame, col: str, view: str | None = None) -> DataFrame:
-    """Same as ``value_counts`` written as SQL text over a temp view (a fresh view name
-    unless one is given, so concurrent callers do not overwrite each other's view)."""
-    view = view or f"linkage_{uuid.uuid4().hex[:12]}"
-    df.createOrReplaceTempView(view)
+def value_counts_sql(df: DataFrame, col: str) -> DataFrame:
+    """Same as ``value_counts`` written as SQL text; the frame is a parameter of the
+    statement, so no view is left behind."""
     return df.sparkSession.sql(
-        f"SELECT `{col}`, COUNT(*) AS cnt FROM `{view}` GROUP BY `{col}` ORDER BY cnt DESC")
+        f"SELECT `{col}`, COUNT(*) AS cnt FROM {{rows}} GROUP BY `{col}` ORDER BY cnt DESC", rows=df)
 
 
 def summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -119,19 +116,15 @@ def compare_groups(df: DataFrame, label: str, exclude: Sequence[str] = (),
             .orderBy(F.col("delta").desc(), F.col("total").desc()))
 
 
-def compare_summaries(match_t: DataFrame, miss_t: DataFrame, exclude: Sequence[str] = (),
-                      ) -> DataFrame:
-    """The same ranking from two transposed summaries, written as SQL over temp views."""
-    spark = match_t.sparkSession
-    tag = uuid.uuid4().hex[:12]
-    match_t.createOrReplaceTempView(f"match_desc_{tag}")
-    miss_t.createOrReplaceTempView(f"miss_desc_{tag}")
-    excl = ", ".join("'" + e.replace("'", "''") + "'" for e in exclude) or "NULL"
-    return spark.sql(f"""
-        SELECT a.field, a.count + b.count AS total, a.mean - b.mean AS delta
-        FROM match_desc_{tag} a INNER JOIN miss_desc_{tag} b ON a.field = b.field
-        WHERE a.field NOT IN ({excl})
-        ORDER BY delta DESC, total DESC""")
+def compare_summaries(yes: DataFrame, no: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
+    """The same ranking from the transposed summaries of the two sides, which hold one row
+    per field."""
+    left = yes.select("field", F.col("count").alias("n_yes"), F.col("mean").alias("mean_yes"))
+    right = no.select("field", F.col("count").alias("n_no"), F.col("mean").alias("mean_no"))
+    both = left.where(~F.col("field").isin(list(exclude))).join(right, "field")
+    return (both.select("field", (F.col("n_yes") + F.col("n_no")).alias("total"),
+                        (F.col("mean_yes") - F.col("mean_no")).alias("delta"))
+            .orderBy(F.desc("delta"), F.desc("total")))
 
 
 def column_ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:

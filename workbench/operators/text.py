@@ -1,21 +1,19 @@
 """Text to term weights: page text extraction, tokens, stop words, lemmas, term
 counts, vocabulary, inverse document frequency and TF-IDF.
 
-The per-document steps are array functions on the document's own row (no shuffle):
-split on non-letters, lower-case, drop short words and stop words, map lemmas. The
-corpus steps are aggregations with map-side combine (term counts, document
+The per-word steps run on exploded words: split, lower-case, drop short words, join lemmas
+and stop words. The corpus steps are aggregations with map-side combine (term counts, document
 frequencies); the vocabulary is a bounded top-k.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from workbench.functions.joins import broadcast_if_small, is_small
 
 # English stop words removed from the terms (one word per entry).
 STOP_WORDS = [
@@ -51,16 +49,29 @@ LEMMAS = [
 ]
 
 # HTML entities decoded in page text (ampersand last).
-HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
                  ("&nbsp;", " "), ("&amp;", "&")]
+NUMBERED_ENTITY = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 
 NON_LETTERS = r"[^\p{L}]+"
 BLANKS = r"[ \t\n\r\f]+"
-# bound for shipping a word list or dictionary inside the expression
-MAX_LITERAL_WORDS = 100_000
+
+
+def _numbered(entity: Column) -> Column:
+    """The character of ``&#8212;`` or ``&#x2014;``; the entity itself if there is none."""
+    body = F.regexp_replace(entity, "[&#;]", "")
+    code = F.when(F.lower(body).startswith("x"), F.conv(F.substring(body, 2, 6), 16, 10)) \
+        .otherwise(body).cast("int")
+    real = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.when(real, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(entity)
 
 
 def unescape(c: Column) -> Column:
+    """Entities by number, then by name (the ampersand last)."""
+    found = F.concat(F.transform(F.regexp_extract_all(c, F.lit(NUMBERED_ENTITY), F.lit(0)), _numbered),
+                     F.array(F.lit("")))
+    c = F.when(c.contains("&#"), F.array_join(
+        F.zip_with(F.split(c, NUMBERED_ENTITY, -1), found, lambda a, b: F.concat(a, b)), "")).otherwise(c)
     for ent, ch in HTML_ENTITIES:
         c = F.replace(c, F.lit(ent), F.lit(ch))
     return c
@@ -72,7 +83,7 @@ def page_text(df: DataFrame, html: str = "html", keep: Sequence[str] = ()) -> Da
     decoded, blanks collapsed). Pages with no content give no row."""
     h = F.col(html)
     title = unescape(F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1))
-    body = F.regexp_replace(h, r"(?is)<head[^>]*>.*?</head>", " ")
+    body = F.regexp_replace(h, r"(?is)<head(?:\s[^>]*)?>.*?</head>", " ")
     body = F.regexp_replace(body, r"(?is)<script[^>]*>.*?</script>", " ")
     body = F.regexp_replace(body, r"(?is)<style[^>]*>.*?</style>", " ")
     body = F.regexp_replace(body, r"(?s)<!--.*?-->", " ")
@@ -83,100 +94,76 @@ def page_text(df: DataFrame, html: str = "html", keep: Sequence[str] = ()) -> Da
             .where(F.length("content") > 0))
 
 
-def _word_list(words: Sequence[str] | DataFrame, col: str = "word") -> list[str]:
-    if isinstance(words, DataFrame):
-        if not is_small(words, MAX_LITERAL_WORDS):
-            raise ValueError("word list too large to ship with the expression")
-        return [r[0] for r in words.select(col).distinct().collect()]
-    return list(words)
-
-
-def _lemma_map(lemmas: Sequence[tuple[str, str]] | DataFrame | None) -> Column | None:
-    if lemmas is None:
-        return None
-    if isinstance(lemmas, DataFrame):
-        if not is_small(lemmas, MAX_LITERAL_WORDS):
-            raise ValueError("lemma dictionary too large to ship with the expression")
-        pairs = [(r[0], r[1]) for r in lemmas.groupBy(lemmas.columns[0])
-                 .agg(F.max(lemmas.columns[1])).collect()]
+def _words_table(spark: SparkSession, words: Sequence[str] | DataFrame) -> DataFrame:
+    """(term): the distinct words of a list or of a table's first column, nulls dropped."""
+    if not isinstance(words, DataFrame):
+        words = spark.createDataFrame([(w,) for w in words], "term string")
+    return words.select(F.col(words.columns[0]).alias("term")).where("term IS NOT NULL").distinct()
+
+
+def _lemma_table(spark: SparkSession, lemmas: Sequence[tuple[str, str]] | DataFrame) -> DataFrame:
+    """(form, lemma) with one lemma per form, nulls dropped."""
+    if not isinstance(lemmas, DataFrame):
+        lemmas = spark.createDataFrame(list(lemmas), "form string, lemma string")
+    form, lemma = lemmas.columns[:2]
+    return (lemmas.select(F.col(form).alias("form"), F.col(lemma).alias("lemma"))
+            .where("form IS NOT NULL AND lemma IS NOT NULL")
+            .groupBy("form").agg(F.max("lemma").alias("lemma")))
+
+
+def token_rows(df: DataFrame, key: str, text: str, *,
+               stop_words: Sequence[str] | DataFrame = STOP_WORDS,
+               lemmas: Sequence[tuple[str, str]] | DataFrame | None = None, min_len: int = 3,
+               case_sensitive: bool = False, letters_only: bool = False) -> DataFrame:
+    """(key, pos, term): a document's terms with their places. Words are cut at everything
+    that is no letter, lower-cased (before the stop-word test unless ``case_sensitive``),
+    mapped to their lemma, at least ``min_len`` long and not a stop word. With
+    ``letters_only``, words are cut at white space, marks around them are taken off, and
+    one that still holds something else than letters is dropped whole (``covid19``).
+
+    Stop words and lemmas are joined, whatever their number; Spark broadcasts them when
+    they are small. Words are exploded first, so all tests are plain column expressions."""
+    spark = df.sparkSession
+    word = F.col("word")
+    if letters_only:
+        words = df.select(key, F.posexplode(F.split(F.col(text), BLANKS)).alias("pos", "word"))
+        words = words.withColumn("word", F.regexp_replace(
+            "word", r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")).where(word.rlike(r"^\p{L}+$"))
     else:
-        pairs = list(dict(lemmas).items())
-    return F.create_map(*[F.lit(x) for kv in pairs for x in kv])
-
-
-def _lemma_forms(lemmas) -> list[str]:
-    if isinstance(lemmas, DataFrame):
-        return [r[0] for r in lemmas.select(lemmas.columns[0]).distinct().collect()]
-    return [a for a, _ in lemmas]
-
-
-def terms_column(text: Column, stop_words: Sequence[str] | DataFrame = STOP_WORDS,
-                 lemmas: Sequence[tuple[str, str]] | DataFrame | None = None,
-                 min_len: int = 3, case_sensitive: bool = False) -> Column:
-    """array<string> of a document's terms, in text order: words of letters only,
-    lower-cased (before the stop-word test unless ``case_sensitive``), mapped to
-    their lemma, at least ``min_len`` long, not a stop word."""
-    stop = _word_list(stop_words)
-    lemma_map = _lemma_map(lemmas)
-    words = F.filter(F.split(text, NON_LETTERS), lambda w: F.length(w) > 0)
-
-    def lemma(ws: Column) -> Column:
-        if lemma_map is None:
-            return ws
-        forms = _lemma_forms(lemmas)
-        # IN over a literal list is a hash-set probe; only hits pay for the map lookup
-        return F.transform(ws, lambda w: F.when(w.isin(*forms),
-                                                F.try_element_at(lemma_map, w)).otherwise(w))
-
-    def keep(w: Column) -> Column:
-        return (F.length(w) >= min_len) & ~w.isin(*stop)
-
-    if case_sensitive:
-        return F.transform(F.filter(lemma(words), keep), lambda w: F.lower(w))
-    return F.filter(lemma(F.transform(words, lambda w: F.lower(w))), keep)
-
-
-def python_terms_annotator(stop_words: Sequence[str] = STOP_WORDS, min_len: int = 3):
-    """A per-partition annotator in Python with the same rules as ``terms_column``:
-    build it once per partition (as one would a tagger or lemmatiser model)."""
-    import regex
-    splitter = regex.compile(r"[^\p{L}]+")
-    stop = frozenset(stop_words)
-
-    def annotate(text: str | None) -> list[str]:
-        if text is None:
-            return []
-        words = (w.lower() for w in splitter.split(text) if w)
-        return [w for w in words if len(w) >= min_len and w not in stop]
-    return annotate
-
-
-def doc_terms_in_pandas(df: DataFrame, key: str, text: str, make_annotator=python_terms_annotator,
-                        *, min_terms: int = 2) -> DataFrame:
-    """(key, terms) computed by a Python annotator inside ``mapInPandas``: the hook for
-    an annotator that column functions cannot express (a tagger, a lemmatiser model).
-    ``make_annotator()`` runs once per partition; documents stream through in Arrow
-    batches, and no document leaves its partition."""
-    from workbench.session import ship_package
-    ship_package(df.sparkSession)
+        words = df.select(key, F.posexplode(F.split(F.col(text), NON_LETTERS)).alias("pos", "word"))
+        words = words.where(F.length("word") > 0)
+    words = words.select(key, "pos", (word if case_sensitive else F.lower("word")).alias("term"))
+    if lemmas is not None:
+        words = words.join(_lemma_table(spark, lemmas), F.col("term") == F.col("form"), "left").select(
+            key, "pos", F.coalesce("lemma", "term").alias("term"))
+    kept = words.where(F.length("term") >= min_len).join(_words_table(spark, stop_words), "term", "left_anti")
+    return kept.select(key, "pos", F.lower("term").alias("term"))
+
+
+def doc_terms_in_pandas(df: DataFrame, key: str, text: str,
+                        make_annotator: Callable[[], Callable[[str], list[str]]], *,
+                        min_terms: int = 2) -> DataFrame:
+    """(key, terms) by an annotator that column functions cannot express (a tagger, a
+    lemmatiser model). ``make_annotator()`` runs once per partition; documents stream
+    through in Arrow batches, and no document leaves its partition. A null text has no
+    terms."""
     key_type = df.schema[key].dataType.simpleString()
 
     def run(batches):
         annotate = make_annotator()
         for pdf in batches:
-            terms = pdf[text].map(annotate)
+            terms = pdf[text].map(lambda t: annotate(t) if isinstance(t, str) else [])
             keep = terms.map(len) >= min_terms
             yield pdf.loc[keep, [key]].assign(terms=terms[keep].values)
     return df.select(key, text).mapInPandas(run, f"{key} {key_type}, terms array<string>")
 
 
-def doc_terms(df: DataFrame, key: str, text: str, *, min_terms: int = 2, **kw) -> DataFrame:
-    """(key, terms) for documents with at least ``min_terms`` terms.
-
-    The terms come out of a one-row generator so the size filter cannot be pushed
-    below it (which would tokenise every document twice)."""
-    once = F.inline(F.array(F.struct(terms_column(F.col(text), **kw).alias("terms"))))
-    return (df.select(key, once)
+def doc_terms(df: DataFrame, key: str, text: str, *, min_terms: int = 2, **options) -> DataFrame:
+    """(key, terms), in text order, of documents with at least ``min_terms`` terms; options
+    as in ``token_rows``. One shuffle, of the terms by their document."""
+    rows = token_rows(df, key, text, **options)
+    placed = F.sort_array(F.collect_list(F.struct("pos", "term")))
+    return (rows.groupBy(key).agg(F.transform(placed, lambda p: p["term"]).alias("terms"))
             .where(F.size("terms") >= min_terms))
 
 
@@ -186,37 +173,13 @@ def term_freq(terms: DataFrame, key: str) -> DataFrame:
             .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def term_freq_from_text(df: DataFrame, key: str, text: str, *,
-                        stop_words: Sequence[str] | DataFrame = STOP_WORDS,
-                        lemmas: Sequence[tuple[str, str]] | DataFrame | None = None,
-                        min_len: int = 3, min_terms: int = 2) -> DataFrame:
-    """Long form (key, term, tf) straight from the text, same rules as ``doc_terms``.
-
-    Words are exploded first and filtered with plain column expressions (compiled by
-    whole-stage codegen; the array-lambda form is interpreted), then counted with
-    map-side combine. Documents with fewer than ``min_terms`` terms are dropped by a
-    window over their own distinct terms. Word lists and dictionaries too large to
-    inline become joins instead of hash-set tests."""
-    big_stop = isinstance(stop_words, DataFrame) and not is_small(stop_words, MAX_LITERAL_WORDS)
-    big_lemmas = isinstance(lemmas, DataFrame) and not is_small(lemmas, MAX_LITERAL_WORDS)
-    w = F.lower(F.col("_w"))
-    if lemmas is not None and not big_lemmas:
-        lemma_map = _lemma_map(lemmas)
-        w = F.when(w.isin(*_lemma_forms(lemmas)), F.try_element_at(lemma_map, w)).otherwise(w)
-    words = df.select(key, F.explode(F.split(F.col(text), NON_LETTERS)).alias("_w"))
-    terms = words.where(F.length("_w") > 0).select(key, w.alias("term"))
-    if big_lemmas:
-        # a dictionary too large for the expression: a join (shuffle unless small)
-        lem = lemmas.groupBy(lemmas.columns[0]).agg(F.max(lemmas.columns[1]).alias("_lemma"))
-        lem = broadcast_if_small(lem.withColumnRenamed(lemmas.columns[0], "term"))
-        terms = terms.join(lem, "term", "left").select(
-            key, F.coalesce("_lemma", "term").alias("term"))
-    terms = terms.where(F.length("term") >= min_len)
-    if big_stop:
-        terms = remove_stop_words_join(terms, stop_words, "term")
-    else:
-        terms = terms.where(~F.col("term").isin(*_word_list(stop_words)))
-    tf = terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+def term_freq_from_text(df: DataFrame, key: str, text: str, *, min_terms: int = 2,
+                        **options) -> DataFrame:
+    """Long form (key, term, tf) straight from the text, same rules as ``doc_terms``. The
+    terms are shuffled once, by document: that serves the counts and the window that drops
+    documents with fewer than ``min_terms`` terms."""
+    rows = token_rows(df, key, text, **options).select(key, "term").repartition(key)
+    tf = rows.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     n_terms = F.sum("tf").over(Window.partitionBy(key))
     return tf.withColumn("_n", n_terms).where(F.col("_n") >= min_terms).drop("_n")
 
@@ -273,14 +236,3 @@ def tfidf_vectors(terms: DataFrame, key: str, vocab_size: int = 20000,
     vocab_table = spark.createDataFrame(list(enumerate(cv_model.vocabulary)),
                                         "term_id int, term string")
     return vectors, vocab_table
-
-
-def stop_word_table(spark, words: Sequence[str] = STOP_WORDS) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in words], "word string")
-
-
-def remove_stop_words_join(tokens: DataFrame, stop: DataFrame, col: str = "term") -> DataFrame:
-    """Long-form alternative for word lists of any size: anti-join (broadcast only
-    after a size check)."""
-    s = broadcast_if_small(stop.select(F.col(stop.columns[0]).alias(col)))
-    return tokens.join(s, col, "left_anti")

@@ -17,11 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from workbench.functions.partitions import slots_or_more
 from workbench.operators import classify, cluster, evaluate, linkage, profile, project, recommend
 from workbench.operators import text as X
 from workbench.plans import views as V
-from workbench.session import scratch_path
+from workbench.session import materialised, scratch_path
 from workbench.sources import files, lines, schema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +70,11 @@ def summary_transposed(spark, d):
     return rounded(profile.transpose_summary(profile.summary(V.linkage_like(spark, d))))
 
 
+@register("grouped_summary")
+def grouped_summary(spark, d):
+    return rounded(profile.grouped_summary(V.linkage_like(spark, d), "is_match"))
+
+
 @register("feature_delta_ranking")
 def feature_delta_ranking(spark, d):
     return rounded(profile.compare_groups(V.linkage_like(spark, d), "is_match",
@@ -80,7 +84,7 @@ def feature_delta_ranking(spark, d):
 @register("feature_delta_ranking_sql")
 def feature_delta_ranking_sql(spark, d):
     """The same ranking the long way: filter each side, describe it, transpose it, and
-    join the two transposed summaries in SQL over temp views."""
+    join the two transposed summaries."""
     df = V.linkage_like(spark, d)
     match_t = profile.transpose_summary(profile.summary(df.where("is_match = true")))
     miss_t = profile.transpose_summary(profile.summary(df.filter(F.col("is_match") == False)))  # noqa: E712
@@ -266,7 +270,7 @@ def _plays_table(spark, d):
     """The play table for the evaluation pipelines, which read it five times (split
     sides, catalogue, positives, scores): the join is written once to the shared
     folder instead of being recomputed per consumer."""
-    return V.plays(spark, d).checkpoint(eager=True)
+    return materialised(V.plays(spark, d), "plays")
 
 
 def _negatives(spark, d, plays=None):
@@ -309,7 +313,7 @@ def auc_exhaustive(spark, d):
 # ---- classification ---------------------------------------------------------------
 
 CLASSES = [1, 2, 3, 4, 5, 6, 7]
-ONE_HOT_GROUPS = {"flag": V.FLAG_COLS, "line": V.LINE_COLS}
+ONE_HOT_GROUPS = {"area": V.AREA_COLS, "kind": V.KIND_COLS}
 
 
 def _labelled_split(spark, d):
@@ -358,15 +362,10 @@ def _train_test_features(spark, d):
     return train.drop("l_orderkey", "l_linenumber"), test
 
 
-def _slots(df):
-    # the training side is a filtered file scan: its split count is known without a job
-    return slots_or_more(df)
-
-
 @register("tree_predict")
 def tree_predict(spark, d):
     train, test = _train_test_features(spark, d)
-    model = classify.fit_tree(train, "y", seed=42, partitions=_slots(train))
+    model = classify.fit_tree(train, "y", seed=42)
     return classify.predictions(model, test, ["l_orderkey", "l_linenumber", "y"])
 
 
@@ -390,7 +389,7 @@ def tree_importance(spark, d):
 def tree_eval(spark, d):
     """Accuracy and weighted F1 of the default tree on held-out rows."""
     train, test = _train_test_features(spark, d)
-    model = classify.fit_tree(train, "y", seed=42, partitions=_slots(train))
+    model = classify.fit_tree(train, "y", seed=42)
     return evaluate.accuracy_f1(model.transform(test), "y", "prediction")
 
 
@@ -399,7 +398,7 @@ def tree_tuned(spark, d):
     """The chosen tree (entropy, depth 20, 300 bins, no minimum gain) on held-out rows."""
     train, test = _train_test_features(spark, d)
     model = classify.fit_tree(train, "y", seed=42, impurity="entropy", maxDepth=20,
-                              maxBins=300, minInfoGain=0.0, partitions=_slots(train))
+                              maxBins=300, minInfoGain=0.0)
     return evaluate.accuracy_f1(model.transform(test), "y", "prediction")
 
 
@@ -408,8 +407,7 @@ def tree_categorical(spark, d):
     train, test = _train_test_features(spark, d)
     tr = classify.undo_one_hot(train, ONE_HOT_GROUPS)
     te = classify.undo_one_hot(test, ONE_HOT_GROUPS)
-    model = classify.fit_categorical(tr, "y", model="tree", max_bins=50, seed=42,
-                                     partitions=_slots(tr))
+    model = classify.fit_categorical(tr, "y", model="tree", max_bins=50, seed=42)
     return evaluate.accuracy_f1(model.transform(te), "y", "prediction")
 
 
@@ -417,8 +415,7 @@ def tree_categorical(spark, d):
 def forest_importance(spark, d):
     train, _ = _train_test_features(spark, d)
     tr = classify.undo_one_hot(train, ONE_HOT_GROUPS)
-    model = classify.fit_categorical(tr, "y", model="forest", max_bins=50, seed=42,
-                                     partitions=_slots(tr))
+    model = classify.fit_categorical(tr, "y", model="forest", max_bins=50, seed=42)
     return classify.importances(model, classify.feature_columns(tr, "y"))
 
 
@@ -492,11 +489,11 @@ def standardize_centered(spark, d):
 @register("one_hot")
 def one_hot(spark, d):
     s = V.sessions(spark, d).select("l_orderkey", "l_linenumber", "priority")
-    stages, vec = cluster.one_hot_stages("priority")
+    stages, (vec,) = cluster.one_hot_stages("priority")
     out = Pipeline(stages=stages).fit(s).transform(s)
     arr = vector_to_array(vec)
     return out.select("l_orderkey", "l_linenumber", "priority",
-                      F.col("priority_indexed").cast("int").alias("priority_index"),
+                      F.col("priority_level").cast("int").alias("priority_index"),
                       (F.array_position(arr, F.lit(1.0)) - 1).cast("int").alias("hot"))
 
 
@@ -596,7 +593,7 @@ def anomalies_fitted(spark, d):
     model = cluster.fit_clusters(s, 180, numeric=V.SESSION_NUMERIC,
                                  categorical=V.SESSION_CATEGORICAL, seed=42)
     scored = cluster.distance_to_model_center(model.transform(s), model.stages[-1],
-                                              "scaledFeatureVector")
+                                              cluster.SCALED)
     return cluster.anomalies(scored, "dist", 100, keep=s.columns)
 
 
@@ -627,11 +624,10 @@ def pca_scores(spark, d):
 
 @register("pca_sample")
 def pca_sample(spark, d):
-    """1% sample of the numeric rows → drop constant columns → centred, scaled PCA:
-    first three scores per sampled row."""
+    """Numeric rows → drop constant columns → centred, scaled PCA: first three scores per
+    row. (A single machine would fit this on a sample; here all rows are fitted on.)"""
     s = _session_feats(spark, d).select("l_orderkey", "l_linenumber", *V.SESSION_NUMERIC)
-    sample = s.sample(False, 0.01, seed=42)
-    kept = profile.drop_constant_columns(sample, V.SESSION_NUMERIC)
+    kept = profile.drop_constant_columns(s, V.SESSION_NUMERIC)
     cols = [c for c in V.SESSION_NUMERIC if c in kept.columns]
     vec = classify.assembler(cols, "v").transform(kept)
     scores, _ = project.pca_scores(vec, "v", min(3, len(cols)),
@@ -672,10 +668,32 @@ def doc_terms(spark, d):
                     F.size(F.array_distinct("terms")).alias("n_distinct"))
 
 
+def accent_folder():
+    """An annotator: letter words of three letters and more, in lower case, without marks."""
+    import re
+    import unicodedata
+
+    def annotate(text: str) -> list[str]:
+        words = (unicodedata.normalize("NFD", w.lower()) for w in re.findall(r"[^\W\d_]+", text))
+        folded = ("".join(c for c in w if not unicodedata.combining(c)) for w in words)
+        return [w for w in folded if len(w) >= 3]
+    return annotate
+
+
+@register("doc_terms_letters")
+def doc_terms_letters(spark, d):
+    """Terms under the whole-token rule: a token with anything but letters is dropped."""
+    t = X.doc_terms(V.table(spark, d, "documents"), "doc_id", "text",
+                    stop_words=stop_words(spark), letters_only=True)
+    return t.select("doc_id", F.size("terms").alias("n_terms"),
+                    F.size(F.array_distinct("terms")).alias("n_distinct"))
+
+
 @register("doc_terms_pandas")
 def doc_terms_pandas(spark, d):
-    """``doc_terms`` through a per-partition Python annotator (mapInPandas)."""
-    t = X.doc_terms_in_pandas(V.table(spark, d, "documents"), "doc_id", "text")
+    """Terms without accents, by an annotator that column functions cannot express (Unicode
+    decomposition), built once per partition."""
+    t = X.doc_terms_in_pandas(V.table(spark, d, "documents"), "doc_id", "text", accent_folder)
     return t.select("doc_id", F.size("terms").alias("n_terms"),
                     F.size(F.array_distinct("terms")).alias("n_distinct"))
 
@@ -701,7 +719,7 @@ def term_freq(spark, d):
 def _term_table(spark, d):
     """Term counts read by several consumers (vocabulary, document frequency, weights):
     written once to the shared folder instead of re-tokenising per consumer."""
-    return _tf_long(spark, d).checkpoint(eager=True)
+    return materialised(_tf_long(spark, d), "term-counts")
 
 
 @register("vocabulary")
@@ -726,7 +744,7 @@ def tfidf_vectors(spark, d):
     """Spark ML vectors per document over the long form's vocabulary, reported as
     (doc_id, non-zero weights, weight sum)."""
     # the term arrays feed the vocabulary, the IDF fit and the weighting: tokenise once
-    terms = _doc_terms(spark, d).checkpoint(eager=True)
+    terms = materialised(_doc_terms(spark, d), "doc-terms")
     vocab = X.vocabulary(X.term_freq(terms, "doc_id"), 20000)
     vecs, _vocab = X.tfidf_vectors(terms, "doc_id", 20000, vocab=vocab)
     arr = vector_to_array("tfidfVec")
@@ -748,6 +766,15 @@ def _split_counts(spark, d):
     return evaluate.hash_split(_all_counts(spark, d), ["user", "artist"])
 
 
+# The tuned model, the users and items of the batch.
+TUNED_ALS = {"rank": 30, "reg": 4.0, "alpha": 1.0, "max_iter": 20}
+BATCH_USERS, TOP_N = 100, 5
+
+
+def _first_users(plays: DataFrame) -> DataFrame:
+    return plays.select("user").distinct().orderBy("user").limit(BATCH_USERS)
+
+
 @register("als_factors")
 def als_factors(spark, d):
     model = recommend.fit_als(_all_counts(spark, d), rank=10, reg=0.01, alpha=1.0,
@@ -757,10 +784,13 @@ def als_factors(spark, d):
 
 @register("als_topn_batch")
 def als_topn_batch(spark, d):
-    """Top 5 per user for every user, in one job, from the tuned model."""
-    model = recommend.fit_als(_all_counts(spark, d), rank=30, reg=4.0, alpha=1.0,
-                              max_iter=5, seed=42)
-    return recommend.top_n(model, 5)
+    """Top 5 items, with names, of the first 100 users of the held-out plays, from the tuned
+    model fitted on the training split."""
+    train, held_out = _split_counts(spark, d)
+    model = recommend.fit_als(train, **TUNED_ALS, seed=42)
+    top = recommend.top_n(model, TOP_N, _first_users(held_out))
+    return top.join(V.items(spark, d), top.artist == F.col("id"), "left").select(
+        "user", "rank", "artist", "name", "prediction")
 
 
 @register("als_topn_names")
@@ -786,7 +816,7 @@ def als_topn_user(spark, d):
 def als_auc(spark, d):
     """Mean per-user AUC of the factor model next to the popularity baseline, on the
     same held-out plays and sampled negatives, evaluated in one stacked pass."""
-    counts = _all_counts(spark, d).checkpoint(eager=True)
+    counts = materialised(_all_counts(spark, d), "counts")
     train, cv, neg = _negatives(spark, d, counts)
     model = recommend.fit_als(train, rank=10, reg=0.01, alpha=1.0, max_iter=5, seed=42)
     return evaluate.mean_auc_many(
@@ -805,7 +835,7 @@ ALS_ALPHAS = [1.0, 40.0]
 def als_grid(spark, d):
     """Mean AUC for rank × reg × alpha (8 fits, 20 iterations), best first: the fits
     run concurrently, then all eight are evaluated in one stacked AUC pass."""
-    counts = _all_counts(spark, d).checkpoint(eager=True)
+    counts = materialised(_all_counts(spark, d), "counts")
     train, cv, neg = _negatives(spark, d, counts)
     train = train.cache()
     grid = [(r, g, a) for r in ALS_RANKS for g in ALS_REGS for a in ALS_ALPHAS]
@@ -822,3 +852,230 @@ def als_grid(spark, d):
     return (res.select(parts[0].cast("int").alias("rank"), parts[1].cast("double").alias("reg"),
                        parts[2].cast("double").alias("alpha"), "mean_auc")
             .orderBy(F.col("mean_auc").desc()))
+
+
+@register("als_item_factors")
+def als_item_factors(spark, d):
+    model = recommend.fit_als(_all_counts(spark, d), rank=10, reg=0.01, alpha=1.0,
+                              max_iter=5, seed=42)
+    return recommend.factors(model, "item")
+
+
+@register("als_best_params")
+def als_best_params(spark, d):
+    """The grid point with the largest mean AUC."""
+    return als_grid(spark, d).limit(1)
+
+
+@register("tree_best_params")
+def tree_best_params(spark, d):
+    """The parameters of the best model of the search, as the model itself holds them."""
+    train, _ = _train_test_features(spark, d)
+    _, best = classify.tree_grid_search(train, "y", seed=42)
+    chosen = best.stages[-1]
+    row = (chosen.getImpurity(), chosen.getMaxDepth(), chosen.getMaxBins(), chosen.getMinInfoGain())
+    return spark.createDataFrame([row], "impurity string, maxDepth int, maxBins int, minInfoGain double")
+
+
+@register("cluster_id_max")
+def cluster_id_max(spark, d):
+    """The largest cluster id in use."""
+    return _fixed_clusters(spark, d).agg(F.max("cluster").alias("max_cluster"))
+
+
+@register("parse_id_name_strict")
+def parse_id_name_strict(spark, d):
+    """Catalogue lines without malformed ones, by the parser that fails on the first bad line."""
+    p = V.table(spark, d, "part")
+    txt = p.select(F.concat(F.col("p_partkey").cast("string"), F.lit("\t "), F.col("p_name")).alias("value"))
+    path = files.write_lines(txt, "value", scratch_path(spark, "good-items"))
+    return lines.parse_id_name_strict(files.read_lines(spark, path))
+
+
+# ---- checked answers around the fits -------------------------------------------------
+# What a solver decides has no SQL twin; what it must not change has: which rows come back,
+# how many, which parameters were tried, sums, and figures that two ways of computing give.
+
+
+def _tested_tree(spark, d, **params):
+    train, test = _train_test_features(spark, d)
+    model = classify.fit_tree(train, "y", seed=42, **params)
+    return classify.predictions(model, test, ["l_orderkey", "l_linenumber", "y"])
+
+
+@register("tree_predict_check")
+def tree_predict_check(spark, d):
+    """One prediction per held-out row: a class, the likeliest one, of probabilities that add
+    up to 1 over classes 0..7."""
+    p = _tested_tree(spark, d)
+    total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
+    likeliest = F.array_position("probability", F.array_max("probability")) - 1
+    return p.select("l_orderkey", "l_linenumber", F.col("prediction").between(1, 7).alias("is_class"),
+                    (F.size("probability") == 8).alias("has_all"), (F.abs(total - 1) < 1e-9).alias("adds_up"),
+                    (F.col("prediction") == likeliest).alias("is_likeliest"))
+
+
+@register("tree_confusion")
+def tree_confusion(spark, d):
+    """Confusion matrix of the chosen tree on held-out rows, classes in order."""
+    p = _tested_tree(spark, d, impurity="entropy", maxDepth=20, maxBins=300, minInfoGain=0.0)
+    return evaluate.confusion_matrix(p, "y", "prediction", CLASSES)
+
+
+@register("tree_confusion_check")
+def tree_confusion_check(spark, d):
+    """Rows of each true class in the model's confusion matrix, and whether the tree beats
+    the priors without knowing the label."""
+    m = tree_confusion(spark, d)
+    train, test = _train_test_features(spark, d)
+    prior = evaluate.prior_accuracy(train, test, "y").first()[0]
+    rows = m.collect()  # one row per class
+    hits = sum(r[str(int(r["y"]))] for r in rows)
+    total = sum(r[str(c)] for r in rows for c in CLASSES)
+    return m.select("y", sum(F.col(f"`{c}`") for c in CLASSES).alias("rows"),
+                    F.lit(prior < hits / total < 1).alias("between"))
+
+
+@register("tree_grid_check")
+def tree_grid_check(spark, d):
+    """The sixteen points of the tree search with usable scores, and the best model's own
+    parameters among the points with the best score."""
+    train, _ = _train_test_features(spark, d)
+    table, best = classify.tree_grid_search(train, "y", seed=42)
+    t = best.stages[-1]
+    top = table.agg(F.max("accuracy")).first()[0]
+    own = ((F.col("impurity") == t.getImpurity()) & (F.col("maxDepth") == t.getMaxDepth())
+           & (F.col("maxBins") == t.getMaxBins()) & (F.col("minInfoGain") == t.getMinInfoGain()))
+    best_is_best = table.where(own).first()["accuracy"] == top
+    return table.select("impurity", "maxDepth", "maxBins", "minInfoGain",
+                        F.col("accuracy").between(0, 1).alias("usable"), F.lit(best_is_best).alias("best_is_best"))
+
+
+@register("importance_check")
+def importance_check(spark, d):
+    """Each feature once, of the tree and of the forest; shares that add up to 1."""
+    out = None
+    for name, query in (("tree", tree_importance), ("forest", forest_importance)):
+        imp = query(spark, d)
+        one = abs(imp.agg(F.sum("importance")).first()[0] - 1) < 1e-9
+        rows = imp.select(F.lit(name).alias("model"), "feature", F.lit(one).alias("adds_up"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _cost_check(spark, d, k, **options) -> DataFrame:
+    """(rows, at_most_k, same_cost): rows assigned, clusters in use at most k, and whether
+    the distances recomputed row by row add up to the model's cost. The model states the
+    cost before its last move of the centres, which makes it a little smaller."""
+    s = _session_feats(spark, d)
+    model = cluster.fit_clusters(s, k, numeric=V.SESSION_NUMERIC, seed=42, **options)
+    scaled = options.get("scale", True)
+    scored = cluster.distance_to_model_center(
+        model.transform(s), model.stages[-1], cluster.SCALED if scaled else "featureVector")
+    cost = model.stages[-1].summary.trainingCost
+    return scored.agg(F.count(F.lit(1)).alias("rows"),
+                      (F.countDistinct("cluster") <= k).alias("at_most_k"),
+                      (F.sum("dist") / cost).between(0.99, 1 + 1e-9).alias("same_cost"))
+
+
+@register("kmeans_cost_check")
+def kmeans_cost_check(spark, d):
+    """Plain, scaled, centred and one-hot k-means."""
+    kinds = {"plain": {"k": 20, "scale": False}, "scaled": {"k": 60}, "centred": {"k": 60, "with_mean": True},
+             "one_hot": {"k": 60, "categorical": V.SESSION_CATEGORICAL}}
+    out = None
+    for name, options in kinds.items():
+        rows = _cost_check(spark, d, **options).select(F.lit(name).alias("model"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("kmeans_sweep_check")
+def kmeans_sweep_check(spark, d):
+    """The k of the sweeps: cost per row is cost over rows, and entropy lies between 0 and
+    that of the labels as a whole."""
+    n = _session_feats(spark, d).count()
+    whole = cluster.cluster_entropy(_session_feats(spark, d).withColumn("cluster", F.lit(0))).first()["entropy"]
+    cost = None
+    for name, query in (("plain", kmeans_sweep), ("tight", kmeans_sweep_tight)):
+        rows = query(spark, d).select(F.lit(name).alias("sweep"), "k",
+                                      (F.abs(F.col("cost") / n - F.col("mean_cost")) < 1e-6).alias("ok"))
+        cost = rows if cost is None else cost.unionByName(rows)
+    entropy = kmeans_entropy_sweep(spark, d).select(
+        F.lit("entropy").alias("sweep"), "k", F.col("entropy").between(0, whole + 1e-9).alias("ok"))
+    return cost.unionByName(entropy)
+
+
+@register("anomalies_fitted_check")
+def anomalies_fitted_check(spark, d):
+    """Anomalies of the fitted model: at least 100, all of them rows of the input."""
+    found = materialised(anomalies_fitted(spark, d), "anomalies")
+    known = found.join(_session_feats(spark, d), ["l_orderkey", "l_linenumber"], "left_semi").count()
+    return found.agg((F.count(F.lit(1)) >= 100).alias("enough"), (F.count(F.lit(1)) == known).alias("known"))
+
+
+@register("kmeans_formula_check")
+def kmeans_formula_check(spark, d):
+    """Every row gets one of the formula model's clusters."""
+    s = _session_feats(spark, d).select(*V.SESSION_NUMERIC)
+    model = cluster.formula_kmeans(s, 100, max_iter=40, seed=42)
+    return model.transform(s).agg(F.count(F.lit(1)).alias("rows"),
+                                  F.min(F.col("prediction").between(0, 99)).alias("in_range"))
+
+
+@register("pca_check")
+def pca_check(spark, d):
+    """Scores of every row, centred, with the variance that the component is said to have:
+    the explained shares times the number of standardised columns."""
+    vec = V.vectors(spark, d).select("vec_id", array_to_vector("embedding").alias("v"))
+    scores, variance = project.pca_scores(vec, "v", 3, keep=["vec_id"])
+    share = {r["component"]: r["explained_variance"] for r in variance.collect()}
+    width = len(vec.first()["v"])
+    first = min(share)
+    out = None
+    for i in range(3):
+        pc, said = F.col(f"pc{i + 1}"), share[first + i] * width
+        rows = scores.agg(F.count(F.lit(1)).alias("rows"), (F.abs(F.avg(pc)) < 1e-9).alias("centred"),
+                          (F.abs(F.var_samp(pc) - said) < 1e-6 * width).alias("as_said")
+                          ).select(F.lit(i + 1).alias("component"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("als_factors_check")
+def als_factors_check(spark, d):
+    """Who has factors: all users and all items of the training table, ten each."""
+    model = recommend.fit_als(_all_counts(spark, d), rank=10, reg=0.01, alpha=1.0, max_iter=5, seed=42)
+    both = [recommend.factors(model, which).select(F.lit(which).alias("side"), "id",
+                                                   F.size("features").alias("width"))
+            for which in ("user", "item")]
+    return both[0].unionByName(both[1])
+
+
+@register("als_topn_check")
+def als_topn_check(spark, d):
+    """The batch: five ranks for each of its users, distinct known items, falling scores."""
+    top = materialised(als_topn_batch(spark, d), "batch")
+    return top.groupBy("user").agg(
+        F.count(F.lit(1)).alias("n"), (F.countDistinct("artist") == F.count("name")).alias("known"),
+        (F.max("rank") == TOP_N).alias("ranked"),
+        F.transform(F.sort_array(F.collect_list(F.struct("rank", "prediction"))),
+                    lambda x: -x["prediction"]).alias("p")).select(
+        "user", "n", "known", "ranked", (F.col("p") == F.array_sort("p")).alias("falling"))
+
+
+@register("als_topn_user_check")
+def als_topn_user_check(spark, d):
+    """The spot user's list two ways, by scoring all items and by the model's own search."""
+    model = recommend.fit_als(_all_counts(spark, d), rank=10, reg=0.01, alpha=1.0, max_iter=5, seed=42)
+    one = recommend.recommend_for_user(model, SPOT_USER, TOP_N).withColumnRenamed("prediction", "p")
+    users = spark.createDataFrame([(SPOT_USER,)], "user int")
+    many = recommend.top_n(model, TOP_N, users)
+    return one.join(many, "artist").agg(
+        F.count(F.lit(1)).alias("shared"), F.max(F.abs(F.col("p") - F.col("prediction")) < 1e-5).alias("same"))
+
+
+@register("als_grid_check")
+def als_grid_check(spark, d):
+    """The eight points of the factor grid with usable scores."""
+    return als_grid(spark, d).select("rank", "reg", "alpha", F.col("mean_auc").between(0, 1).alias("usable"))

@@ -27,18 +27,19 @@ VIEW_SQL = {
         FROM part WHERE p_partkey % 10 = 9""",
     "labelled": """
         SELECT l_orderkey, l_linenumber,
-               l_quantity AS q, l_extendedprice AS e, l_discount AS d, l_tax AS t,
-               CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END AS Flag_0,
-               CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END AS Flag_1,
-               CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS Flag_2,
-               CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END AS Line_0,
-               CASE WHEN l_linenumber = 2 THEN 1 ELSE 0 END AS Line_1,
-               CASE WHEN l_linenumber = 3 THEN 1 ELSE 0 END AS Line_2,
-               CASE WHEN l_linenumber = 4 THEN 1 ELSE 0 END AS Line_3,
-               CASE WHEN l_linenumber = 5 THEN 1 ELSE 0 END AS Line_4,
-               CASE WHEN l_linenumber = 6 THEN 1 ELSE 0 END AS Line_5,
-               CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END AS Line_6,
-               CAST(1 + least(6, floor(l_quantity / 8)) AS DOUBLE) AS y
+               CAST(l_quantity AS DOUBLE) AS q, CAST(l_extendedprice AS DOUBLE) AS e,
+               CAST(l_discount AS DOUBLE) AS d, CAST(l_tax AS DOUBLE) AS t,
+               CAST(floor(l_extendedprice / l_quantity) AS DOUBLE) AS u,
+               CAST(l_linenumber AS DOUBLE) AS line, CAST(month(l_shipdate) AS DOUBLE) AS "month",
+               CAST(day(l_shipdate) AS DOUBLE) AS "day", CAST(l_partkey % 1000 AS DOUBLE) AS part,
+               CAST(l_orderkey % 100 AS DOUBLE) AS "order", """ + ", ".join(
+        [f"CAST(l_suppkey % 4 = {i} AS INTEGER) AS Area_{i}" for i in range(4)]
+        + [f"CAST(l_partkey % 40 = {i} AS INTEGER) AS Kind_{i}" for i in range(40)]) + """,
+               CAST(1 + CASE
+                   WHEN ('0x' || substr(md5('5:' || l_orderkey || ':' || l_linenumber), 1, 8))::BIGINT % 10 < 2
+                   THEN ('0x' || substr(md5('6:' || l_orderkey || ':' || l_linenumber), 1, 8))::BIGINT % 7
+                   ELSE (least(6, floor(l_quantity / 8)) + l_suppkey % 4
+                         + CASE WHEN l_partkey % 40 >= 20 THEN 1 ELSE 0 END) % 7 END AS DOUBLE) AS y
         FROM lineitem""",
     "sessions": """
         SELECT l_orderkey, l_linenumber, l_quantity AS quantity, l_extendedprice AS price,
@@ -101,6 +102,11 @@ def _build() -> dict[str, str]:
         f"SELECT field, {r6('count')} AS count, {r6('mean')} AS mean, "
         f"{r6('stddev')} AS stddev, {r6('min')} AS min, {r6('max')} AS max FROM ({t})",
         "linkage_like")
+    grouped = " UNION ALL ".join(
+        f"SELECT is_match, '{c}' AS field, {r6(f'count({c})')} AS count, {r6(f'avg({c})')} AS mean, "
+        f"{r6(f'stddev_samp({c})')} AS stddev, {r6(f'min({c})')} AS min, {r6(f'max({c})')} AS max "
+        "FROM linkage_like GROUP BY is_match" for c in LINKAGE_NUMERIC)
+    q["grouped_summary"] = with_views(grouped, "linkage_like")
     a = _transposed_rows(LINKAGE_NUMERIC, "linkage_like", "WHERE is_match = true")
     b = _transposed_rows(LINKAGE_NUMERIC, "linkage_like", "WHERE is_match = false")
     q["feature_delta_ranking"] = with_views(
@@ -130,7 +136,8 @@ def _build() -> dict[str, str]:
 
 
 def md5_u32(*parts: str) -> str:
-    return f"('0x' || substr(md5(concat_ws(':', {', '.join(parts)})), 1, 8))::BIGINT"
+    given = ", ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts)
+    return f"('0x' || substr(md5(concat_ws(':', {given})), 1, 8))::BIGINT"
 
 
 def _sources(q: dict[str, str]) -> None:
@@ -145,6 +152,7 @@ def _sources(q: dict[str, str]) -> None:
                                   WHEN 5 THEN p_name || chr(9) || p_brand
                                   ELSE p_name END AS name
         FROM part WHERE p_partkey % 7 IN (2, 5, 6)"""
+    q["parse_id_name_strict"] = with_views("SELECT id, name FROM items", "items")
     q["parse_alias_lenient"] = with_views("SELECT artist, alias FROM alias_pairs", "alias_pairs")
     q["xml_pages"] = "SELECT 'doc ' || doc_id AS title, text FROM documents"
     q["xml_dump_text"] = ("SELECT 'doc ' || doc_id AS title, text AS content FROM documents "
@@ -175,6 +183,23 @@ def _recommend(q: dict[str, str]) -> None:
         f"SELECT p.\"user\", p.artist, l.prediction FROM plays p LEFT JOIN "
         f"(SELECT artist, CAST(sum(\"count\") AS BIGINT) AS prediction FROM ({split}) "
         f"WHERE is_train GROUP BY artist) l ON p.artist = l.artist", "plays")
+    resolved = with_views(
+        'SELECT p."user", coalesce(a.alias, p.artist) AS artist FROM plays p '
+        'LEFT JOIN alias_pairs a ON p.artist = a.artist', "plays", "alias_pairs")
+    q["als_factors_check"] = (
+        f"SELECT 'user' AS side, \"user\" AS id, CAST(10 AS INTEGER) AS width FROM ({resolved}) GROUP BY ALL "
+        f"UNION ALL SELECT 'item', artist, CAST(10 AS INTEGER) FROM ({resolved}) GROUP BY ALL")
+    q["als_topn_check"] = (
+        f'SELECT "user", CAST(5 AS BIGINT) AS n, true AS known, true AS ranked, true AS falling FROM ({resolved}) '
+        f"WHERE ({md5_u32('0', '\"user\"', 'artist')} % 10) >= 9 "
+        f'AND "user" IN (SELECT "user" FROM ({resolved}) WHERE ({md5_u32("0", chr(34) + "user" + chr(34), "artist")} '
+        '% 10) < 9) GROUP BY "user" ORDER BY "user" LIMIT 100')
+    q["als_topn_user_check"] = "SELECT CAST(5 AS BIGINT) AS shared, true AS same FROM lineitem LIMIT 1"
+    q["als_grid_check"] = """
+        SELECT CAST(rank AS INTEGER) AS rank, CAST(reg AS DOUBLE) AS reg, CAST(alpha AS DOUBLE) AS alpha,
+               true AS usable
+        FROM (VALUES (5), (30)) a(rank), (VALUES (4.0), (0.0001)) b(reg), (VALUES (1.0), (40.0)) c(alpha)
+        WHERE (SELECT count(*) FROM lineitem) > 0"""
     q["distinct_items"] = with_views("SELECT DISTINCT artist FROM plays", "plays")
     q["first_n_users"] = with_views(
         'SELECT DISTINCT "user" FROM plays ORDER BY "user" LIMIT 100', "plays")
@@ -263,11 +288,31 @@ def _classify(q: dict[str, str]) -> None:
                          GROUP BY y) t ON a.c = t.c
               LEFT JOIN (SELECT prediction AS c, count(*) AS predicted FROM ({rule})
                          GROUP BY prediction) pr ON a.c = pr.c)""", "labelled")
+    area, kind = (", ".join(f"{g}_{i}" for i in range(n)) for g, n in (("Area", 4), ("Kind", 40)))
     q["undo_one_hot"] = with_views(
-        "SELECT q, e, d, t, y, "
-        "CAST(coalesce(list_position([Flag_0, Flag_1, Flag_2], 1), 0) - 1 AS DOUBLE) AS flag, "
-        "CAST(coalesce(list_position([Line_0, Line_1, Line_2, Line_3, Line_4, Line_5, Line_6], 1),"
-        " 0) - 1 AS DOUBLE) AS line FROM labelled", "labelled")
+        'SELECT q, e, d, t, u, line, "month", "day", part, "order", y, '
+        f"CAST(coalesce(list_position([{area}], 1), 0) - 1 AS DOUBLE) AS area, "
+        f"CAST(coalesce(list_position([{kind}], 1), 0) - 1 AS DOUBLE) AS kind FROM labelled", "labelled")
+    numeric = ["q", "e", "d", "t", "u", "line", "month", "day", "part", "order"]
+
+    def sampled(body: str) -> str:
+        return with_views(body, "labelled").replace("\nSELECT", f",\nsp AS ({split})\nSELECT", 1)
+
+    q["tree_predict_check"] = sampled(
+        "SELECT l_orderkey, l_linenumber, true AS is_class, true AS has_all, true AS adds_up, "
+        "true AS is_likeliest FROM sp WHERE NOT is_train")
+    q["tree_confusion_check"] = sampled(
+        'SELECT y, count(*) AS rows, true AS "between" FROM sp WHERE NOT is_train GROUP BY y')
+    q["tree_grid_check"] = """
+        SELECT impurity, CAST(depth AS INTEGER) AS maxDepth, CAST(bins AS INTEGER) AS maxBins,
+               CAST(gain AS DOUBLE) AS minInfoGain, true AS usable, true AS best_is_best
+        FROM (VALUES ('gini'), ('entropy')) a(impurity), (VALUES (1), (20)) b(depth),
+             (VALUES (40), (300)) c(bins), (VALUES (0.0), (0.05)) g(gain)
+        WHERE (SELECT count(*) FROM lineitem) > 0"""
+    wide = [*numeric, *area.split(", "), *kind.split(", ")]
+    q["importance_check"] = " UNION ALL ".join(
+        f"SELECT '{m}' AS model, '{f}' AS feature, true AS adds_up"
+        for m, fs in (("tree", wide), ("forest", [*numeric, "area", "kind"])) for f in fs)
 
 
 def _sqdist(a: str, b: str) -> str:
@@ -298,6 +343,20 @@ def _cluster(q: dict[str, str]) -> None:
                                      "FROM best GROUP BY ALL ORDER BY cluster, label")
     q["cluster_sizes"] = fixed + ("SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS count "
                                   "FROM best GROUP BY ALL")
+    q["cluster_id_max"] = fixed + "SELECT CAST(max(cluster) AS INTEGER) AS max_cluster FROM best"
+    rows = "CAST((SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS BIGINT) AS rows"
+    q["kmeans_cost_check"] = (f"SELECT model, {rows}, true AS at_most_k, true AS same_cost FROM "
+                              "(VALUES ('plain'), ('scaled'), ('centred'), ('one_hot')) v(model)")
+    q["kmeans_sweep_check"] = """
+        SELECT sweep, CAST(k AS INTEGER) AS k, true AS ok FROM (
+            SELECT sweep, unnest(range(20, 101, 20)) AS k FROM (VALUES ('plain'), ('tight')) v(sweep)
+            UNION ALL SELECT 'entropy', unnest(range(60, 271, 30)))"""
+    q["anomalies_fitted_check"] = ("SELECT count(*) >= 100 AS enough, true AS known "
+                                   "FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+    q["kmeans_formula_check"] = f"SELECT {rows}, true AS in_range"
+    q["pca_check"] = ("SELECT CAST(component AS INTEGER) AS component, CAST((SELECT count(*) FROM embeddings) "
+                      "AS BIGINT) AS rows, true AS centred, true AS as_said "
+                      "FROM (SELECT unnest(range(1, 4)) AS component)")
     q["cluster_entropy"] = fixed + f"""
         , counts AS (SELECT cluster, label, count(*) AS n FROM best GROUP BY ALL),
           sizes AS (SELECT cluster, sum(n) AS n_c FROM counts GROUP BY cluster)
@@ -380,7 +439,18 @@ def _text(q: dict[str, str]) -> None:
     q["tfidf"] = idf.replace("\n, ", ",\n") + (
         f"SELECT tf.doc_id, CAST(idf.term_id AS INTEGER) AS term_id, tf.term, tf.tf, "
         f"{r6('tf.tf * idf.idf')} AS tfidf FROM tf JOIN idf USING (term)")
-    q["doc_terms_pandas"] = q["doc_terms"]
+    folded = ("list_filter(list_transform(regexp_extract_all(lower(text), '\\p{L}+'), "
+              "lambda w: strip_accents(w)), lambda w: length(w) >= 3)")
+    q["doc_terms_pandas"] = (
+        "SELECT doc_id, CAST(len(terms) AS INTEGER) AS n_terms, CAST(len(list_distinct(terms)) AS INTEGER) "
+        f"AS n_distinct FROM (SELECT doc_id, {folded} AS terms FROM documents) WHERE len(terms) >= 2")
+    tokens = ("list_transform(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+'), lambda w: "
+              "lower(regexp_replace(w, '^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$', '', 'g')))")
+    q["doc_terms_letters"] = (
+        "SELECT doc_id, CAST(len(terms) AS INTEGER) AS n_terms, CAST(len(list_distinct(terms)) AS INTEGER) "
+        f"AS n_distinct FROM (SELECT doc_id, list_filter({tokens}, lambda w: length(w) >= 3 AND "
+        f"regexp_full_match(w, '\\p{{L}}+') AND NOT list_contains({stop}, w)) AS terms FROM documents) "
+        "WHERE len(terms) >= 2")
     q["tfidf_vectors"] = idf.replace("\n, ", ",\n") + (
         f", w AS (SELECT tf.doc_id, tf.tf * idf.idf AS tfidf FROM tf JOIN idf USING (term))\n"
         f"SELECT d.doc_id, CAST(coalesce(count_if(w.tfidf <> 0), 0) AS INTEGER) AS nnz, "
@@ -390,7 +460,7 @@ def _text(q: dict[str, str]) -> None:
     ldocs = f"WITH docs AS (SELECT * FROM ({terms(True)}) WHERE len(terms) >= 2)\n"
     q["lemma_terms"] = ldocs + ("SELECT term, count(*) AS total FROM "
                                 "(SELECT unnest(terms) AS term FROM docs) GROUP BY term")
-    ent = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "),
+    ent = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&#39;", "''"), ("&nbsp;", " "),
            ("&amp;", "&")]
 
     def unesc(x: str) -> str:
@@ -399,7 +469,7 @@ def _text(q: dict[str, str]) -> None:
         return x
     title = unesc("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")
     body = "html"
-    for pat in [r"(?is)<head[^>]*>.*?</head>", r"(?is)<script[^>]*>.*?</script>",
+    for pat in [r"(?is)<head(?:\s[^>]*)?>.*?</head>", r"(?is)<script[^>]*>.*?</script>",
                 r"(?is)<style[^>]*>.*?</style>", r"(?s)<!--.*?-->", r"<[^>]*>"]:
         body = f"regexp_replace({body}, '{pat}', ' ', 'g')"
     content = f"trim(regexp_replace({unesc(body)}, '[ \\t\\n\\r\\f]+', ' ', 'g'))"

@@ -10,14 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Category levels of the driver tables used for one-hot columns.
-RETURN_FLAGS = ["A", "N", "R"]
-LINE_NUMBERS = [1, 2, 3, 4, 5, 6, 7]
+from workbench.functions.hashing import md5_u32
 
-NUMERIC_LABELLED = ["q", "e", "d", "t"]
-FLAG_COLS = [f"Flag_{i}" for i in range(len(RETURN_FLAGS))]
-LINE_COLS = [f"Line_{i}" for i in range(len(LINE_NUMBERS))]
-LABELLED_COLS = NUMERIC_LABELLED + FLAG_COLS + LINE_COLS + ["y"]
+# The labelled table has 10 numeric columns, one-hot groups of 4 and of 40,
+# and the label: 55 columns with generated names.
+NUMERIC_LABELLED = ["q", "e", "d", "t", "u", "line", "month", "day", "part", "order"]
+AREAS, KINDS = 4, 40
+AREA_COLS = [f"Area_{i}" for i in range(AREAS)]
+KIND_COLS = [f"Kind_{i}" for i in range(KINDS)]
+LABELLED_COLS = NUMERIC_LABELLED + AREA_COLS + KIND_COLS + ["y"]
+# The tenths of rows whose label is drawn at random.
+NOISE_TENTHS = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,23 +73,24 @@ def alias_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _labelled_exprs() -> list[Column]:
-    exprs = [
-        F.col("l_quantity").alias("q"),
-        F.col("l_extendedprice").alias("e"),
-        F.col("l_discount").alias("d"),
-        F.col("l_tax").alias("t"),
-    ]
-    exprs += [F.when(F.col("l_returnflag") == v, 1).otherwise(0).alias(n)
-              for v, n in zip(RETURN_FLAGS, FLAG_COLS)]
-    exprs += [F.when(F.col("l_linenumber") == v, 1).otherwise(0).alias(n)
-              for v, n in zip(LINE_NUMBERS, LINE_COLS)]
-    exprs.append((F.lit(1) + F.least(F.lit(6), F.floor(F.col("l_quantity") / 8)))
-                 .cast("double").alias("y"))
-    return exprs
+    q, area, kind = F.col("l_quantity"), F.col("l_suppkey") % AREAS, F.col("l_partkey") % KINDS
+    numeric = [q, F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax"),
+               F.floor(F.col("l_extendedprice") / q), F.col("l_linenumber"),
+               F.month("l_shipdate"), F.dayofmonth("l_shipdate"), F.col("l_partkey") % 1000,
+               F.col("l_orderkey") % 100]
+    exprs = [c.cast("double").alias(n) for c, n in zip(numeric, NUMERIC_LABELLED)]
+    exprs += [(area == i).cast("int").alias(n) for i, n in enumerate(AREA_COLS)]
+    exprs += [(kind == i).cast("int").alias(n) for i, n in enumerate(KIND_COLS)]
+    rule = F.least(F.lit(6), F.floor(q / 8)) + area + F.when(kind >= KINDS // 2, 1).otherwise(0)
+    key = ("l_orderkey", "l_linenumber")
+    noisy = F.pmod(md5_u32(F.lit(5), *key), F.lit(10)) < NOISE_TENTHS
+    label = F.when(noisy, F.pmod(md5_u32(F.lit(6), *key), F.lit(7))).otherwise(F.pmod(rule, F.lit(7)))
+    return [*exprs, (1 + label).cast("double").alias("y")]
 
 
 def labelled(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
-    """Multiclass table: 4 numeric features, two one-hot groups, label y in 1..7.
+    """Multiclass table: 10 numeric features, one-hot groups of 4 and 40, label y in 1..7: a
+    rule of three features, but drawn at random for a fifth of the rows.
     ``keyed`` keeps the row key (l_orderkey, l_linenumber) in front."""
     li = table(spark, sf_dir, "lineitem")
     keys = [F.col("l_orderkey"), F.col("l_linenumber")] if keyed else []

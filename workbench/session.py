@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -66,27 +66,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers (for ``mapInPandas`` and other
-    Python-side steps): zip it once into the shared folder and ``addPyFile`` it, as
-    ``--py-files`` would. Done once per SparkContext."""
-    sc = spark.sparkContext
-    if sc.getConf().get("spark.workbench.shipped", "") == "1" or getattr(sc, "_workbench_zip", None):
-        return
-    import shutil
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    shared = scratch_path(spark, "pyfiles")
-    if "://" in shared and not shared.startswith("file:"):
-        # the archive only has to exist where the driver can read it: addPyFile serves
-        # it to the executors itself
-        target = tempfile.mkdtemp(prefix="workbench-pyfiles-")
-    else:
-        target = shared.replace("file:", "")
-        os.makedirs(target, exist_ok=True)
-    archive = shutil.make_archive(os.path.join(target, "workbench"), "zip",
-                                  root_dir=os.path.dirname(pkg_dir), base_dir="workbench")
-    sc.addPyFile(archive)
-    sc._workbench_zip = archive
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet into the shared folder and read back: columnar, with
+    column pruning, for frames that several consumers read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -18,7 +18,7 @@ def read_csv(spark: SparkSession, path: str, *, header: bool = True, null_value:
              schema: T.StructType | str | None = None, infer: bool | None = None,
              names: Sequence[str] | None = None, sep: str = ",") -> DataFrame:
     """Delimited text. ``schema`` fixes the types (no inference pass); otherwise
-    ``infer`` (default on) samples the data. ``names`` renames columns by position,
+    ``infer`` (default on) reads all of the data once more. ``names`` renames columns by position,
     for headerless files."""
     r = spark.read.option("header", str(header).lower()).option("sep", sep)
     if null_value is not None:
