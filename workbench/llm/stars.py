@@ -1,45 +1,62 @@
 """Verified links inside buckets, without forming all pairs of a bucket.
 
-The least node of a bucket is its head. Every other node is held against the head only; the
-ones that fail form the bucket's next round, with a head of their own, until none is
-left. Each round is linear in the rows that are left, and a bucket's nodes end up linked to
-a head that they really resemble."""
+The least node of a bucket is its head. Every other node is held against the head; the ones
+that fail form the bucket's next round, with more heads (1, 4, 16, ...), until none is left.
+A round is linear in the rows that are left, and a bucket whose nodes resemble few heads is
+done in few rounds; every node ends up linked to a head that it really resembles, or is
+unlike all heads of its bucket."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from workbench.llm.common import stored
 
+GROWTH = 4
 
-def shared(rows: DataFrame) -> DataFrame:
-    """The rows (key, node) of keys that hold more than one node. Both uses of ``rows`` read
-    one exchange."""
-    dealt = rows.repartition("key")
-    heads = (dealt.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("other"))
-             .filter(F.col("head") != F.col("other")).select("key"))
-    return dealt.join(heads, "key").distinct()
+
+def shared(rows: DataFrame, owner: str) -> DataFrame:
+    """The rows of keys that have more than one ``owner``, by one exchange."""
+    bucket = Window.partitionBy("key")
+    return (rows.withColumn("least_owner", F.min(owner).over(bucket))
+            .withColumn("last_owner", F.max(owner).over(bucket))
+            .filter("least_owner != last_owner").drop("least_owner", "last_owner"))
+
+
+def rounds() -> Iterator[int]:
+    """How many heads each bucket has, round by round."""
+    n = 1
+    while True:
+        yield n
+        n *= GROWTH
+
+
+def ranked(rows: DataFrame, node: Column) -> DataFrame:
+    """``rows`` with ``place``: 1, 2, ... by ``node`` within each key."""
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(node)))
 
 
 def links(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
-    """Links (a, b): node b resembles the head a. ``buckets``: rows (key, node) of keys with
-    more than one node; ``verified`` gives those of its distinct pairs (a, b) that do."""
+    """Links (a, b): node b resembles the head a. ``buckets``: distinct rows (key, node) of
+    keys with more than one node; ``verified`` gives those of its distinct pairs (a, b) that
+    do."""
     found: list[DataFrame] = []
     left = buckets
-    while True:
-        heads = left.groupBy("key").agg(F.min("node").alias("a"))
-        pairs = stored(left.join(heads, "key").filter(F.col("node") != F.col("a"))
+    for n in rounds():
+        left = stored(ranked(left.select("key", "node"), F.col("node")), f"{name}-left")
+        heads = left.filter(F.col("place") <= n).select("key", F.col("node").alias("a"))
+        pairs = stored(left.join(heads, "key").filter(F.col("a") < F.col("node"))
                        .select("key", "a", F.col("node").alias("b")), f"{name}-pairs")
         if pairs.isEmpty():
             break
         good = stored(verified(pairs.select("a", "b").distinct()), f"{name}-links")
         found.append(good)
-        left = stored(pairs.join(good, ["a", "b"], "left_anti")
-                      .select("key", F.col("b").alias("node")), f"{name}-left")
+        linked = pairs.join(good, ["a", "b"]).select("key", F.col("b").alias("node")).distinct()
+        left = left.filter(F.col("place") > n).join(linked, ["key", "node"], "left_anti")
     if not found:
         return buckets.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     return reduce(DataFrame.unionAll, found).select("a", "b").distinct()
