@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 # Partitions of a frame that is fitted on. A documented parameter of the fits, and no
 # function of the cluster: a solver's random start and the order of its sums depend on it.
-FIT_PARTITIONS = 32
+FIT_PARTITIONS = 16
 
 
 def spread(df: DataFrame, partitions: int = FIT_PARTITIONS, by: Sequence[str] | None = None) -> DataFrame:
