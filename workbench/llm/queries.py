@@ -47,7 +47,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op3_substring_dedup")
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.passages(table(spark, sf_dir, "documents"))
+    return passages.passages(table(spark, sf_dir, "documents"), inside=True)
 
 
 @register("op4_bpe_round_trip")

@@ -25,9 +25,9 @@ from workbench.llm.components import components
 GROWTH = 4
 
 
-def shared(rows: DataFrame, owner: str) -> DataFrame:
-    """The rows of keys that have more than one ``owner``, by one exchange."""
-    bucket = Window.partitionBy("key")
+def shared(rows: DataFrame, *columns: str) -> DataFrame:
+    """The rows of keys that have more than one owner (``columns``), by one exchange."""
+    bucket, owner = Window.partitionBy("key"), F.struct(*columns)
     return (rows.withColumn("least_owner", F.min(owner).over(bucket))
             .withColumn("last_owner", F.max(owner).over(bucket))
             .filter("least_owner != last_owner").drop("least_owner", "last_owner"))
