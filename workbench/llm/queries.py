@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workbench.llm import bpe, decontam, exact, lines, lm, passages, pii, quality, simhash, tokencount
+from workbench.llm import (bpe, decontam, exact, lines, lm, passages, pii, quality, runs, simhash,
+                           tokencount)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,3 +123,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS],
                         F.sha2(F.encode("base", "utf-8"), 256).alias("base_sha256"), "spans")
+
+
+@register("op11_word_runs")
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(runs.with_planted(table(spark, sf_dir, "documents")))
+    best = runs.strongest(F.col("runs"))
+    listed = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    digest = lambda text: F.sha2(F.encode(text, "utf-8"), 256)
+    return (found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        digest(F.array_join(listed, "")).alias("runs_sha256"),
+        digest(F.col("collapsed")).alias("collapsed_sha256")))
