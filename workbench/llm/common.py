@@ -129,3 +129,10 @@ def rows_with(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
 
     return rows.mapInArrow(run, rows.schema).join(
         wanted.select(F.col(name).alias(key)).distinct(), key, "left_semi")
+
+
+def filter_of(keys: DataFrame) -> Broadcast:
+    """The filter of fixed size over one long column, packed bits by key modulo its length."""
+    parts = keys.mapInArrow(_bits_of, "bits binary").rdd.map(lambda r: bytes(r.bits))
+    none = np.packbits(np.zeros(FILTER_BITS, bool)).tobytes()
+    return ship(keys.sparkSession, none if keys.isEmpty() else parts.treeReduce(_either, depth=3))

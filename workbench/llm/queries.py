@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workbench.llm import (bpe, decontam, exact, lines, lm, passages, pii, quality, runs, simhash,
-                           tokencount)
+from workbench.llm import (bpe, decontam, exact, lines, lm, passages, pii, quality, runs, search,
+                           simhash, tokencount, topk)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,3 +137,53 @@ def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
         digest(F.array_join(listed, "")).alias("runs_sha256"),
         digest(F.col("collapsed")).alias("collapsed_sha256")))
+
+
+@register("op12_ranked_search", r"""
+    with d as (
+        select row_number() over () as r, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+    q as (
+        select row_number() over () as i, item_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from benchmark),
+    size as (
+        select count(*) as n_docs, cast(sum(len(w)) as bigint) as n_terms from d where len(w) > 0),
+    m as (
+        select r, doc_id, 100 - 75 + (75 * len(w) * n_docs) // n_terms as m from d, size where len(w) > 0),
+    tf as (
+        select r, term, count(*) as tf from (select r, unnest(w) as term from d) group by r, term),
+    asked as (
+        select i, term, count(*) as times from (select i, unnest(w) as term from q) group by i, term),
+    weight as (
+        select term, cast(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) as bigint) as weight
+        from tf, size group by term),
+    score as (
+        select i, r, cast(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+        from asked join weight using (term) join tf using (term) join m using (r) group by i, r),
+    best as (
+        select i, doc_id, score, row_number() over (partition by i order by score desc, doc_id) as rank
+        from score join m using (r) where score > 0)
+    select item_id, cast(rank as integer) as rank, doc_id, score from best join q using (i) where rank <= 10""")
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_top_k", r"""
+    with v as (
+        select row_number() over () as r, vec_id,
+               list_transform(embedding, lambda x: floor(256 * cast(x as double))) as x
+        from embeddings
+        where embedding is not null
+          and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+    score as (
+        select q.r, q.vec_id as query_id, c.vec_id,
+               cast(list_inner_product(q.x, c.x) as bigint) as score
+        from v q join v c on c.r != q.r where q.vec_id % 50 = 0),
+    best as (
+        select query_id, vec_id, score,
+               row_number() over (partition by r order by score desc, vec_id) as rank from score)
+    select query_id, cast(rank as integer) as rank, vec_id, score from best where rank <= 5""")
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
