@@ -8,7 +8,7 @@ from workbench.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
     sql = con.execute(queries.ORACLE[name])
     columns = [c[0] for c in sql.description]

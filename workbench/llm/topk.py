@@ -22,7 +22,6 @@ name and others ignored. Components and scores must fit 64-bit integers.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +53,7 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _row(**columns) -> pa.Table:
-    return pa.table({c: v if isinstance(v, pa.Array) else pa.array([v]) for c, v in columns.items()})
+    return pa.table({c: v if isinstance(v, pa.Array) else pa.array([v], pa.int32()) for c, v in columns.items()})
 
 
 def _listed(values: np.ndarray, mask: np.ndarray | None = None) -> pa.Array:
