@@ -97,9 +97,35 @@ def test_header_is_no_head_and_entities_by_number(spark):
     assert rows[1] == "Top a \u2014 b's 'c' &#0; \U0001F600" and rows[2] == "x y"
 
 
-def test_one_shuffle_by_document(spark):
-    p = X.term_freq_from_text(_docs(spark), "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
-    assert len([x for x in p.split("\n") if "hashpartitioning(doc_id" in x]) == 1
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_counted_before_they_are_shuffled(spark):
+    stop = spark.createDataFrame([(w,) for w in X.STOP_WORDS], "word string")
+    for kw in ({}, {"stop_words": stop}, {"lemmas": X.LEMMAS}):
+        assert "Exchange" not in _plan(X.doc_terms(_docs(spark), "doc_id", "text", **kw))
+        p = _plan(X.term_freq_from_text(_docs(spark), "doc_id", "text", **kw))
+        assert p.count("Exchange hashpartitioning(doc_id") == p.count("Exchange") == 1
+        assert "partial_count" in p[p.index("Exchange"):]
+
+
+def test_long_lists_are_joined_with_the_same_result(spark, monkeypatch):
+    lem = [("went", "go"), ("cats", "cat"), ("dogs", "dog")]
+    for kw in ({}, {"lemmas": lem}, {"case_sensitive": True, "min_terms": 1}, {"letters_only": True}):
+        results = []
+        for most in (2_000, 1):
+            monkeypatch.setattr(X, "INLINE_WORDS", most)
+            terms = {r.doc_id: r.terms for r in X.doc_terms(_docs(spark), "doc_id", "text", **kw).collect()}
+            tf = sorted(map(tuple, X.term_freq_from_text(_docs(spark), "doc_id", "text", **kw).collect()))
+            results.append((terms, tf))
+        assert results[0] == results[1] and results[0][1]
+
+
+def test_page_parts_are_computed_once(spark):
+    df = spark.createDataFrame([(1, "<p>x</p>")], "id int, html string")
+    plan = X.page_text(df, "html", keep=["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<style") == plan.count("<title") == 1
 
 
 def test_python_annotator(spark):

@@ -18,7 +18,8 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workbench.functions.partitions import FIT_PARTITIONS, spread
+from workbench.functions.bounded import only_row
+from workbench.functions.partitions import spread
 from workbench.functions.vectors import first_hot_index
 
 
@@ -55,7 +56,7 @@ def forest(label: str, features: str = "featureVector", seed: int = 42, **params
 
 
 def fit_tree(df: DataFrame, label: str, features: Sequence[str] | None = None, *,
-             seed: int = 42, partitions: int = FIT_PARTITIONS, **params) -> PipelineModel:
+             seed: int = 42, partitions: int | None = None, **params) -> PipelineModel:
     """assemble → decision tree (``partitions``: see ``spread``)."""
     cols = list(features) if features else feature_columns(df, label)
     return Pipeline(stages=[assembler(cols), tree(label, seed=seed, **params)]).fit(
@@ -70,7 +71,7 @@ def check_bins(df: DataFrame, cols: Sequence[str], max_categories: int, max_bins
                     F.array(*[F.lit(c) for c in cols]),
                     F.array(*[F.col(c).cast("double") for c in cols]))).alias("feature", "value"))
                 .distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("n")))
-        widest = seen.where(F.col("n") <= max_categories).agg(F.max("n")).first()[0] or 0
+        widest = only_row(seen.where(F.col("n") <= max_categories).agg(F.max("n")))[0] or 0
         if widest > max_bins:
             raise ValueError(f"maxBins={max_bins} is below a categorical feature with "
                              f"{widest} values; raise maxBins to at least {widest}")
@@ -85,7 +86,7 @@ def categorical_stages(cols: Sequence[str], max_categories: int = 40
 
 def fit_categorical(df: DataFrame, label: str, *, model: str = "tree",
                     max_categories: int = 40, max_bins: int = 50, seed: int = 42,
-                    partitions: int = FIT_PARTITIONS, **params) -> PipelineModel:
+                    partitions: int | None = None, **params) -> PipelineModel:
     """assemble → index slots with ≤ max_categories values as categories → tree or
     forest on the indexed vector."""
     cols = feature_columns(df, label)
@@ -127,7 +128,7 @@ GRID_MIN_GAIN = [0.0, 0.05]
 
 def tree_grid_search(df: DataFrame, label: str, *, train_ratio: float = 0.9,
                      seed: int = 42, parallelism: int = 4,
-                     partitions: int = FIT_PARTITIONS) -> tuple[DataFrame, object]:
+                     partitions: int | None = None) -> tuple[DataFrame, object]:
     """Train/validation search over impurity × depth × bins × min-gain (16 fits, run
     ``parallelism`` at a time). Returns (metrics table sorted best first, best model)."""
     cols = feature_columns(df, label)

@@ -18,7 +18,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from workbench.functions.partitions import FIT_PARTITIONS, spread
+from workbench.functions.bounded import only_row
+from workbench.functions.partitions import spread
 from workbench.functions.vectors import as_double_array, nearest, sqdist
 from workbench.session import materialised
 
@@ -64,9 +65,9 @@ def kmeans(k: int, features: str, *, max_iter: int = 20, tol: float = 1e-4,
 def fit_clusters(df: DataFrame, k: int, *, numeric: Sequence[str],
                  categorical: Sequence[str] = (), scale: bool = True, with_mean: bool = False,
                  max_iter: int = 40, tol: float = 1e-5, seed: int = 42,
-                 partitions: int = FIT_PARTITIONS) -> PipelineModel:
+                 partitions: int | None = None) -> PipelineModel:
     """one-hot → assemble → scale → k-means, as one fitted pipeline. The used columns are
-    dealt into ``partitions`` parts (see ``spread``) and cached for the fit, which reads
+    dealt into parts (``partitions``: see ``spread``) and cached for the fit, which reads
     them once per iteration."""
     stages, feats = feature_stages(numeric, categorical, scale=scale, with_mean=with_mean)
     data = spread(df.select(*numeric, *categorical), partitions).cache()
@@ -78,7 +79,7 @@ def fit_clusters(df: DataFrame, k: int, *, numeric: Sequence[str],
 
 
 def _prepared(df: DataFrame, numeric, categorical, scale, with_mean, keep=(),
-              partitions: int = FIT_PARTITIONS):
+              partitions: int | None = None):
     """The feature vectors, cached. The used columns are cached while the stages are
     fitted and the vectors made, and let go before the fits."""
     stages, feats = feature_stages(numeric, categorical, scale=scale, with_mean=with_mean)
@@ -156,8 +157,7 @@ def entropy_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
     try:
         def run(k: int) -> tuple[int, float]:
             model = kmeans(k, feats, max_iter=max_iter, tol=tol, seed=seed).fit(data)
-            return int(k), float(cluster_entropy(model.transform(data), "cluster", label)
-                                 .first()["entropy"])
+            return int(k), float(only_row(cluster_entropy(model.transform(data), "cluster", label))["entropy"])
 
         rows = _each(ks, run, parallelism)
     finally:
@@ -216,7 +216,7 @@ def anomalies(scored: DataFrame, dist: str = "dist", k: int = 100,
 
 
 def formula_kmeans(df: DataFrame, k: int = 100, *, formula: str = "~ .", max_iter: int = 40,
-                   seed: int = 42, partitions: int = FIT_PARTITIONS) -> PipelineModel:
+                   seed: int = 42, partitions: int | None = None) -> PipelineModel:
     """R-style ``~ .`` features (every column; strings one-hot) → k-means."""
     rf = RFormula(formula=formula, featuresCol="features")
     return Pipeline(stages=[rf, KMeans(k=k, maxIter=max_iter, seed=seed,

@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from workbench.functions.bounded import collected
+
 # The metric names of a summary table, in their printed order.
 SUMMARY_METRICS = ("count", "mean", "stddev", "min", "max")
 
@@ -158,7 +160,33 @@ def constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
                     (F.col("n_values") <= 1).alias("constant")))
 
 
+def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """(field, n_values): the exact number of distinct values of each column, null counting
+    as a value; arrays, structs and maps by their JSON text, 0.0 and -0.0 as one.
+
+    One pass: each row becomes one (field, value) row for each column, equal ones meet in
+    an aggregate with map-side combine, and what is left is counted by field. A value that
+    a third of the rows hold is one row of each task; no column's values gather anywhere."""
+    fields = [f for f in df.schema.fields if cols is None or f.name in cols]
+
+    def text(f) -> Column:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            return F.to_json(c)
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            c = c + F.lit(0.0).cast(f.dataType)
+        return F.base64(c) if isinstance(f.dataType, T.BinaryType) else c.cast("string")
+
+    cells = df.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("field"), text(f).alias("value"))
+                                         for f in fields])))
+    values = cells.groupBy("field", "value").agg(F.lit(1).alias("_"))
+    # an empty table has no cells: every column is listed with 0
+    names = df.sparkSession.createDataFrame([(f.name,) for f in fields], "field string")
+    counted = values.groupBy("field").agg(F.count(F.lit(1)).alias("n_values"))
+    return names.join(counted, "field", "left").na.fill(0, ["n_values"])
+
+
 def drop_constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Drop the constant columns (the driver receives one flag per column: bounded)."""
-    flags = constant_columns(df, cols).where("constant").select("field").collect()
+    flags = collected(constant_columns(df, cols).where("constant").select("field"), len(df.columns))
     return df.drop(*[r.field for r in flags])

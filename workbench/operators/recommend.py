@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from workbench.functions.joins import lookup_or_self
+from workbench.operators.factor_scores import top_items
 from workbench.sources import lines as L
 
 Predictor = Callable[[DataFrame], DataFrame]
@@ -61,10 +62,18 @@ def factors(model: ALSModel, which: str = "user") -> DataFrame:
 
 
 def top_n(model: ALSModel, n: int, users: DataFrame | None = None, *,
-          user: str = "user", item: str = "artist") -> DataFrame:
+          exclude_seen: DataFrame | None = None, user: str = "user",
+          item: str = "artist") -> DataFrame:
     """Top ``n`` items per user as rows (user, rank, item, prediction), all users in one
     job (block-wise cross product inside ALS, bounded top-k per user), or only the
-    users in ``users``. Items the user already has are not excluded."""
+    users in ``users``. Items the user already has are not excluded, unless
+    ``exclude_seen`` holds them as (user, item) rows: then the exact search of
+    ``factor_scores.top_items`` leaves them out, however many a user has."""
+    if exclude_seen is not None:
+        wanted = model.userFactors
+        if users is not None:
+            wanted = wanted.join(users.select(F.col(user).alias("id")).distinct(), "id", "left_semi")
+        return top_items(wanted, model.itemFactors, n, exclude=exclude_seen, user=user, item=item)
     recs = (model.recommendForUserSubset(users.select(user).distinct(), n)
             if users is not None else model.recommendForAllUsers(n))
     return (recs.select(F.col(user), F.posexplode("recommendations").alias("pos", "r"))

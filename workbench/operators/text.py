@@ -1,9 +1,11 @@
 """Text to term weights: page text extraction, tokens, stop words, lemmas, term
 counts, vocabulary, inverse document frequency and TF-IDF.
 
-The per-word steps run on exploded words: split, lower-case, drop short words, join lemmas
-and stop words. The corpus steps are aggregations with map-side combine (term counts, document
-frequencies); the vocabulary is a bounded top-k.
+The per-word steps run inside the row of a document: split, lower-case, map to lemmas, drop
+short words and stop words, so that no word leaves its document before it is counted. Lists and
+dictionaries beyond a stated size are joined to exploded words instead. The corpus steps are
+aggregations with map-side combine (term counts, document frequencies); the vocabulary is a
+bounded top-k.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from workbench.functions.bounded import TooManyRows, collected
 
 # English stop words removed from the terms (one word per entry).
 STOP_WORDS = [
@@ -53,6 +56,9 @@ HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
                  ("&nbsp;", " "), ("&amp;", "&")]
 NUMBERED_ENTITY = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 
+# Stop words, and forms of a dictionary, that are tested inside a document's row.
+INLINE_WORDS, INLINE_FORMS = 2_000, 1_000
+
 NON_LETTERS = r"[^\p{L}]+"
 BLANKS = r"[ \t\n\r\f]+"
 
@@ -82,16 +88,24 @@ def page_text(df: DataFrame, html: str = "html", keep: Sequence[str] = ()) -> Da
     page (scripts, styles and comments removed, tags turned to blanks, entities
     decoded, blanks collapsed). Pages with no content give no row."""
     h = F.col(html)
-    title = unescape(F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1))
+    title = F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1)
     body = F.regexp_replace(h, r"(?is)<head(?:\s[^>]*)?>.*?</head>", " ")
     body = F.regexp_replace(body, r"(?is)<script[^>]*>.*?</script>", " ")
     body = F.regexp_replace(body, r"(?is)<style[^>]*>.*?</style>", " ")
     body = F.regexp_replace(body, r"(?s)<!--.*?-->", " ")
     body = F.regexp_replace(body, r"<[^>]*>", " ")
-    content = F.trim(F.regexp_replace(unescape(body), BLANKS, " "))
-    return (df.select(*keep, F.trim(F.regexp_replace(title, BLANKS, " ")).alias("title"),
-                      content.alias("content"))
-            .where(F.length("content") > 0))
+    parts = _once(df, keep, title=title, body=body)
+    clean = {out: F.trim(F.regexp_replace(unescape(F.col(c)), BLANKS, " "))
+             for out, c in (("title", "title"), ("content", "body"))}
+    return _once(parts, keep, **clean).where(F.length("content") > 0)
+
+
+def _once(df: DataFrame, keep: Sequence[str], **columns: Column) -> DataFrame:
+    """The columns ``keep`` and new ones, each computed once for a row whatever reads it: an
+    array of one struct is exploded, which the optimizer does not copy into later steps."""
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*keep, F.explode(F.array(row)).alias("_r")).select(
+        *keep, *[F.col("_r")[n].alias(n) for n in columns])
 
 
 def _words_table(spark: SparkSession, words: Sequence[str] | DataFrame) -> DataFrame:
@@ -111,6 +125,51 @@ def _lemma_table(spark: SparkSession, lemmas: Sequence[tuple[str, str]] | DataFr
             .groupBy("form").agg(F.max("lemma").alias("lemma")))
 
 
+def _small_list(words: Sequence[str] | DataFrame) -> list[str] | None:
+    """The distinct words, or None if there are more than ``INLINE_WORDS``."""
+    if isinstance(words, DataFrame):
+        try:
+            return [r[0] for r in collected(_words_table(words.sparkSession, words), INLINE_WORDS)]
+        except TooManyRows:
+            return None
+    listed = sorted({w for w in words if w is not None})
+    return listed if len(listed) <= INLINE_WORDS else None
+
+
+def _small_dictionary(spark: SparkSession, lemmas) -> dict[str, str] | None:
+    """Form to lemma, or None if there are more than ``INLINE_FORMS``."""
+    if lemmas is None:
+        return {}
+    try:
+        return dict(map(tuple, collected(_lemma_table(spark, lemmas), INLINE_FORMS)))
+    except TooManyRows:
+        return None
+
+
+def _terms_in_row(spark: SparkSession, text: str, *, stop_words: Sequence[str] | DataFrame = STOP_WORDS,
+                  lemmas: Sequence[tuple[str, str]] | DataFrame | None = None, min_len: int = 3,
+                  case_sensitive: bool = False, letters_only: bool = False) -> Column | None:
+    """The terms of a text in order, as one array expression (rules of ``token_rows``), or None
+    if a list is too long for that."""
+    stop, forms = _small_list(stop_words), _small_dictionary(spark, lemmas)
+    if stop is None or forms is None:
+        return None
+    if letters_only:
+        words = F.transform(F.split(F.col(text), BLANKS), lambda w: F.regexp_replace(
+            w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+        words = F.filter(words, lambda w: w.rlike(r"^\p{L}+$"))
+    else:
+        words = F.filter(F.split(F.col(text), NON_LETTERS), lambda w: F.length(w) > 0)
+    if not case_sensitive:
+        words = F.transform(words, F.lower)
+    if forms:
+        table = F.create_map(*[F.lit(x) for pair in sorted(forms.items()) for x in pair])
+        words = F.transform(words, lambda w: F.when(w.isin(*forms), table[w]).otherwise(w))
+    kept = F.filter(words, lambda w: (F.length(w) >= min_len) & ~w.isin(*stop)) if stop else \
+        F.filter(words, lambda w: F.length(w) >= min_len)
+    return F.transform(kept, F.lower) if case_sensitive or forms else kept
+
+
 def token_rows(df: DataFrame, key: str, text: str, *,
                stop_words: Sequence[str] | DataFrame = STOP_WORDS,
                lemmas: Sequence[tuple[str, str]] | DataFrame | None = None, min_len: int = 3,
@@ -158,9 +217,17 @@ def doc_terms_in_pandas(df: DataFrame, key: str, text: str,
     return df.select(key, text).mapInPandas(run, f"{key} {key_type}, terms array<string>")
 
 
+def _enough_terms(df: DataFrame, key: str, terms: Column, min_terms: int) -> DataFrame:
+    return _once(df, [key], terms=terms).where(F.size("terms") >= min_terms)
+
+
 def doc_terms(df: DataFrame, key: str, text: str, *, min_terms: int = 2, **options) -> DataFrame:
     """(key, terms), in text order, of documents with at least ``min_terms`` terms; options
-    as in ``token_rows``. One shuffle, of the terms by their document."""
+    as in ``token_rows``. Row by row, without a shuffle, unless a list of words is too long
+    for that: then the terms are shuffled once, by their document."""
+    terms = _terms_in_row(df.sparkSession, text, **options)
+    if terms is not None:
+        return _enough_terms(df, key, terms, min_terms)
     rows = token_rows(df, key, text, **options)
     placed = F.sort_array(F.collect_list(F.struct("pos", "term")))
     return (rows.groupBy(key).agg(F.transform(placed, lambda p: p["term"]).alias("terms"))
@@ -175,13 +242,15 @@ def term_freq(terms: DataFrame, key: str) -> DataFrame:
 
 def term_freq_from_text(df: DataFrame, key: str, text: str, *, min_terms: int = 2,
                         **options) -> DataFrame:
-    """Long form (key, term, tf) straight from the text, same rules as ``doc_terms``. The
-    terms are shuffled once, by document: that serves the counts and the window that drops
-    documents with fewer than ``min_terms`` terms."""
-    rows = token_rows(df, key, text, **options).select(key, "term").repartition(key)
+    """Long form (key, term, tf) straight from the text, same rules as ``doc_terms``. Terms
+    are counted in the task of their document before the one exchange of the counts."""
+    terms = _terms_in_row(df.sparkSession, text, **options)
+    if terms is not None:
+        return term_freq(_enough_terms(df, key, terms, min_terms), key)
+    rows = token_rows(df, key, text, **options)
     tf = rows.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    n_terms = F.sum("tf").over(Window.partitionBy(key))
-    return tf.withColumn("_n", n_terms).where(F.col("_n") >= min_terms).drop("_n")
+    enough = tf.groupBy(F.col(key).alias("_k")).agg(F.sum("tf").alias("_n")).where(F.col("_n") >= min_terms)
+    return tf.join(enough, F.col(key).eqNullSafe(F.col("_k")), "left_semi")
 
 
 def vocabulary(tf: DataFrame, vocab_size: int = 20000) -> DataFrame:
@@ -222,8 +291,7 @@ def tfidf_vectors(terms: DataFrame, key: str, vocab_size: int = 20000,
     ``vocabulary``) the vector slots follow that deterministic order; otherwise
     ``CountVectorizer`` picks the vocabulary (ties in count in any order)."""
     if vocab is not None:
-        words = [r.term for r in vocab.orderBy("term_id").limit(vocab_size)
-                 .select("term").collect()]
+        words = [r.term for r in collected(vocab.orderBy("term_id").select("term"), vocab_size)]
         cv_model = CountVectorizerModel.from_vocabulary(words, inputCol="terms",
                                                         outputCol="termFreqs")
     else:

@@ -13,11 +13,13 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from workbench.operators import classify, cluster, evaluate, linkage, profile, project, recommend
+from workbench.functions.bounded import collected, only_row, temp_views
+from workbench.operators import (classify, cluster, evaluate, factor_scores, factorise, lemmas, linkage,
+                                 markup, profile, project, recommend)
 from workbench.operators import text as X
 from workbench.plans import views as V
 from workbench.session import materialised, scratch_path
@@ -109,6 +111,28 @@ register("score_crosstab_t4")(_crosstab(4.0))
 register("score_crosstab_t2")(_crosstab(2.0))
 
 
+@register("item_plays_sql")
+def item_plays_sql(spark, d):
+    """Plays and listeners of each catalogue item, as SQL text over two temporary views that
+    are gone when the query has been planned."""
+    with temp_views(spark, plays=V.plays(spark, d), items=V.items(spark, d)) as views:
+        return spark.sql("""
+            SELECT i.name, i.id, count(DISTINCT p.user) AS listeners, coalesce(sum(p.count), 0) AS plays
+            FROM {items} i LEFT JOIN {plays} p ON p.artist = i.id
+            GROUP BY i.name, i.id""".format(**views))
+
+
+@register("distinct_counts")
+def distinct_counts(spark, d):
+    return profile.distinct_counts(V.linkage_like(spark, d))
+
+
+@register("distinct_counts_labelled")
+def distinct_counts_labelled(spark, d):
+    """The wide table: 55 columns, still one pass."""
+    return profile.distinct_counts(V.labelled(spark, d))
+
+
 # ---- sources: file round trips and line parsers ------------------------------------
 
 LINKAGE_SCHEMA = ("id_1 bigint, id_2 bigint, cmp_a double, cmp_b double, cmp_c int, "
@@ -251,8 +275,9 @@ def _split_plays(spark, d):
 
 @register("popularity_predict")
 def popularity_predict(spark, d):
-    train, _ = _split_plays(spark, d)
-    return recommend.popularity_predictor(train)(V.plays(spark, d)).select(
+    plays = _plays_table(spark, d)  # read twice, joined once
+    train, _ = evaluate.hash_split(plays, ["user", "artist"])
+    return recommend.popularity_predictor(train)(plays).select(
         "user", "artist", "prediction")
 
 
@@ -310,6 +335,40 @@ def auc_exhaustive(spark, d):
     return rounded(evaluate.per_user_auc_all_negatives(cv, scores))
 
 
+# ---- factor scores over all users and items ----------------------------------------
+def _fixed_factors(plays):
+    users = V.fixed_factors(plays.select(F.col("user").alias("id")).distinct(), 1, V.NO_USER)
+    return users, V.fixed_factors(plays.select(F.col("artist").alias("id")).distinct(), 2, V.NO_ITEM)
+
+
+@register("auc_all_items")
+def auc_all_items(spark, d):
+    """Per-user AUC of factors against every catalogue item the user lacks."""
+    plays = _plays_table(spark, d)
+    _, cv = evaluate.hash_split(plays, ["user", "artist"])
+    users, items = _fixed_factors(plays)
+    return rounded(factor_scores.per_user_auc_all_items(cv, users, items, plays.select("artist")))
+
+
+@register("top_items_all")
+def top_items_all(spark, d):
+    """The best items of every user, by exact search over the items in order of their norms."""
+    users, items = _fixed_factors(_plays_table(spark, d))
+    return rounded(factor_scores.top_items(users, items, TOP_N))
+
+
+# Fixed value: items for each user, of those not played yet.
+UNSEEN_N = 20
+
+
+@register("top_items_unseen")
+def top_items_unseen(spark, d):
+    """The same without the items that the user has played."""
+    plays = _plays_table(spark, d)
+    users, items = _fixed_factors(plays)
+    return rounded(factor_scores.top_items(users, items, UNSEEN_N, exclude=plays))
+
+
 # ---- classification ---------------------------------------------------------------
 
 CLASSES = [1, 2, 3, 4, 5, 6, 7]
@@ -706,6 +765,22 @@ def lemma_terms(spark, d):
     return tf.groupBy("term").agg(F.sum("tf").alias("total"))
 
 
+@register("lemma_rules")
+def lemma_rules(spark, d):
+    """Lemmas of forms whose lemma was held back, by suffix rules from the other pairs."""
+    train, held = evaluate.hash_split(V.inflections(spark, d), ["lemma"], 7, seed=3)
+    held = materialised(held, "held-back")
+    found = lemmas.lemmatise(held.select("form"), lemmas.induce(train))
+    return held.join(found.withColumnRenamed("lemma", "guess"), "form").select(
+        "form", "lemma", "guess", (F.col("lemma") == F.col("guess")).alias("right"))
+
+
+@register("markup_text")
+def markup_text(spark, d):
+    """Plain text of markup with constructs in one another: the words it was made around."""
+    return markup.markup_text(V.nested_markup(spark, d), "doc_id", "markup")
+
+
 def _tf_long(spark, d):
     return X.term_freq_from_text(V.table(spark, d, "documents"), "doc_id", "text",
                                  stop_words=stop_words(spark))
@@ -753,6 +828,57 @@ def tfidf_vectors(spark, d):
         F.aggregate(arr, F.lit(0.0), lambda a, v: a + v).alias("weight")))
 
 
+# Size of the vocabulary and components of the factorisation.
+SVD_TERMS, SVD_SIZE = 20_000, 10
+
+
+def _term_svd(spark, d):
+    """(decomposition of the TF-IDF matrix of the documents, its weights)"""
+    tf = _term_table(spark, d)
+    weights = materialised(X.tfidf(tf, "doc_id", X.idf(tf, "doc_id", X.vocabulary(tf, SVD_TERMS))), "weights")
+    n_terms = only_row(weights.agg(F.max("term_id")))[0]
+    return factorise.truncated_svd(weights, "doc_id", "term_id", "tfidf", (n_terms or 0) + 1, SVD_SIZE), weights
+
+
+@register("svd_concepts")
+def svd_concepts(spark, d):
+    """The terms that weigh most in each component of the documents' TF-IDF matrix."""
+    svd, weights = _term_svd(spark, d)
+    terms = weights.select("term_id", "term").distinct()
+    rows = svd.right.select("term_id", F.posexplode("v").alias("place", "weight"))
+    by = Window.partitionBy("place").orderBy(F.abs("weight").desc(), "term_id")
+    best = rows.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= 10)
+    return best.join(terms, "term_id").join(svd.values, F.col("place") + 1 == F.col("component")).select(
+        "component", "sigma", "rank", "term", "weight")
+
+
+@register("svd_documents")
+def svd_documents(spark, d):
+    """Every document with a term: its coordinates in the space of the components."""
+    svd, _ = _term_svd(spark, d)
+    return svd.left.select("doc_id", F.col("u").alias("coordinates"))
+
+
+@register("svd_check")
+def svd_check(spark, d):
+    """Of each component: lengths of its vectors, and what the left vectors give when the
+    weights are multiplied out again (u'Av = sigma), next to the size of the matrix."""
+    svd, weights = _term_svd(spark, d)
+    left = materialised(svd.left, "left")
+    sizes = {n: t.select(F.posexplode(c).alias("place", "x")).groupBy("place").agg(F.sum(F.col("x") ** 2).alias(n))
+             for n, t, c in (("left_length", left, "u"), ("right_length", svd.right, "v"))}
+    again = (weights.join(left, "doc_id").join(svd.right, "term_id")
+             .select(F.posexplode(F.zip_with("u", "v", lambda a, b: a * b)).alias("place", "x"), "tfidf")
+             .groupBy("place").agg(F.sum(F.col("x") * F.col("tfidf")).alias("again")))
+    total = weights.agg(F.round(F.sum(F.col("tfidf") ** 2), 2)).scalar()
+    out = svd.values.withColumn("place", F.col("component") - 1)
+    for t in (*sizes.values(), again):
+        out = out.join(t, "place")
+    return rounded(out.select(
+        "component", "left_length", "right_length", (F.col("again") / F.col("sigma")).alias("again"),
+        (F.col("residual") < 1e-8).alias("settled"), total.alias("total")))
+
+
 # ---- recommender: factor model -----------------------------------------------------
 
 
@@ -825,6 +951,48 @@ def als_auc(spark, d):
     ).select("predictor", "mean_auc")
 
 
+@register("als_auc_all_items")
+def als_auc_all_items(spark, d):
+    """Mean per-user AUC of the factor model and of popularity, each against every item that
+    the user lacks instead of sampled ones."""
+    counts = materialised(_all_counts(spark, d), "counts")
+    train, cv = evaluate.hash_split(counts, ["user", "artist"])
+    catalogue = counts.select("artist").distinct()
+    model = recommend.fit_als(train, rank=10, reg=0.01, alpha=1.0, max_iter=5, seed=42)
+    popular = recommend.popularity_predictor(train)(catalogue)
+    per_user = {"als": factor_scores.per_user_auc_all_items(cv, model.userFactors, model.itemFactors, catalogue),
+                "popularity": evaluate.per_user_auc_all_negatives(cv, popular)}
+    one, two = (t.agg(F.avg("auc").alias("mean_auc")).select(F.lit(n).alias("predictor"), "mean_auc")
+                for n, t in per_user.items())
+    return one.unionByName(two)
+
+
+@register("als_topn_unseen")
+def als_topn_unseen(spark, d):
+    """Top 5 of every user of the training plays without what the user has played in them."""
+    train, _ = _split_counts(spark, d)
+    train = materialised(train, "train")
+    model = recommend.fit_als(train, rank=10, reg=0.01, alpha=1.0, max_iter=5, seed=42)
+    return recommend.top_n(model, TOP_N, exclude_seen=train)
+
+
+@register("als_topn_unseen_check")
+def als_topn_unseen_check(spark, d):
+    """Of every user's list: its length, no played item in it, scores falling, ranks 1, 2, ..."""
+    train, _ = _split_counts(spark, d)
+    train = materialised(train, "train")
+    model = recommend.fit_als(train, rank=10, reg=0.01, alpha=1.0, max_iter=5, seed=42)
+    top = materialised(recommend.top_n(model, TOP_N, exclude_seen=train), "unseen")
+    played = train.select("user", "artist").distinct().withColumn("played", F.lit(1))
+    at = F.sort_array(F.collect_list(F.struct("rank", "prediction")))
+    lists = top.join(played, ["user", "artist"], "left").groupBy("user").agg(
+        F.count(F.lit(1)).alias("n"), (F.count("played") == 0).alias("unseen"), at.alias("at"))
+    scores = F.col("at.prediction")
+    return lists.select("user", "n", "unseen",
+                        (F.sort_array(scores, asc=False) == scores).alias("falling"),
+                        (F.col("at.rank") == F.sequence(F.lit(1), F.col("n").cast("int"))).alias("ranked"))
+
+
 # The factor-model grid.
 ALS_RANKS = [5, 30]
 ALS_REGS = [4.0, 0.0001]
@@ -928,27 +1096,33 @@ def tree_confusion_check(spark, d):
     the priors without knowing the label."""
     m = tree_confusion(spark, d)
     train, test = _train_test_features(spark, d)
-    prior = evaluate.prior_accuracy(train, test, "y").first()[0]
-    rows = m.collect()  # one row per class
+    prior = only_row(evaluate.prior_accuracy(train, test, "y"))[0] or 0
+    rows = collected(m, len(CLASSES))
     hits = sum(r[str(int(r["y"]))] for r in rows)
     total = sum(r[str(c)] for r in rows for c in CLASSES)
     return m.select("y", sum(F.col(f"`{c}`") for c in CLASSES).alias("rows"),
-                    F.lit(prior < hits / total < 1).alias("between"))
+                    F.lit(prior * total < hits < total).alias("between"))
+
+
+# Fixed value: by how much the best tree must be more often right than the priors.
+LEARNT = 0.1
 
 
 @register("tree_grid_check")
 def tree_grid_check(spark, d):
     """The sixteen points of the tree search with usable scores, and the best model's own
     parameters among the points with the best score."""
-    train, _ = _train_test_features(spark, d)
+    train, test = _train_test_features(spark, d)
     table, best = classify.tree_grid_search(train, "y", seed=42)
     t = best.stages[-1]
-    top = table.agg(F.max("accuracy")).first()[0]
+    top = only_row(table.agg(F.max("accuracy")))[0]
+    prior = only_row(evaluate.prior_accuracy(train, test, "y"))[0] or 0
     own = ((F.col("impurity") == t.getImpurity()) & (F.col("maxDepth") == t.getMaxDepth())
            & (F.col("maxBins") == t.getMaxBins()) & (F.col("minInfoGain") == t.getMinInfoGain()))
-    best_is_best = table.where(own).first()["accuracy"] == top
+    best_is_best = only_row(table.where(own))["accuracy"] == top
     return table.select("impurity", "maxDepth", "maxBins", "minInfoGain",
-                        F.col("accuracy").between(0, 1).alias("usable"), F.lit(best_is_best).alias("best_is_best"))
+                        F.col("accuracy").between(0, 1).alias("usable"), F.lit(best_is_best).alias("best_is_best"),
+                        F.lit(top > prior + LEARNT).alias("learnt"))
 
 
 @register("importance_check")
@@ -957,7 +1131,7 @@ def importance_check(spark, d):
     out = None
     for name, query in (("tree", tree_importance), ("forest", forest_importance)):
         imp = query(spark, d)
-        one = abs(imp.agg(F.sum("importance")).first()[0] - 1) < 1e-9
+        one = abs(only_row(imp.agg(F.sum("importance")))[0] - 1) < 1e-9
         rows = imp.select(F.lit(name).alias("model"), "feature", F.lit(one).alias("adds_up"))
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -995,7 +1169,7 @@ def kmeans_sweep_check(spark, d):
     """The k of the sweeps: cost per row is cost over rows, and entropy lies between 0 and
     that of the labels as a whole."""
     n = _session_feats(spark, d).count()
-    whole = cluster.cluster_entropy(_session_feats(spark, d).withColumn("cluster", F.lit(0))).first()["entropy"]
+    whole = only_row(cluster.cluster_entropy(_session_feats(spark, d).withColumn("cluster", F.lit(0))))["entropy"]
     cost = None
     for name, query in (("plain", kmeans_sweep), ("tight", kmeans_sweep_tight)):
         rows = query(spark, d).select(F.lit(name).alias("sweep"), "k",
@@ -1016,11 +1190,15 @@ def anomalies_fitted_check(spark, d):
 
 @register("kmeans_formula_check")
 def kmeans_formula_check(spark, d):
-    """Every row gets one of the formula model's clusters."""
+    """Every row gets one of the formula model's clusters; their cost is a small part of that
+    of one cluster for all rows."""
     s = _session_feats(spark, d).select(*V.SESSION_NUMERIC)
     model = cluster.formula_kmeans(s, 100, max_iter=40, seed=42)
+    one = only_row(s.agg(sum(F.var_pop(c) for c in V.SESSION_NUMERIC) * F.count(F.lit(1))))[0] or 0
+    cost = model.stages[-1].summary.trainingCost
     return model.transform(s).agg(F.count(F.lit(1)).alias("rows"),
-                                  F.min(F.col("prediction").between(0, 99)).alias("in_range"))
+                                  F.min(F.col("prediction").between(0, 99)).alias("in_range"),
+                                  F.lit(cost < 0.01 * one).alias("close"))
 
 
 @register("pca_check")
@@ -1029,12 +1207,12 @@ def pca_check(spark, d):
     the explained shares times the number of standardised columns."""
     vec = V.vectors(spark, d).select("vec_id", array_to_vector("embedding").alias("v"))
     scores, variance = project.pca_scores(vec, "v", 3, keep=["vec_id"])
-    share = {r["component"]: r["explained_variance"] for r in variance.collect()}
-    width = len(vec.first()["v"])
-    first = min(share)
+    share = {r["component"]: r["explained_variance"] for r in collected(variance, 3)}
+    width = only_row(vec.agg(F.max(F.size(vector_to_array("v")))))[0] or 0
+    first = min(share, default=0)
     out = None
     for i in range(3):
-        pc, said = F.col(f"pc{i + 1}"), share[first + i] * width
+        pc, said = F.col(f"pc{i + 1}"), share.get(first + i, 0.0) * width
         rows = scores.agg(F.count(F.lit(1)).alias("rows"), (F.abs(F.avg(pc)) < 1e-9).alias("centred"),
                           (F.abs(F.var_samp(pc) - said) < 1e-6 * width).alias("as_said")
                           ).select(F.lit(i + 1).alias("component"), "*")

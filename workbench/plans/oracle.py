@@ -62,6 +62,8 @@ def r6(expr: str) -> str:
 
 
 LINKAGE_NUMERIC = ["id_1", "id_2", "cmp_a", "cmp_b", "cmp_c", "cmp_d"]
+LABELLED_COLS = (["q", "e", "d", "t", "u", "line", "month", "day", "part", "order"]
+                 + [f"Area_{i}" for i in range(4)] + [f"Kind_{i}" for i in range(40)] + ["y"])
 LINKAGE_COMPARE = ["cmp_a", "cmp_b", "cmp_c", "cmp_d"]
 
 
@@ -127,6 +129,15 @@ def _build() -> dict[str, str]:
             f"FROM (SELECT coalesce(cmp_a,0) + coalesce(cmp_b,0) + coalesce(cmp_c,0) "
             f"+ coalesce(cmp_d,0) AS score, is_match FROM linkage_like) GROUP BY 1",
             "linkage_like")
+    q["item_plays_sql"] = with_views(
+        'SELECT i.name, i.id, count(DISTINCT p."user") AS listeners, '
+        'CAST(coalesce(sum(p."count"), 0) AS BIGINT) AS plays FROM items i LEFT JOIN plays p ON p.artist = i.id '
+        "GROUP BY i.name, i.id", "plays", "items")
+    for name, view, cols in (("distinct_counts", "linkage_like", LINKAGE_NUMERIC + ["is_match"]),
+                             ("distinct_counts_labelled", "labelled", LABELLED_COLS)):
+        q[name] = with_views(" UNION ALL ".join(
+            f"SELECT '{c}' AS field, count(DISTINCT \"{c}\") + coalesce(max(CASE WHEN \"{c}\" IS NULL THEN 1 END), 0) "
+            f"AS n_values FROM {view}" for c in cols), view)
     _sources(q)
     _recommend(q)
     _classify(q)
@@ -248,6 +259,38 @@ def _recommend(q: dict[str, str]) -> None:
                      FROM pp JOIN neg ON pp."user" = neg."user" GROUP BY pp."user")
         SELECT "user", {r6('auc')} AS auc FROM per_user""", "plays").replace(
         ")\nWITH ", "),\n", 1)
+    def factors(name: str, column: str, salt: int, without: int) -> str:
+        return f"""{name} AS (
+            SELECT id, list_transform(range(0, 8), lambda f: CAST(
+                ((id * (2 * f + 3) * 31 + f * f * 17 + {salt}) % 257 - 128) * (1 + id % 7) AS DOUBLE) / 1024) AS f
+            FROM (SELECT DISTINCT CAST("{column}" AS BIGINT) AS id FROM plays) WHERE id % {without} <> 3)"""
+    both = factors("uf", "user", 1, 40) + ", " + factors("vf", "artist", 2, 50)
+    q["auc_all_items"] = with_views(f"""WITH split AS ({split}),
+        cv AS (SELECT * FROM split WHERE NOT is_train), {both},
+        scores AS (SELECT u."user", c.artist, list_dot_product(uf.f, vf.f) AS s
+                   FROM (SELECT DISTINCT "user" FROM cv) u CROSS JOIN (SELECT DISTINCT artist FROM plays) c
+                   LEFT JOIN uf ON uf.id = u."user" LEFT JOIN vf ON vf.id = c.artist),
+        neg AS (SELECT s."user", s.s AS q FROM scores s ANTI JOIN cv
+                ON cv."user" = s."user" AND cv.artist = s.artist),
+        pp AS (SELECT cv."user", s.s AS p FROM cv JOIN scores s USING ("user", artist)),
+        per_user AS (SELECT pp."user", count(*) FILTER (WHERE pp.p > neg.q) / count(*) AS auc
+                     FROM pp JOIN neg ON pp."user" = neg."user" GROUP BY pp."user")
+        SELECT "user", {r6('auc')} AS auc FROM per_user""", "plays").replace(")\nWITH ", "),\n", 1)
+    for name, n, seen in (("top_items_all", 5, ""), ("top_items_unseen", 20,
+                          'ANTI JOIN plays ON plays."user" = uf.id AND plays.artist = vf.id')):
+        q[name] = with_views(f"""WITH {both},
+            ranked AS (
+                SELECT uf.id AS "user", vf.id AS artist, list_dot_product(uf.f, vf.f) AS s,
+                       row_number() OVER (PARTITION BY uf.id
+                                          ORDER BY list_dot_product(uf.f, vf.f) DESC, vf.id) AS rank
+                FROM uf CROSS JOIN vf {seen})
+            SELECT CAST("user" AS INTEGER) AS "user", CAST(rank AS INTEGER) AS rank,
+                   CAST(artist AS INTEGER) AS artist, {r6('s')} AS prediction
+            FROM ranked WHERE rank <= {n}""", "plays").replace(")\nWITH ", "),\n", 1)
+    q["als_topn_unseen_check"] = (
+        f'WITH train AS (SELECT * FROM ({resolved}) WHERE ({md5_u32("0", chr(34) + "user" + chr(34), "artist")} '
+        '% 10) < 9) SELECT "user", least(5, (SELECT count(DISTINCT artist) FROM train) - count(DISTINCT artist)) '
+        'AS n, true AS unseen, true AS falling, true AS ranked FROM train GROUP BY "user"')
     q["auc_sampled"] = with_views(
         f"WITH {auc.strip()} SELECT \"user\", {r6('auc')} AS auc FROM per_user", "plays"
     ).replace(")\nWITH ", "),\n", 1)
@@ -305,7 +348,8 @@ def _classify(q: dict[str, str]) -> None:
         'SELECT y, count(*) AS rows, true AS "between" FROM sp WHERE NOT is_train GROUP BY y')
     q["tree_grid_check"] = """
         SELECT impurity, CAST(depth AS INTEGER) AS maxDepth, CAST(bins AS INTEGER) AS maxBins,
-               CAST(gain AS DOUBLE) AS minInfoGain, true AS usable, true AS best_is_best
+               CAST(gain AS DOUBLE) AS minInfoGain, true AS usable, true AS best_is_best,
+               true AS learnt
         FROM (VALUES ('gini'), ('entropy')) a(impurity), (VALUES (1), (20)) b(depth),
              (VALUES (40), (300)) c(bins), (VALUES (0.0), (0.05)) g(gain)
         WHERE (SELECT count(*) FROM lineitem) > 0"""
@@ -353,7 +397,7 @@ def _cluster(q: dict[str, str]) -> None:
             UNION ALL SELECT 'entropy', unnest(range(60, 271, 30)))"""
     q["anomalies_fitted_check"] = ("SELECT count(*) >= 100 AS enough, true AS known "
                                    "FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
-    q["kmeans_formula_check"] = f"SELECT {rows}, true AS in_range"
+    q["kmeans_formula_check"] = f"SELECT {rows}, true AS in_range, true AS close"
     q["pca_check"] = ("SELECT CAST(component AS INTEGER) AS component, CAST((SELECT count(*) FROM embeddings) "
                       "AS BIGINT) AS rows, true AS centred, true AS as_said "
                       "FROM (SELECT unnest(range(1, 4)) AS component)")
@@ -439,6 +483,54 @@ def _text(q: dict[str, str]) -> None:
     q["tfidf"] = idf.replace("\n, ", ",\n") + (
         f"SELECT tf.doc_id, CAST(idf.term_id AS INTEGER) AS term_id, tf.term, tf.tf, "
         f"{r6('tf.tf * idf.idf')} AS tfidf FROM tf JOIN idf USING (term)")
+    short = "substr(w, 1, length(w) - 1)"
+    in_train = f"{md5_u32('3', 'lemma')} % 10 < 7"
+    q["lemma_rules"] = f"""
+        WITH words AS (
+            SELECT DISTINCT lower(w) AS w
+            FROM (SELECT unnest(regexp_split_to_array(text, '[^\\p{{L}}]+')) AS w FROM documents)
+            WHERE length(w) >= 4),
+        pairs AS (
+            SELECT CASE WHEN regexp_matches(w, '(s|x|z|sh|ch)$') THEN w || 'es' WHEN w LIKE '%y' THEN {short} || 'ies'
+                        ELSE w || 's' END AS form, w AS lemma FROM words
+            UNION SELECT CASE WHEN w LIKE '%e' THEN w || 'd' WHEN w LIKE '%y' THEN {short} || 'ied'
+                              ELSE w || 'ed' END, w FROM words
+            UNION SELECT CASE WHEN w LIKE '%e' THEN {short} ELSE w END || 'ing', w FROM words),
+        shared AS (
+            SELECT form, lemma, len(list_filter(range(1, least(length(form), length(lemma)) + 1),
+                                                lambda i: substr(form, 1, i) = substr(lemma, 1, i))) AS n
+            FROM pairs WHERE {in_train}),
+        votes AS (
+            SELECT size, substr(form, length(form) - size + 1) AS suffix, length(form) - n AS cut,
+                   substr(lemma, n + 1) AS added
+            FROM shared, range(0, 7) s(size) WHERE size <= length(form) AND size >= length(form) - n),
+        rules AS (
+            SELECT size, suffix, cut, added FROM (
+                SELECT size, suffix, cut, added, row_number() OVER (PARTITION BY suffix ORDER BY n DESC, cut, added) AS k
+                FROM (SELECT size, suffix, cut, added, count(*) AS n FROM votes GROUP BY size, suffix, cut, added)
+                WHERE n >= 2) WHERE k = 1),
+        ends AS (
+            SELECT form, size, right(form, size) AS suffix FROM (SELECT DISTINCT form FROM pairs), range(0, 7) s(size)
+            WHERE size <= length(form)),
+        found AS (
+            SELECT e.form, arg_max(substr(e.form, 1, length(e.form) - r.cut) || r.added, e.size) AS lemma
+            FROM ends e JOIN rules r ON r.suffix = e.suffix AND r.size = e.size GROUP BY e.form),
+        guesses AS (SELECT form, coalesce(f.lemma, form) AS guess FROM (SELECT DISTINCT form FROM pairs)
+                    LEFT JOIN found f USING (form)),
+        exceptions AS (
+            SELECT t.form, t.lemma FROM (SELECT form, max(lemma) AS lemma FROM pairs WHERE {in_train} GROUP BY form) t
+            JOIN guesses g USING (form) WHERE g.guess <> t.lemma)
+        SELECT form, p.lemma, coalesce(x.lemma, g.guess) AS guess, p.lemma = coalesce(x.lemma, g.guess) AS "right"
+        FROM pairs p JOIN guesses g USING (form) LEFT JOIN exceptions x USING (form)
+        WHERE NOT ({in_train.replace("lemma", "p.lemma")})"""
+    q["markup_text"] = (
+        "SELECT doc_id, trim(regexp_replace(text, '[^\\p{L}]+', ' ', 'g')) AS content FROM documents "
+        "WHERE length(trim(regexp_replace(text, '[^\\p{L}]+', ' ', 'g'))) > 0")
+    q["svd_check"] = idf.replace("\n, ", ",\n") + (
+        "SELECT CAST(component AS INTEGER) AS component, CAST(1 AS DOUBLE) AS left_length, "
+        "CAST(1 AS DOUBLE) AS right_length, CAST(1 AS DOUBLE) AS again, true AS settled, "
+        "(SELECT round(sum((tf.tf * idf.idf) ** 2), 2) FROM tf JOIN idf USING (term)) AS total "
+        "FROM range(1, 11) c(component)")
     folded = ("list_filter(list_transform(regexp_extract_all(lower(text), '\\p{L}+'), "
               "lambda w: strip_accents(w)), lambda w: length(w) >= 3)")
     q["doc_terms_pandas"] = (

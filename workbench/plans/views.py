@@ -7,6 +7,8 @@ definitions are written in SQL in ``plans.oracle`` for the independent check.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +66,20 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").cast("int").alias("id"), F.col("p_name").alias("name"))
 
 
+# Length of the made-up factors; every so many ids have none.
+FACTORS, NO_USER, NO_ITEM = 8, 40, 50
+
+
+def fixed_factors(ids: DataFrame, salt: int, without: int) -> DataFrame:
+    """(id, features): factors by rule instead of a fit, so that SQL has them too. They are
+    multiples of 1/1024 of unlike norm, so sums of products are exact in any order; every
+    ``without``-th id has none (as in a model that never saw it)."""
+    k = F.col("id").cast("bigint")
+    parts = F.transform(F.sequence(F.lit(0), F.lit(FACTORS - 1)), lambda f: (
+        ((k * (2 * f + 3) * 31 + f * f * 17 + salt) % 257 - 128) * (1 + k % 7)).cast("double") / 1024.0)
+    return ids.where(k % without != 3).select("id", parts.alias("features"))
+
+
 def alias_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(artist, alias): every key ending in 9 is a misspelt copy of the key 9 below it."""
     p = table(spark, sf_dir, "part")
@@ -119,5 +135,39 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def inflections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(form, lemma): three forms of every word of the documents with four letters or more, made
+    by rules that look at its last letters."""
+    words = table(spark, sf_dir, "documents").select(
+        F.explode(F.split("text", r"[^\p{L}]+")).alias("w")).where(F.length("w") >= 4).select(
+        F.lower("w").alias("w")).distinct()
+    w = F.col("w")
+    short = F.substring(w, F.lit(1), F.length(w) - 1)
+    def ends(*marks):
+        return reduce(lambda a, b: a | b, [w.endswith(m) for m in marks])
+    plural = F.when(ends("s", "x", "z", "sh", "ch"), F.concat(w, F.lit("es"))).when(
+        ends("y"), F.concat(short, F.lit("ies"))).otherwise(F.concat(w, F.lit("s")))
+    past = F.when(ends("e"), F.concat(w, F.lit("d"))).when(
+        ends("y"), F.concat(short, F.lit("ied"))).otherwise(F.concat(w, F.lit("ed")))
+    going = F.concat(F.when(ends("e"), short).otherwise(w), F.lit("ing"))
+    return words.select(F.explode(F.array(plural, past, going)).alias("form"), w.alias("lemma")).distinct()
+
+
+def nested_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, markup): the letters of the documents in wiki markup, with constructs of every
+    kind in one another; one document in seven ends in a template that is never closed."""
+    words = F.split(F.trim(F.regexp_replace("text", r"[^\p{L}]+", " ")), " ")
+    n = F.size(words)
+    def part(a, b):
+        return F.array_join(F.slice(words, a, b), " ")
+    third = F.floor(n / 3).cast("int")
+    marks = F.concat(
+        F.lit("{{box|a={{deep|x=[[y|z]]}}|b=<!-- }} -->}}"), part(F.lit(1), third),
+        F.lit(" <ref name=q>{{cite|[[u|v]]}}</ref>[[File:f.png|thumb|a [[link|to]] {{b}}]]\n{| class\n| {{c}} {| in |} |}\n[[Page {{d}}|"),
+        part(third + 1, third), F.lit("]] '''"), part(2 * third + 1, n), F.lit("'''"),
+        F.when(F.col("doc_id") % 7 == 0, F.lit("{{")).otherwise(F.lit("")))
+    return table(spark, sf_dir, "documents").select("doc_id", marks.alias("markup"))
+
+
 SESSION_NUMERIC = ["quantity", "price", "discount", "tax"]
 SESSION_CATEGORICAL = ["returnflag", "linestatus", "priority"]
