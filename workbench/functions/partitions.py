@@ -11,7 +11,7 @@ from workbench.session import materialised
 # Rows of a part, the most parts of a frame (beyond them parts grow), and the equal rows that
 # may lie in one part. Documented parameters of the fits and no functions of the cluster: a
 # solver's random start and the order of its sums depend on the parts.
-ROWS_PER_PART, MAX_PARTS, EQUAL_ROWS = 40_000, 100_000, 10_000
+ROWS_PER_PART, MAX_PARTS, EQUAL_ROWS = 75_000, 100_000, 10_000
 
 
 def part_count(rows: int) -> int:
@@ -19,6 +19,14 @@ def part_count(rows: int) -> int:
     return min(max(1, -(-rows // ROWS_PER_PART)), MAX_PARTS)
 
 
+def widened(df: DataFrame) -> DataFrame:
+    """``df`` for work that is heavy for each row: dealt over all task slots where its files give
+    fewer parts than there are slots (a table of one row group is one task otherwise). With
+    as many parts as slots or more, which is any large table, nothing is moved."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def spread(df: DataFrame, partitions: int | None = None, *, equal_rows: int = EQUAL_ROWS) -> DataFrame:
     """``df`` in ``part_count`` parts (or ``partitions``) by the hash of its columns, each
     sorted by them: the same rows in the same order on any number of task slots and for any

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from workbench.functions.bounded import only_row
 from workbench.functions.partitions import spread
 from workbench.functions.vectors import as_double_array, nearest, sqdist
-from workbench.session import materialised
+from workbench.session import ensure_checkpoint_dir, materialised
 
 # The k ranges swept by the cost and entropy studies.
 K_SWEEP_SMALL = list(range(20, 101, 20))
@@ -80,16 +80,13 @@ def fit_clusters(df: DataFrame, k: int, *, numeric: Sequence[str],
 
 def _prepared(df: DataFrame, numeric, categorical, scale, with_mean, keep=(),
               partitions: int | None = None):
-    """The feature vectors, cached. The used columns are cached while the stages are
-    fitted and the vectors made, and let go before the fits."""
+    """The feature vectors over a checkpoint of the used columns, which keeps their parts and
+    order. They are not cached: a k-means that is given a cached frame reads and unpacks it
+    again in every step, while one that is not keeps its own vectors until it is done."""
     stages, feats = feature_stages(numeric, categorical, scale=scale, with_mean=with_mean)
-    base = spread(df.select(*dict.fromkeys([*keep, *numeric, *categorical])), partitions).cache()
-    try:
-        data = Pipeline(stages=stages).fit(base).transform(base).select(*keep, feats).cache()
-        data.count()
-    finally:
-        base.unpersist()
-    return data, feats
+    ensure_checkpoint_dir(df.sparkSession)
+    base = spread(df.select(*dict.fromkeys([*keep, *numeric, *categorical])), partitions).checkpoint()
+    return Pipeline(stages=stages).fit(base).transform(base).select(*keep, feats), feats
 
 
 # Fixed value: most k-means fits of one sweep that run at the same time.
@@ -110,17 +107,14 @@ def kmeans_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
     """(k, cost, mean_cost) for each k: cost = Σ squared distance to the nearest
     centre (the model's training cost), mean_cost = cost / rows."""
     data, feats = _prepared(df, numeric, categorical, scale, with_mean)
-    try:
-        n = data.count()
+    n = data.count()
 
-        def run(k: int) -> tuple[int, float, float]:
-            model = kmeans(k, feats, max_iter=max_iter, tol=tol, seed=seed).fit(data)
-            cost = float(model.summary.trainingCost)
-            return int(k), cost, cost / n
+    def run(k: int) -> tuple[int, float, float]:
+        model = kmeans(k, feats, max_iter=max_iter, tol=tol, seed=seed).fit(data)
+        cost = float(model.summary.trainingCost)
+        return int(k), cost, cost / n
 
-        rows = _each(ks, run, parallelism)
-    finally:
-        data.unpersist()
+    rows = _each(ks, run, parallelism)
     return df.sparkSession.createDataFrame(rows, "k int, cost double, mean_cost double")
 
 
@@ -154,14 +148,11 @@ def entropy_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
                   seed: int = 42, parallelism: int | None = None) -> DataFrame:
     """(k, entropy): size-weighted label entropy of the clustering at each k."""
     data, feats = _prepared(df, numeric, categorical, scale, False, keep=[label])
-    try:
-        def run(k: int) -> tuple[int, float]:
-            model = kmeans(k, feats, max_iter=max_iter, tol=tol, seed=seed).fit(data)
-            return int(k), float(only_row(cluster_entropy(model.transform(data), "cluster", label))["entropy"])
+    def run(k: int) -> tuple[int, float]:
+        model = kmeans(k, feats, max_iter=max_iter, tol=tol, seed=seed).fit(data)
+        return int(k), float(only_row(cluster_entropy(model.transform(data), "cluster", label))["entropy"])
 
-        rows = _each(ks, run, parallelism)
-    finally:
-        data.unpersist()
+    rows = _each(ks, run, parallelism)
     return df.sparkSession.createDataFrame(rows, "k int, entropy double")
 
 

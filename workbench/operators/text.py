@@ -11,12 +11,14 @@ bounded top-k.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from workbench.functions.bounded import TooManyRows, collected
+from workbench.functions.partitions import widened
 
 # English stop words removed from the terms (one word per entry).
 STOP_WORDS = [
@@ -58,6 +60,8 @@ NUMBERED_ENTITY = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 
 # Stop words, and forms of a dictionary, that are tested inside a document's row.
 INLINE_WORDS, INLINE_FORMS = 2_000, 1_000
+# Words of a document that are looked at first to tell whether it has enough terms.
+LOOK = 64
 
 NON_LETTERS = r"[^\p{L}]+"
 BLANKS = r"[ \t\n\r\f]+"
@@ -94,7 +98,7 @@ def page_text(df: DataFrame, html: str = "html", keep: Sequence[str] = ()) -> Da
     body = F.regexp_replace(body, r"(?is)<style[^>]*>.*?</style>", " ")
     body = F.regexp_replace(body, r"(?s)<!--.*?-->", " ")
     body = F.regexp_replace(body, r"<[^>]*>", " ")
-    parts = _once(df, keep, title=title, body=body)
+    parts = _once(widened(df.select(*keep, html)), keep, title=title, body=body)
     clean = {out: F.trim(F.regexp_replace(unescape(F.col(c)), BLANKS, " "))
              for out, c in (("title", "title"), ("content", "body"))}
     return _once(parts, keep, **clean).where(F.length("content") > 0)
@@ -146,28 +150,43 @@ def _small_dictionary(spark: SparkSession, lemmas) -> dict[str, str] | None:
         return None
 
 
-def _terms_in_row(spark: SparkSession, text: str, *, stop_words: Sequence[str] | DataFrame = STOP_WORDS,
-                  lemmas: Sequence[tuple[str, str]] | DataFrame | None = None, min_len: int = 3,
-                  case_sensitive: bool = False, letters_only: bool = False) -> Column | None:
-    """The terms of a text in order, as one array expression (rules of ``token_rows``), or None
-    if a list is too long for that."""
+class _Lists(NamedTuple):
+    """What a word is tested against, as expressions over one word."""
+
+    stop: list[str]
+    forms: dict[str, str]
+    min_len: int
+    case_sensitive: bool
+
+    def term(self, word: Column) -> Column:
+        """The word as it is tested: in lower case, and its lemma if it has one."""
+        w = word if self.case_sensitive else F.lower(word)
+        if not self.forms:
+            return w
+        table = F.create_map(*[F.lit(x) for pair in sorted(self.forms.items()) for x in pair])
+        return F.when(w.isin(*self.forms), table[w]).otherwise(w)
+
+    def kept(self, term: Column) -> Column:
+        long = F.length(term) >= self.min_len
+        return long & ~term.isin(*self.stop) if self.stop else long
+
+
+def _small_lists(spark: SparkSession, *, stop_words: Sequence[str] | DataFrame = STOP_WORDS,
+                 lemmas: Sequence[tuple[str, str]] | DataFrame | None = None, min_len: int = 3,
+                 case_sensitive: bool = False, letters_only: bool = False) -> _Lists | None:
+    """The lists of ``token_rows`` where they are short enough to be tested in a row."""
     stop, forms = _small_list(stop_words), _small_dictionary(spark, lemmas)
-    if stop is None or forms is None:
-        return None
-    if letters_only:
-        words = F.transform(F.split(F.col(text), BLANKS), lambda w: F.regexp_replace(
-            w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
-        words = F.filter(words, lambda w: w.rlike(r"^\p{L}+$"))
-    else:
-        words = F.filter(F.split(F.col(text), NON_LETTERS), lambda w: F.length(w) > 0)
-    if not case_sensitive:
-        words = F.transform(words, F.lower)
-    if forms:
-        table = F.create_map(*[F.lit(x) for pair in sorted(forms.items()) for x in pair])
-        words = F.transform(words, lambda w: F.when(w.isin(*forms), table[w]).otherwise(w))
-    kept = F.filter(words, lambda w: (F.length(w) >= min_len) & ~w.isin(*stop)) if stop else \
-        F.filter(words, lambda w: F.length(w) >= min_len)
-    return F.transform(kept, F.lower) if case_sensitive or forms else kept
+    # (an empty word is never a term, whatever the least length)
+    return None if stop is None or forms is None else _Lists(stop, forms, max(min_len, 1), case_sensitive)
+
+
+def _words_of(text: str, letters_only: bool) -> Column:
+    """The words of a text in order; there may be empty ones."""
+    if not letters_only:
+        return F.split(F.col(text), NON_LETTERS)
+    words = F.transform(F.split(F.col(text), BLANKS), lambda w: F.regexp_replace(
+        w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+    return F.filter(words, lambda w: w.rlike(r"^\p{L}+$"))
 
 
 def token_rows(df: DataFrame, key: str, text: str, *,
@@ -217,17 +236,16 @@ def doc_terms_in_pandas(df: DataFrame, key: str, text: str,
     return df.select(key, text).mapInPandas(run, f"{key} {key_type}, terms array<string>")
 
 
-def _enough_terms(df: DataFrame, key: str, terms: Column, min_terms: int) -> DataFrame:
-    return _once(df, [key], terms=terms).where(F.size("terms") >= min_terms)
-
-
 def doc_terms(df: DataFrame, key: str, text: str, *, min_terms: int = 2, **options) -> DataFrame:
     """(key, terms), in text order, of documents with at least ``min_terms`` terms; options
     as in ``token_rows``. Row by row, without a shuffle, unless a list of words is too long
     for that: then the terms are shuffled once, by their document."""
-    terms = _terms_in_row(df.sparkSession, text, **options)
-    if terms is not None:
-        return _enough_terms(df, key, terms, min_terms)
+    lists = _small_lists(df.sparkSession, **options)
+    if lists is not None:
+        words = F.transform(_words_of(text, options.get("letters_only", False)), lists.term)
+        kept = F.filter(words, lists.kept)
+        terms = F.transform(kept, F.lower) if lists.forms or lists.case_sensitive else kept
+        return _once(widened(df.select(key, text)), [key], terms=terms).where(F.size("terms") >= min_terms)
     rows = token_rows(df, key, text, **options)
     placed = F.sort_array(F.collect_list(F.struct("pos", "term")))
     return (rows.groupBy(key).agg(F.transform(placed, lambda p: p["term"]).alias("terms"))
@@ -242,11 +260,23 @@ def term_freq(terms: DataFrame, key: str) -> DataFrame:
 
 def term_freq_from_text(df: DataFrame, key: str, text: str, *, min_terms: int = 2,
                         **options) -> DataFrame:
-    """Long form (key, term, tf) straight from the text, same rules as ``doc_terms``. Terms
-    are counted in the task of their document before the one exchange of the counts."""
-    terms = _terms_in_row(df.sparkSession, text, **options)
-    if terms is not None:
-        return term_freq(_enough_terms(df, key, terms, min_terms), key)
+    """Long form (key, term, tf) straight from the text, same rules as ``doc_terms``. Words are
+    counted in the task of their document before the one exchange, which is of the counts.
+
+    Whether a document has enough terms is told by its first ``LOOK`` words, or else by all;
+    the words of those that have are exploded, so that the tests on them are compiled."""
+    lists = _small_lists(df.sparkSession, **options)
+    if lists is not None:
+        words = _once(widened(df.select(key, text)), [key], words=_words_of(text, options.get("letters_only", False)))
+
+        def enough(some: Column) -> Column:
+            return F.size(F.filter(some, lambda w: lists.kept(lists.term(w)))) >= min_terms
+
+        first = F.slice("words", 1, LOOK)
+        rows = words.where(F.when(enough(first), True).otherwise(enough(F.col("words"))))
+        rows = rows.select(key, F.explode("words").alias("word")).select(key, lists.term(F.col("word")).alias("term"))
+        rows = rows.where(lists.kept(F.col("term"))).select(key, F.lower("term").alias("term"))
+        return rows.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     rows = token_rows(df, key, text, **options)
     tf = rows.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     enough = tf.groupBy(F.col(key).alias("_k")).agg(F.sum("tf").alias("_n")).where(F.col("_n") >= min_terms)
