@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from workbench.llm.common import slices, text_or_empty, texts
+from workbench.llm.common import released, slices, text_or_empty, texts
 from workbench.llm.tokenfiles import Vocabulary
 
 # Bytes of text worked on at once, words indexed at once, words remembered by a task.
@@ -167,7 +167,7 @@ def encode(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
     executor can read."""
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(_encoder(tokenizer), f"id {kind}, ids array<int>")
+    return rows.mapInArrow(released(_encoder(tokenizer)), f"id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer: str, *, sep: str = " ") -> DataFrame:
@@ -175,7 +175,7 @@ def decode(encoded: DataFrame, tokenizer: str, *, sep: str = " ") -> DataFrame:
     a file that names no decoder."""
     kind = encoded.schema["id"].dataType.simpleString()
     return encoded.select("id", "ids").mapInArrow(
-        _decoder(tokenizer, sep), f"id {kind}, ids array<int>, decoded string")
+        released(_decoder(tokenizer, sep)), f"id {kind}, ids array<int>, decoded string")
 
 
 def round_trip(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import ctypes
+import gc
 import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +97,29 @@ def slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         a = b
 
 
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def give_back() -> None:
+    """Return freed memory to the system, as far as the platform can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(run: Task) -> Task:
+    """The mapInArrow function ``run``, with its memory given back when a task ends: workers
+    live on for later tasks, and what they hold idly counts against the executor."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped
+
+
 # Bits of the filter that ``rows_with`` sends to every task: 4 MB, whatever the input.
 FILTER_BITS = 1 << 25
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from workbench.llm.common import fresh, ship, shipped, slices, stored, text_or_empty, texts
+from workbench.llm.common import fresh, released, ship, shipped, slices, stored, text_or_empty, texts
 from workbench.llm.words import byte_table, first_of_text, hash_word, split_words, stem_codes
 
 CLASSES = ("clean", "symbols", "shouting", "repetition", "tables", "toxic")
@@ -342,7 +342,7 @@ def toxic_stems(rows: DataFrame, given: DataFrame) -> np.ndarray:
              .select("text", F.col("toxic").cast("int").alias("toxic")))
     known = stored(known, "quality-labelled")
     n = known.filter("toxic = 1").count()
-    counted = (known.mapInArrow(_stem_counter, "stem bigint, bad bigint, good bigint")
+    counted = (known.mapInArrow(released(_stem_counter), "stem bigint, bad bigint, good bigint")
                .groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
                .filter((F.col("stem") != 0) & (F.col("bad") >= max(STEM_LEAST, STEM_SHARE * n))
                        & (F.col("good") <= STEM_ERROR * F.col("bad"))))
@@ -409,7 +409,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_
     stems = toxic_stems(rows, given)
     one_in = max(1, -(-docs.count() // fit_rows))
     measured = stored(_labelled(rows, given).select("text", "h", "given").mapInArrow(
-        _measurer(one_in, ship(spark, stems)), "pattern bigint, h bigint, numbers array<int>"),
+        released(_measurer(one_in, ship(spark, stems))), "pattern bigint, h bigint, numbers array<int>"),
         "quality-measures")
     counts = measured.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()
     v = unpacked(np.array([c["pattern"] for c in counts], np.int64))
@@ -450,7 +450,7 @@ def judge(docs: DataFrame, model: Model, *, keep: list[str] | None = None,
                            *(T.StructField(x, T.DoubleType()) for x in added)])
     run = _judge(ship(docs.sparkSession, model), docs.columns.index(text_col),
                  [docs.columns.index(c) for c in keep], schema.names)
-    return docs.mapInArrow(run, schema), added
+    return docs.mapInArrow(released(run), schema), added
 
 
 def classify(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_id",
