@@ -110,3 +110,13 @@ def test_same_model_for_any_layout_with_equal_rows(spark):
               for n in (1, 2, 8)]
     centers = [[c.tolist() for c in m.clusterCenters()] for m in models]
     assert centers[0] == centers[1] == centers[2]
+
+
+def test_nothing_stays_cached_after_fits(spark):
+    df = spark.createDataFrame([(float(k % 9), float(k % 4), "ab"[k % 2]) for k in range(200)],
+                               "x double, y double, label string")
+    spark.catalog.clearCache()
+    cluster.kmeans_sweep(df, [2, 3], numeric=["x", "y"], seed=1).count()
+    cluster.entropy_sweep(df, [2, 3], numeric=["x", "y"], seed=1).count()
+    cluster.fit_clusters(df, 2, numeric=["x", "y"], seed=1)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0

@@ -160,6 +160,25 @@ def constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
                     (F.col("n_values") <= 1).alias("constant")))
 
 
+def structure(df: DataFrame) -> DataFrame:
+    """(position, field, type, rows_with, least, greatest): the schema of a table and, from one
+    aggregate over it, how many rows have a value and between which texts they lie."""
+    fields = df.schema.fields
+    found = df.agg(*[F.struct(F.count(c), F.min(c).cast("string"), F.max(c).cast("string")).alias(f"_{i}")
+                     for i, c in enumerate(F.col(f"`{f.name}`") for f in fields)])
+    rows = [F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("field"),
+                     F.lit(f.dataType.simpleString()).alias("type"), F.col(f"_{i}")["col1"].alias("rows_with"),
+                     F.col(f"_{i}")["col2"].alias("least"), F.col(f"_{i}")["col3"].alias("greatest"))
+            for i, f in enumerate(fields)]
+    return found.select(F.inline(F.array(*rows)))
+
+
+def peek(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """The first ``n`` rows in the order of the named columns, and of all others after them, so
+    that the same rows come each time (a bounded top-k, no sort of the table)."""
+    return df.orderBy(*order, *[c for c in df.columns if c not in order]).limit(n)
+
+
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(field, n_values): the exact number of distinct values of each column, null counting
     as a value; arrays, structs and maps by their JSON text, 0.0 and -0.0 as one.

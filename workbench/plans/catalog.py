@@ -122,6 +122,23 @@ def item_plays_sql(spark, d):
             GROUP BY i.name, i.id""".format(**views))
 
 
+@register("table_structure")
+def table_structure(spark, d):
+    return profile.structure(V.items(spark, d).join(V.alias_pairs(spark, d), F.col("id") == F.col("artist"), "left"))
+
+
+@register("first_plays")
+def first_plays(spark, d):
+    return profile.peek(V.plays(spark, d), 20, "user", "artist")
+
+
+@register("aliases_swapped")
+def aliases_swapped(spark, d):
+    """Key and value of the alias pairs exchanged: all misspelt ids of each right one."""
+    pairs = lines.parse_pairs_lenient(alias_lines(spark, d))
+    return pairs.select(F.col("alias").alias("artist"), F.col("artist").alias("alias"))
+
+
 @register("distinct_counts")
 def distinct_counts(spark, d):
     return profile.distinct_counts(V.linkage_like(spark, d))
@@ -417,7 +434,9 @@ def undo_one_hot(spark, d):
 
 
 def _train_test_features(spark, d):
-    train, test = _labelled_split(spark, d)
+    # the split's sides, the parts of the fit and the fit itself read it: derived once
+    keyed = materialised(V.labelled(spark, d, keyed=True), "labelled")
+    train, test = evaluate.hash_split(keyed, ["l_orderkey", "l_linenumber"])
     return train.drop("l_orderkey", "l_linenumber"), test
 
 
@@ -1108,6 +1127,60 @@ def tree_confusion_check(spark, d):
 LEARNT = 0.1
 
 
+@register("tree_text_check")
+def tree_text_check(spark, d):
+    """The printed tree: as many leaves, questions and levels as the model says it has, and
+    only the features that it was given."""
+    train, _ = _train_test_features(spark, d)
+    cols = classify.feature_columns(train, "y")
+    model = classify.fit_tree(train, "y", cols, seed=42).stages[-1]
+    printed = spark.createDataFrame([(line,) for line in model.toDebugString.splitlines()], "line string")
+    indent = F.length("line") - F.length(F.ltrim("line"))
+    asked = F.regexp_extract("line", r"feature (\d+)", 1)
+    return printed.agg(
+        (F.count_if(F.col("line").contains("Predict:")) == (model.numNodes + 1) // 2).alias("leaves"),
+        (F.count_if(F.col("line").rlike(r"^ *If \(")) == model.numNodes // 2).alias("questions"),
+        (F.max(F.when(F.col("line").contains("Predict:"), indent)) == model.depth + 2).alias("levels"),
+        F.min(F.when(asked != "", asked.cast("int") < len(cols))).alias("known"))
+
+
+@register("tree_categorical_check")
+def tree_categorical_check(spark, d):
+    """The tree on categories: every held-out row has one of the classes, and it is right more
+    often than the priors by a stated margin."""
+    train, test = _train_test_features(spark, d)
+    tr, te = (classify.undo_one_hot(t, ONE_HOT_GROUPS) for t in (train, test))
+    model = classify.fit_categorical(tr, "y", model="tree", max_bins=50, seed=42)
+    prior = only_row(evaluate.prior_accuracy(train, test, "y"))[0] or 0
+    return model.transform(te).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(F.col("prediction").isin(*CLASSES)).alias("is_class"),
+        (F.avg((F.col("prediction") == F.col("y")).cast("int")) > prior + LEARNT).alias("learnt"))
+
+
+@register("ranking_check")
+def ranking_check(spark, d):
+    """Rankings as they come, without another sort: importances of the tree and of the forest
+    fall row by row, and no feature is missing."""
+    out = []
+    for name, query in (("tree", tree_importance), ("forest", forest_importance)):
+        shares = [r["importance"] for r in collected(query(spark, d), len(V.LABELLED_COLS))]
+        out.append((name, len(shares), shares == sorted(shares, reverse=True)))
+    return spark.createDataFrame(out, "model string, features int, falling boolean")
+
+
+@register("kmeans_sample_check")
+def kmeans_sample_check(spark, d):
+    """The sample of the formula model's predictions: about one row in a hundred (within five
+    standard deviations), without a row more often than the table has it."""
+    sample = materialised(kmeans_formula(spark, d), "sample")
+    rows = _session_feats(spark, d).groupBy(*V.SESSION_NUMERIC).agg(F.count(F.lit(1)).alias("all"))
+    n = only_row(rows.agg(F.sum("all")))[0] or 0
+    drawn = sample.groupBy(*V.SESSION_NUMERIC).agg(F.count(F.lit(1)).alias("drawn"))
+    return drawn.join(rows, V.SESSION_NUMERIC, "left").agg(
+        (F.abs(F.sum("drawn") - 0.01 * n) <= 5 * (0.0099 * n) ** 0.5).alias("about"),
+        F.min(F.coalesce(F.col("drawn") <= F.col("all"), F.lit(False))).alias("known"))
+
+
 @register("tree_grid_check")
 def tree_grid_check(spark, d):
     """The sixteen points of the tree search with usable scores, and the best model's own

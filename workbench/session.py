@@ -51,16 +51,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared folder (``spark.checkpoint.dir``).
 
     On a cluster this setting names shared storage and is read as-is. Only when it
-    is unset and the master is local (tests) do we pick a folder ourselves.
+    is unset and the master is local (tests) do we pick a folder ourselves, and the
+    context keeps it: the setting itself cannot be changed while a session runs.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+        "spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="workbench-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
