@@ -6,9 +6,13 @@ two words before it; the word before or after it with its shape; its exact shape
 instances that are a base entity are certain. Pattern and instance tables then score each
 other: a pattern's confidence in a kind is the share of its distinct instances that are
 held to be of that kind, and an instance not yet known is held to be of a kind by the
-noisy-or of its reliable patterns (confidence of at least ``confident``, support of at least
-``support`` instances). After ``rounds`` rounds the instances so found are added as spans,
-wherever a reliable pattern meets them and no base span lies.
+noisy-or of its reliable patterns (confidence of at least ``confident``, at least ``support``
+seeds). What a pattern makes of an instance does not count for that pattern: an instance
+is held by a pattern's other evidence only (leave one out), so no pattern confirms itself.
+An instance that looks like a kind and fails the kind's check is never of that kind, and
+counts against the patterns it has; a shape alone holds nothing, a word must stand by it.
+After ``rounds`` rounds the instances so found are added as spans, wherever a reliable
+pattern with a word meets them and no base span lies.
 
 Distinct (pattern, instance) pairs count once, so copies of a text lend no weight; all sums
 are partial aggregates, so a pattern that a third of all rows has is no hot spot.
@@ -18,7 +22,8 @@ where a run of their characters begins or the last match ended.
 
 Defined results: a null or empty text has no spans; rows that repeat have the same spans
 each; null ids stay; spans are in code points, end exclusive; an empty table gives an empty
-result.
+result. Columns are taken by name and others ignored. Texts and words of any length are read
+whole.
 """
 
 from __future__ import annotations
@@ -45,7 +50,10 @@ IP = rf"^(?:{BYTE}\.){{3}}{BYTE}$"
 TOKEN = r"[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 RUN = rf"(?<![^\x20\x09-\x0D]){TOKEN}(?:\x20{TOKEN})*+"
 OPENING, CLOSING = r"^[\"'<({\[*#$%&|!?.,;:=]*+", r"[\"'>)}\]*#$%&|!?.,;:=]++$"
-CONTEXT = 80
+# The two words before a run and the word after it, whole.
+LAST_TWO = r"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++)?[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+$"
+NEXT = r"^[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"
+SHAPE = "shape\t"
 ROUNDS, CONFIDENT, SUPPORT = 3, 0.6, 3
 
 
@@ -94,8 +102,8 @@ def _matches(rows: DataFrame) -> DataFrame:
               for k in KINDS]
     n = F.size("runs_found")
     left = F.transform(F.slice("runs_gaps", 1, n), lambda p: F.struct(
-        F.length(p).alias("gap"), F.substring(p, -CONTEXT, CONTEXT).alias("left")))
-    right = F.transform(F.slice("runs_gaps", 2, n), lambda p: F.substring(p, 1, CONTEXT))
+        F.length(p).alias("gap"), F.regexp_extract(p, LAST_TWO, 0).alias("left")))
+    right = F.transform(F.slice("runs_gaps", 2, n), lambda p: F.regexp_extract(p, NEXT, 0))
     runs = F.transform(F.arrays_zip(left.alias("l"), F.col("runs_found").alias("m"), right.alias("x")),
                        lambda z: F.struct(z["l"]["gap"].alias("gap"), z["m"].alias("match"),
                                           z["l"]["left"].alias("left"), z["x"].alias("right")))
@@ -120,14 +128,19 @@ def base_spans(matches: DataFrame) -> DataFrame:
     return placed.filter(ok).select("r", "kind_no", "start", "end")
 
 
-def _whole(kind: str) -> Column:
-    core = F.col("core")
-    return core.rlike(f"^(?:{LOOKS[kind]})$") & passes(kind, core)
+def _looks(kind: str) -> Column:
+    return F.col("core").rlike(f"^(?:{LOOKS[kind]})$")
+
+
+def _of_kind(test) -> Column:
+    """Number of the first kind that passes ``test``, or null."""
+    return reduce(lambda c, no: c.when(test(KINDS[no]), F.lit(no)), range(len(KINDS)), F)
 
 
 def instances(matches: DataFrame) -> DataFrame:
-    """(r, start, end, instance, seed_no, patterns) of every run, without the marks around it;
-    ``seed_no``: number of the kind that it is a base entity of, or null."""
+    """(r, start, end, instance, seed_no, failed_no, patterns) of every run, without the marks
+    around it; ``seed_no``: number of the kind that it is a base entity of, or null;
+    ``failed_no``: of the kind that it looks like and whose check it fails."""
     runs = _placed(matches.select("r", F.posexplode("runs").alias("pos", "m"))
                    .select("r", "pos", "m.*"), ["r"])
     lead = F.length(F.regexp_extract("match", OPENING, 0))
@@ -146,41 +159,53 @@ def instances(matches: DataFrame) -> DataFrame:
         F.when(F.size("before") > 0, F.concat_ws("\t", F.lit("left"), last, shape)).otherwise(none),
         F.when(F.size("after") > 0, F.concat_ws("\t", F.lit("right"), shape, F.element_at("after", 1)))
         .otherwise(none),
-        F.concat_ws("\t", F.lit("shape"), exact)))
-    seed = reduce(lambda c, no: c.when(_whole(KINDS[no]), F.lit(no)), range(len(KINDS)), F)
+        F.concat(F.lit(SHAPE), exact)))
+    seed = _of_kind(lambda k: _looks(k) & passes(k, F.col("core")))
+    failed = _of_kind(lambda k: _looks(k) & ~passes(k, F.col("core")))
     return cored.select("r", (F.col("start") + F.col("lead")).alias("start"),
                         (F.col("start") + F.col("lead") + F.length("core")).alias("end"),
                         F.lower("core").alias("instance"), seed.alias("seed_no"),
-                        patterns.alias("patterns"))
+                        failed.alias("failed_no"), patterns.alias("patterns"))
 
 
 def discover(found: DataFrame, *, rounds: int = ROUNDS, confident: float = CONFIDENT,
              support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
     """Reliable patterns (pattern, kind_no, confidence, support) and discovered instances
     (instance, kind_no, belief) of the table of ``instances``."""
-    edges = stored(found.select("instance", "seed_no", F.explode("patterns").alias("pattern"))
-                   .groupBy("pattern", "instance").agg(F.max("seed_no").alias("seed_no")), "pii-edges")
+    edges = stored(found.select("instance", "seed_no", "failed_no", F.explode("patterns").alias("pattern"))
+                   .groupBy("pattern", "instance").agg(F.max("seed_no").alias("seed_no"),
+                                                       F.max("failed_no").alias("failed_no")), "pii-edges")
     sizes = edges.groupBy("pattern").agg(F.count("*").alias("size"))
-    # patterns without support in the seeds and no reach beyond them can never matter
-    seeds = edges.filter("seed_no is not null").select("pattern", "instance",
-                                                       F.col("seed_no").alias("kind_no"), F.lit(1.0).alias("belief"))
-    known, beliefs = seeds, None
+    # (a pattern with too few seeds can never matter)
+    seeds = (edges.filter("seed_no is not null").groupBy("pattern", F.col("seed_no").alias("kind_no"))
+             .agg(F.count("*").alias("support")).filter(F.col("support") >= support).join(sizes, "pattern"))
+    seeds = stored(seeds, "pii-seeds")
+    others = edges.filter("seed_no is null")
+    held, beliefs = None, None
     for _ in range(rounds):
-        reliable = (known.groupBy("pattern", "kind_no")
-                    .agg(F.sum("belief").alias("held"), F.count("*").alias("support"))
-                    .join(sizes, "pattern")
-                    .withColumn("confidence", F.col("held") / F.col("size"))
-                    .filter((F.col("confidence") >= confident) & (F.col("support") >= support))
-                    .select("pattern", "kind_no", "confidence", "support"))
-        reliable = stored(reliable, "pii-patterns")
-        doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))
-        by_kind = (edges.filter("seed_no is null").join(reliable, "pattern")
-                   .groupBy("instance", "kind_no").agg((1 - doubt).alias("belief")))
+        scored = seeds.withColumn("held", F.lit(0.0)) if held is None else seeds.join(
+            held, ["pattern", "kind_no"], "left").fillna(0.0, ["held"])
+        reliable = stored(scored.withColumn("confidence", (F.col("support") + F.col("held")) / F.col("size"))
+                          .filter(F.col("confidence") >= confident)
+                          .select("pattern", "kind_no", "confidence", "support"), "pii-patterns")
+        doubt = F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))
+        votes = (others.join(reliable, "pattern")
+                 .filter(F.col("failed_no").isNull() | (F.col("failed_no") != F.col("kind_no")))
+                 .select("pattern", "instance", "kind_no", doubt.alias("doubt")))
+        votes = stored(votes, "pii-votes")
+        by_kind = votes.groupBy("instance", "kind_no").agg(
+            F.sum("doubt").alias("doubts"), F.max(~F.col("pattern").startswith(SHAPE)).alias("worded")).filter("worded")
+        by_kind = stored(by_kind.withColumn("belief", 1 - F.exp("doubts")), "pii-kinds")
         best = by_kind.groupBy("instance").agg(F.max(F.struct("belief", -F.col("kind_no"))).alias("b"))
         beliefs = stored(best.select("instance", (-F.col("b.col2")).cast("int").alias("kind_no"),
                                      F.col("b.belief").alias("belief")), "pii-beliefs")
-        known = seeds.unionByName(edges.filter("seed_no is null").join(beliefs, "instance")
-                                  .select("pattern", "instance", "kind_no", "belief"))
+        # what each pattern's instances are held to be by everything but the pattern itself
+        own = votes.select("pattern", "instance", "kind_no", "doubt")
+        told = others.select("pattern", "instance").join(
+            beliefs.select("instance", "kind_no").join(by_kind, ["instance", "kind_no"]), "instance").join(
+            own, ["pattern", "instance", "kind_no"], "left")
+        rest = F.col("doubts") - F.coalesce("doubt", F.lit(0.0))
+        held = told.groupBy("pattern", "kind_no").agg(F.sum(1 - F.exp(rest)).alias("held"))
     return reliable, beliefs
 
 
@@ -200,7 +225,7 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     found = stored(instances(matches), "pii-instances")
     reliable, beliefs = discover(found, **options)
     new = (found.filter("seed_no is null").join(beliefs, "instance")
-           .withColumn("pattern", F.explode("patterns"))
+           .withColumn("pattern", F.explode("patterns")).filter(~F.col("pattern").startswith(SHAPE))
            .join(reliable.select("pattern", "kind_no"), ["pattern", "kind_no"], "left_semi")
            .select("r", "kind_no", "start", "end").distinct())
     old = base.select("r", F.col("start").alias("s"), F.col("end").alias("e"))
