@@ -2,8 +2,8 @@
 label-entropy sweeps over k, cluster/label tables, fixed-centre assignment and
 distance-threshold anomalies.
 
-Sweeps prepare features once, cache them, and fit several k at a time from driver
-threads (Spark runs the jobs concurrently); only k-means itself is refitted per k.
+Sweeps prepare features once, pack them, and fit several k from driver threads, as many at a
+time as their rows allow; only k-means itself is refitted per k (``operators.lloyd``).
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import OneHotEncoder, RFormula, StandardScaler, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from workbench.functions.bounded import only_row
 from workbench.functions.partitions import spread
 from workbench.functions.vectors import as_double_array, nearest, sqdist
+from workbench.operators.lloyd import Lloyd, LloydModel, packed
 from workbench.session import ensure_checkpoint_dir, materialised
 
 # The k ranges swept by the cost and entropy studies.
@@ -57,9 +57,8 @@ def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), *,
 
 
 def kmeans(k: int, features: str, *, max_iter: int = 20, tol: float = 1e-4,
-           seed: int = 42) -> KMeans:
-    return KMeans(k=k, featuresCol=features, predictionCol="cluster", maxIter=max_iter,
-                  tol=tol, seed=seed)
+           seed: int = 42, matrices: DataFrame | None = None) -> Lloyd:
+    return Lloyd(k, features, "cluster", max_iter=max_iter, tol=tol, seed=seed, matrices=matrices)
 
 
 def fit_clusters(df: DataFrame, k: int, *, numeric: Sequence[str],
@@ -67,8 +66,8 @@ def fit_clusters(df: DataFrame, k: int, *, numeric: Sequence[str],
                  max_iter: int = 40, tol: float = 1e-5, seed: int = 42,
                  partitions: int | None = None) -> PipelineModel:
     """one-hot → assemble → scale → k-means, as one fitted pipeline. The used columns are
-    dealt into parts (``partitions``: see ``spread``) and cached for the fit, which reads
-    them once per iteration."""
+    dealt into parts (``partitions``: see ``spread``) and cached for the fit, which reads them
+    for the stages, for the start and to pack them."""
     stages, feats = feature_stages(numeric, categorical, scale=scale, with_mean=with_mean)
     data = spread(df.select(*numeric, *categorical), partitions).cache()
     try:
@@ -89,13 +88,14 @@ def _prepared(df: DataFrame, numeric, categorical, scale, with_mean, keep=(),
     return Pipeline(stages=stages).fit(base).transform(base).select(*keep, feats), feats
 
 
-# Fixed value: most k-means fits of one sweep that run at the same time.
-MAX_CONCURRENT_FITS = 8
+# Most k-means fits of one sweep that run at the same time, and the rows of all of
+# them together: the start of each fit keeps vectors of its own.
+MAX_CONCURRENT_FITS, CONCURRENT_ROWS = 8, 8_000_000
 
 
-def _each(ks: Sequence[int], run, parallelism: int | None) -> list:
-    """``run(k)`` for every k, several at a time."""
-    workers = parallelism or min(len(ks), MAX_CONCURRENT_FITS)
+def _each(ks: Sequence[int], run, parallelism: int | None, rows: int) -> list:
+    """``run(k)`` for every k, several at a time unless ``rows`` alone fill the cluster."""
+    workers = parallelism or min(len(ks), MAX_CONCURRENT_FITS, CONCURRENT_ROWS // max(rows, 1))
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         return list(pool.map(run, ks))
 
@@ -108,13 +108,17 @@ def kmeans_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
     centre (the model's training cost), mean_cost = cost / rows."""
     data, feats = _prepared(df, numeric, categorical, scale, with_mean)
     n = data.count()
+    matrices = packed(data, feats)
 
     def run(k: int) -> tuple[int, float, float]:
-        model = kmeans(k, feats, max_iter=max_iter, tol=tol, seed=seed).fit(data)
+        model = kmeans(k, feats, max_iter=max_iter, tol=tol, seed=seed, matrices=matrices).fit(data)
         cost = float(model.summary.trainingCost)
         return int(k), cost, cost / n
 
-    rows = _each(ks, run, parallelism)
+    try:
+        rows = _each(ks, run, parallelism, n)
+    finally:
+        matrices.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, cost double, mean_cost double")
 
 
@@ -148,11 +152,16 @@ def entropy_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
                   seed: int = 42, parallelism: int | None = None) -> DataFrame:
     """(k, entropy): size-weighted label entropy of the clustering at each k."""
     data, feats = _prepared(df, numeric, categorical, scale, False, keep=[label])
+    matrices = packed(data, feats)
+
     def run(k: int) -> tuple[int, float]:
-        model = kmeans(k, feats, max_iter=max_iter, tol=tol, seed=seed).fit(data)
+        model = kmeans(k, feats, max_iter=max_iter, tol=tol, seed=seed, matrices=matrices).fit(data)
         return int(k), float(only_row(cluster_entropy(model.transform(data), "cluster", label))["entropy"])
 
-    rows = _each(ks, run, parallelism)
+    try:
+        rows = _each(ks, run, parallelism, data.count())
+    finally:
+        matrices.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, entropy double")
 
 
@@ -180,7 +189,7 @@ def assign(df: DataFrame, features: str, centers: DataFrame | Sequence[Sequence[
             .withColumn(dist, F.col("_best.dist")).drop("_best", "_centers"))
 
 
-def distance_to_model_center(clustered: DataFrame, model: KMeansModel, features: str,
+def distance_to_model_center(clustered: DataFrame, model: LloydModel, features: str,
                              cluster: str = "cluster", dist: str = "dist") -> DataFrame:
     """Squared distance of each row to its own cluster's centre: a broadcast join of
     the k centres (k is the model size) on the cluster id."""
@@ -210,6 +219,5 @@ def formula_kmeans(df: DataFrame, k: int = 100, *, formula: str = "~ .", max_ite
                    seed: int = 42, partitions: int | None = None) -> PipelineModel:
     """R-style ``~ .`` features (every column; strings one-hot) → k-means."""
     rf = RFormula(formula=formula, featuresCol="features")
-    return Pipeline(stages=[rf, KMeans(k=k, maxIter=max_iter, seed=seed,
-                                       featuresCol="features", predictionCol="prediction",
-                                       initMode="k-means||")]).fit(spread(df, partitions))
+    fit = Lloyd(k, "features", "prediction", max_iter=max_iter, tol=1e-4, seed=seed)
+    return Pipeline(stages=[rf, fit]).fit(spread(df, partitions))
