@@ -121,3 +121,25 @@ def test_fixed_centers_assign(spark):
     out = {r.id: (r.cluster, r.dist) for r in
            cluster.assign(df, "f", [[0.0, 0.0], [1.0, 1.0]]).collect()}
     assert out[1] == (0, 0.0) and out[2] == (1, 0.0) and out[3][0] == 1
+
+
+def test_the_class_count_is_known_before_the_rows_are_dealt(spark):
+    """A fit finds it in the label's metadata; a label that is no class number is left as it is."""
+    def known(values):
+        df = spark.createDataFrame([(1.0, y) for y in values], "x double, y double")
+        return classify.with_class_count(df, df, "y").schema["y"].metadata.get("ml_attr", {}).get("num_vals")
+    assert known([1.0, 7.0]) == 8 and known([0.0, None]) == 1
+    assert [known(v) for v in ([0.5], [-1.0], [None], [100.0], [float("nan")])] == [None] * 5
+
+
+def test_spread_counts_buckets_before_hashes(spark, monkeypatch):
+    """Few buckets, so that all of them look full: values with few copies are not cut."""
+    from workbench.functions import partitions
+    df = spark.range(3_000).select((F.col("id") % 900).alias("a"))
+    plain = partitions.spread(df, 4, equal_rows=10)
+    monkeypatch.setattr(partitions, "HASH_BUCKETS", 2)
+    full = partitions.spread(df, 4, equal_rows=10)
+    assert plain.rdd.glom().collect() == full.rdd.glom().collect()
+    skewed = df.unionByName(spark.range(50).select(F.lit(5).cast("bigint").alias("a")))
+    dealt = partitions.spread(skewed, 4, equal_rows=10)
+    assert sorted(r.a for r in dealt.collect()) == sorted(r.a for r in skewed.collect())
