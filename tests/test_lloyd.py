@@ -56,3 +56,23 @@ def test_large_fits_of_a_sweep_run_one_by_one():
     assert cluster._each(range(8), run, None, 36_000_000) == list(range(8)) and most == [1]
     cluster._each(range(8), run, None, 1000)
     assert most[0] > 1
+
+
+def test_a_step_takes_many_parts_in_few_tasks(spark):
+    """Starting a task costs more than a part's work: steps over 60 parts had 60 tasks."""
+    assert [lloyd.step_tasks(n) for n in (0, 1, 8, 24, 25, 480, 481, 2880)] == [1, 1, 8, 24, 24, 24, 25, 144]
+    rows = np.random.default_rng(3).normal(size=(900, 2)).tolist()
+    matrices = lloyd.packed(points(spark, rows).repartition(60), "v")
+    one = lloyd.packed(points(spark, rows).coalesce(1), "v")
+    tracker, sc, start = spark.sparkContext.statusTracker(), spark.sparkContext, np.array(rows[:5])
+    matrices.count()
+    sc.setJobGroup("lloyd-step", "one step")
+    centers, cost, _ = lloyd.moved(matrices, start, 1, 1e-4)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in tracker.getJobIdsForGroup("lloyd-step") for s in tracker.getJobInfo(j).stageIds]
+    most = max(info.numTasks for s in stages if (info := tracker.getStageInfo(s)) is not None)
+    assert most <= lloyd.FEW_TASKS
+    again, other, _ = lloyd.moved(one, start, 1, 1e-4)
+    assert np.allclose(centers, again, rtol=1e-12) and abs(cost - other) < 1e-9 * cost
+    matrices.unpersist()
+    one.unpersist()

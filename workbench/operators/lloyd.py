@@ -22,8 +22,11 @@ from pyspark.sql import functions as F
 
 from workbench.functions.bounded import collected
 
-# Rows of one matrix, and rows whose distances to all centres are held at a time.
-MATRIX_ROWS, AT_ONCE = 8_192, 1_024
+# Rows of one matrix, and rows whose distances to all centres are held at a time (in a core's cache).
+MATRIX_ROWS, AT_ONCE = 8_192, 256
+# A step is a few milliseconds of work for a part of rows and many more to start a task, so a
+# task takes several parts: up to FEW_TASKS parts one each, beyond that at most PARTS_OF_TASK.
+FEW_TASKS, PARTS_OF_TASK = 24, 20
 
 
 def _matrices(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -44,17 +47,23 @@ def packed(df: DataFrame, features: str) -> DataFrame:
     return arrays.mapInArrow(pack, "width int, rows binary").persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def step_tasks(parts: int) -> int:
+    """Tasks of a step over matrices in so many parts, whatever runs them."""
+    return max(1, min(parts, FEW_TASKS), -(-parts // PARTS_OF_TASK))
+
+
 def nearest_center(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     """The nearest centre of each row, equal ones to the lower number. The constant of a row,
     its own length, takes no part; rows and centres are moved to the centres' mean first."""
     mid = centers.mean(axis=0)
     around = centers - mid
-    half = (around * around).sum(axis=1) / 2
-    out = np.empty(len(x), np.int64)
+    half, turned = (around * around).sum(axis=1) / 2, np.ascontiguousarray(around.T)
+    out, space = np.empty(len(x), np.int64), np.empty((min(len(x), AT_ONCE), len(centers)))
     for at in range(0, len(x), AT_ONCE):
-        far = (x[at:at + AT_ONCE] - mid) @ around.T
+        part = x[at:at + AT_ONCE] - mid
+        far = np.matmul(part, turned, out=space[:len(part)])
         np.subtract(half, far, out=far)
-        out[at:at + AT_ONCE] = far.argmin(axis=1)
+        far.argmin(axis=1, out=out[at:at + AT_ONCE])
     return out
 
 
@@ -84,6 +93,7 @@ def moved(matrices: DataFrame, centers: np.ndarray, max_iter: int, tol: float) -
     """(centres, cost, steps): the centres after at most ``max_iter`` steps, and the cost of
     the centres that the last step began with, as Spark ML states it."""
     centers, cost = np.array(centers, dtype=float), 0.0
+    matrices = matrices.coalesce(step_tasks(matrices.rdd.getNumPartitions()))
     names = [f"s{f}" for f in range(centers.shape[1])]
     shape = ", ".join(["cluster int, n bigint, cost double", *(f"{c} double" for c in names)])
     for step in range(1, max_iter + 1):
