@@ -92,3 +92,40 @@ def test_documents_equal_numpy(spark):
     s = np.linalg.svd(a, compute_uv=False)
     got = [r.sigma for r in svd.values.orderBy("component").collect()]
     assert np.allclose(got, s[:10], rtol=1e-6)
+
+
+def sparse_rows(rng, rows, n):
+    """(columns, values, first entries) of random rows, the last one holding every column."""
+    at = [np.sort(rng.choice(n, int(rng.integers(1, 150)), replace=False)) for _ in range(rows)] + [np.arange(n)]
+    return (np.concatenate(at).astype(np.int32), rng.normal(size=sum(map(len, at))),
+            np.concatenate(([0], np.cumsum([len(x) for x in at]))))
+
+
+@pytest.mark.parametrize("n", [700, 1 << 16, (1 << 16) + 1])
+def test_products_of_sparse_rows_and_their_transpose(n):
+    """Columns beyond 16 bits, rows longer than a piece, and more entries than one holds."""
+    rng = np.random.default_rng(4)
+    at, value, ends = sparse_rows(rng, 200, n)
+    v, rows = rng.normal(size=(n, 3)), np.repeat(np.arange(201), np.diff(ends))
+    y = np.zeros((201, 3))
+    np.add.at(y, rows, value[:, None] * v[at])
+    assert np.allclose(factorise._times(at, value, ends, v), y, rtol=1e-12, atol=1e-12)
+    back, out = np.zeros((n, 3)), np.zeros((n, 3))
+    np.add.at(back, at, value[:, None] * y[rows])
+    order, begin, owner = factorise._transposed(at, ends, n)
+    out[at[order[begin[:-1]]]] += factorise._times(owner, value[order], begin, y)
+    assert np.allclose(out, back, rtol=1e-12, atol=1e-12)
+    with pytest.raises(IndexError):
+        factorise._times(at, value, ends, v[:-1])
+
+
+def test_products_stay_small():
+    """The products of 40,000 entries with a matrix of 20 columns, 6 MB, were formed at once."""
+    import tracemalloc
+    at, value, ends = sparse_rows(np.random.default_rng(4), 500, 300)
+    v = np.ones((300, 20))
+    tracemalloc.start()
+    factorise._times(at, value, ends, v)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(at) > 30_000 and peak < 1_500_000

@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from workbench.session import materialised
 
 MAX_COLUMNS = 200_000
-# Vectors beyond the wanted ones, steps between restarts, passes at most, entries multiplied
-# at a time in a task.
-SPARE, STEPS, MAX_PASSES, SLICE = 10, 4, 200, 1 << 16
+# Vectors beyond the wanted ones, steps between restarts, passes at most, entries of the rows
+# taken at a time in a task, and entries multiplied at a time: products of so many stay in a
+# core's cache, larger ones are written to memory and read again.
+SPARE, STEPS, MAX_PASSES, SLICE, AT_ONCE = 10, 4, 200, 1 << 16, 1 << 12
 
 
 class Svd(NamedTuple):
@@ -60,7 +61,29 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
 
 def _times(at: np.ndarray, value: np.ndarray, ends: np.ndarray, v: np.ndarray) -> np.ndarray:
     """The product of sparse rows, none of them empty, with a thin matrix."""
-    return np.add.reduceat(value[:, None] * v[at], ends[:-1], axis=0)
+    if len(at) and not 0 <= at.min() <= at.max() < len(v):
+        raise IndexError(f"columns from {at.min()} to {at.max()}; there are {len(v)}")
+    out = np.empty((len(ends) - 1, v.shape[1]))
+    space = np.empty((max(min(AT_ONCE, len(at)), int(np.diff(ends).max(initial=0))), v.shape[1]))
+    a = 0
+    while a < len(out):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + AT_ONCE, side="right")) - 1)
+        first, end = ends[a], ends[b]
+        # the columns are known to be there; any other mode copies ``space`` first
+        part = np.take(v, at[first:end], axis=0, out=space[:end - first], mode="clip")
+        np.multiply(part, value[first:end, None], out=part)
+        np.add.reduceat(part, ends[a:b] - first, axis=0, out=out[a:b])
+        a = b
+    return out
+
+
+def _transposed(at: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the entries by column, the columns' first places in it and one more at the end,
+    and the row of each entry in that order. Columns of 16 bits are sorted by radix."""
+    order = np.argsort(at.astype(np.uint16) if n <= 1 << 16 else at, kind="stable")
+    col = at[order]
+    begin = np.concatenate(([0], np.flatnonzero(col[1:] != col[:-1]) + 1, [len(col)]))
+    return order, begin, np.repeat(np.arange(len(ends) - 1), np.diff(ends))[order]
 
 
 def _gram(sent, shape: tuple[int, int]):
@@ -72,10 +95,8 @@ def _gram(sent, shape: tuple[int, int]):
             for a, b in _slices(batch):
                 at, value, ends = _entries(batch, a, b)
                 y = _times(at, value, ends, v)
-                order = np.argsort(at, kind="stable")
-                cols, begin = np.unique(at[order], return_index=True)
-                owner = np.repeat(np.arange(b - a), np.diff(ends))[order]
-                out[cols] += np.add.reduceat(value[order, None] * y[owner], begin, axis=0)
+                order, begin, owner = _transposed(at, ends, shape[0])
+                out[at[order[begin[:-1]]]] += _times(owner, value[order], begin, y)
         yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["part"])
     return run
 
