@@ -61,17 +61,13 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
 
 def _times(at: np.ndarray, value: np.ndarray, ends: np.ndarray, v: np.ndarray) -> np.ndarray:
     """The product of sparse rows, none of them empty, with a thin matrix."""
-    if len(at) and not 0 <= at.min() <= at.max() < len(v):
-        raise IndexError(f"columns from {at.min()} to {at.max()}; there are {len(v)}")
     out = np.empty((len(ends) - 1, v.shape[1]))
-    space = np.empty((max(min(AT_ONCE, len(at)), int(np.diff(ends).max(initial=0))), v.shape[1]))
     a = 0
     while a < len(out):
         b = max(a + 1, int(np.searchsorted(ends, ends[a] + AT_ONCE, side="right")) - 1)
         first, end = ends[a], ends[b]
-        # the columns are known to be there; any other mode copies ``space`` first
-        part = np.take(v, at[first:end], axis=0, out=space[:end - first], mode="clip")
-        np.multiply(part, value[first:end, None], out=part)
+        part = v[at[first:end]]
+        part *= value[first:end, None]
         np.add.reduceat(part, ends[a:b] - first, axis=0, out=out[a:b])
         a = b
     return out
