@@ -81,3 +81,10 @@ def test_a_long_word_and_small_memory(spark, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBER", 5)
     rows = [(1, "x" * 30_000), (2, "the cat " * 300), *enumerate(random_texts(60), 10)]
     check(spark.createDataFrame(rows, "doc_id bigint, text string"), spark)
+
+
+def test_one_worker_encodes_and_decodes(spark):
+    """Two Python steps in a task would hold two vocabularies at once."""
+    docs = spark.createDataFrame([(1, "the cat")], "doc_id bigint, text string")
+    plan = bpe.round_trip(docs, WORD)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1

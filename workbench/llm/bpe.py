@@ -15,7 +15,8 @@ strings inside a text have their own ids; rows are independent of each other.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -27,7 +28,7 @@ from workbench.llm.common import released, slices, text_or_empty, texts
 from workbench.llm.tokenfiles import Vocabulary
 
 # Bytes of text worked on at once, words indexed at once, words remembered by a task.
-SLICE, INDEXED, REMEMBER = 1 << 21, 50_000, 400_000
+SLICE, INDEXED, REMEMBER = 1 << 20, 16_000, 400_000
 
 
 def _positions(symbols: list[int], v: Vocabulary) -> dict[int, list[int]]:
@@ -117,9 +118,9 @@ class Known:
         return self.ids[np.arange(size.sum()) + np.repeat(self.first[at] - ends + size, size)]
 
 
-def _encoder(path: str):
+def _encoder(path: str, load: Callable[[str], Vocabulary] = Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(path)
+        v = load(path)
         known = Known(v)
         for batch in batches:
             _, ends = texts(batch.column(1))
@@ -142,9 +143,9 @@ def _encoder(path: str):
     return run
 
 
-def _decoder(path: str, sep: str):
+def _decoder(path: str, sep: str, load: Callable[[str], Vocabulary] = Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(path)
+        v = load(path)
         token = [v.token.get(i, "") for i in range(max(v.token) + 1)]
         for batch in batches:
             column = batch.column(1)
@@ -161,12 +162,24 @@ def _decoder(path: str, sep: str):
     return run
 
 
+def _both(path: str, sep: str):
+    """The encoder's rows handed to the decoder in the same worker, with one vocabulary."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        load = cache(Vocabulary)
+        return _decoder(path, sep, load)(_encoder(path, load)(batches))
+    return run
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    return rows, rows.schema["id"].dataType.simpleString()
+
+
 def encode(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) of every row. ``tokenizer``: path of a BPE file that every
     executor can read."""
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
+    rows, kind = _rows(docs, id_col, text_col)
     return rows.mapInArrow(released(_encoder(tokenizer)), f"id {kind}, ids array<int>")
 
 
@@ -180,8 +193,10 @@ def decode(encoded: DataFrame, tokenizer: str, *, sep: str = " ") -> DataFrame:
 
 def round_trip(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """Encode, then decode, with digests: (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
-    both = decode(encode(docs, tokenizer, id_col=id_col, text_col=text_col), tokenizer)
+    """Encode, then decode, with digests: (doc_id, n_tokens, ids_sha256, decoded_sha256).
+    A task does both in one Python worker: two would each hold a vocabulary and its batches."""
+    rows, kind = _rows(docs, id_col, text_col)
+    both = rows.mapInArrow(released(_both(tokenizer, " ")), f"id {kind}, ids array<int>, decoded string")
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
     return both.select(F.col("id").alias("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"),
                        F.sha2(F.encode(joined, "utf-8"), 256).alias("ids_sha256"),
