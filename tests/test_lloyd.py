@@ -6,7 +6,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from workbench.operators import cluster, lloyd
+from workbench.operators import cluster, kmeans_start, lloyd
 
 
 def points(spark, rows):
@@ -76,3 +76,57 @@ def test_a_step_takes_many_parts_in_few_tasks(spark):
     assert np.allclose(centers, again, rtol=1e-12) and abs(cost - other) < 1e-9 * cost
     matrices.unpersist()
     one.unpersist()
+
+
+@pytest.mark.parametrize("n, parts, k", [(2, 1, 2), (20, 7, 3), (3000, 5, 40), (9000, 70, 12)])
+def test_start_is_that_of_spark_ml(spark, monkeypatch, n, parts, k):
+    """The same rows are drawn, in whatever matrices the rows are packed."""
+    rng = np.random.default_rng(n)
+    rows = np.column_stack([rng.normal(size=n) * 30, rng.integers(0, 3, size=(n, 2)), rng.exponential(size=n)])
+    df = points(spark, rows.tolist()).repartition(parts).cache()
+    for seed in (5, 77):
+        ml = KMeans(k=k, featuresCol="v", maxIter=0, seed=seed).fit(df)
+        matrices = lloyd.packed(df, "v")
+        again, other = kmeans_start.started(matrices, [k, 2 * k], seed)
+        assert np.allclose(again, ml.clusterCenters(), rtol=1e-9) and len(other) <= 2 * k
+        matrices.unpersist()
+
+
+def test_numbers_are_those_of_sparks_generator(spark):
+    for seed in (0, -7, 123456789):
+        java = spark._jvm.org.apache.spark.util.random.XORShiftRandom(seed)
+        assert kmeans_start.uniforms(seed, 100).tolist() == [java.nextDouble() for _ in range(100)]
+
+
+def test_a_step_leaves_out_centers_that_are_far_from_a_group():
+    """Every row was held against every centre, in the steps and in Spark ML's start."""
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.random((20_000, 2)), rng.integers(0, 4, 20_000)])
+    order, ends = lloyd.grouped(x)
+    assert sorted(order) == list(range(len(x))) and ends[-1] == len(x)
+    rows, starts = x[order], np.concatenate(([0], ends[:-1]))
+    groups = lloyd.Groups(rows, ends, np.minimum.reduceat(rows, starts), np.maximum.reduceat(rows, starts))
+    centers = x[:200]
+    left = lloyd._left(groups.low, groups.high, centers, (centers ** 2).sum(axis=1) / 2)
+    assert left.sum(axis=1).mean() < len(centers) / 5
+    assert (lloyd.nearest_of_groups(groups, centers) == lloyd.nearest_center(rows, centers)).all()
+    # equal distances still go to the lower number
+    twice = np.concatenate([centers, centers])
+    assert lloyd.nearest_of_groups(groups, twice).max() < 200
+
+
+def test_fits_of_a_sweep_share_their_passes(spark):
+    rows = np.random.default_rng(4).normal(size=(800, 3)).tolist()
+    df = points(spark, rows).repartition(3).cache()
+    matrices = lloyd.packed(df, "v")
+    alone = [lloyd.Lloyd(k, "v", "c", max_iter=6, tol=1e-4, seed=9).fit(df) for k in (2, 5, 9)]
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    sc.setJobGroup("lloyd-sweep", "three fits")
+    together = lloyd.fitted(matrices, [2, 5, 9], "v", "c", max_iter=6, tol=1e-4, seed=9)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    for a, b in zip(alone, together):
+        assert np.allclose(a.clusterCenters(), b.clusterCenters(), rtol=1e-9)
+        assert a.summary.trainingCost == pytest.approx(b.summary.trainingCost) and a.summary.numIter == b.summary.numIter
+    # passes: sizes, first row, two costs and draws, weights, six steps and the cost, some of them two jobs
+    assert len(tracker.getJobIdsForGroup("lloyd-sweep")) <= 3 * (1 + 1 + 4 + 1 + 6 + 1)
+    matrices.unpersist()

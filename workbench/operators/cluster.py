@@ -2,8 +2,8 @@
 label-entropy sweeps over k, cluster/label tables, fixed-centre assignment and
 distance-threshold anomalies.
 
-Sweeps prepare features once, pack them, and fit several k from driver threads, as many at a
-time as their rows allow; only k-means itself is refitted per k (``operators.lloyd``).
+Sweeps prepare features once, pack them, and fit all k in the same passes over the rows
+(``operators.lloyd``).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from workbench.functions.bounded import only_row
 from workbench.functions.partitions import spread
 from workbench.functions.vectors import as_double_array, nearest, sqdist
-from workbench.operators.lloyd import Lloyd, LloydModel, packed
+from workbench.operators.lloyd import Lloyd, LloydModel, fitted, packed
 from workbench.session import ensure_checkpoint_dir, materialised
 
 # The k ranges swept by the cost and entropy studies.
@@ -57,8 +57,8 @@ def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), *,
 
 
 def kmeans(k: int, features: str, *, max_iter: int = 20, tol: float = 1e-4,
-           seed: int = 42, matrices: DataFrame | None = None) -> Lloyd:
-    return Lloyd(k, features, "cluster", max_iter=max_iter, tol=tol, seed=seed, matrices=matrices)
+           seed: int = 42) -> Lloyd:
+    return Lloyd(k, features, "cluster", max_iter=max_iter, tol=tol, seed=seed)
 
 
 def fit_clusters(df: DataFrame, k: int, *, numeric: Sequence[str],
@@ -100,6 +100,16 @@ def _each(ks: Sequence[int], run, parallelism: int | None, rows: int) -> list:
         return list(pool.map(run, ks))
 
 
+def _fits(data: DataFrame, features: str, ks: Sequence[int], parallelism: int | None, **rules) -> list[LloydModel]:
+    """A model for each k, ``parallelism`` of them (all, unless given) in the same passes over the rows."""
+    matrices, at_once = packed(data, features), parallelism or max(1, len(ks))
+    try:
+        return [m for i in range(0, len(ks), at_once)
+                for m in fitted(matrices, ks[i:i + at_once], features, "cluster", **rules)]
+    finally:
+        matrices.unpersist()
+
+
 def kmeans_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
                  categorical: Sequence[str] = (), scale: bool = False,
                  with_mean: bool = False, max_iter: int = 20, tol: float = 1e-4,
@@ -108,17 +118,8 @@ def kmeans_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
     centre (the model's training cost), mean_cost = cost / rows."""
     data, feats = _prepared(df, numeric, categorical, scale, with_mean)
     n = data.count()
-    matrices = packed(data, feats)
-
-    def run(k: int) -> tuple[int, float, float]:
-        model = kmeans(k, feats, max_iter=max_iter, tol=tol, seed=seed, matrices=matrices).fit(data)
-        cost = float(model.summary.trainingCost)
-        return int(k), cost, cost / n
-
-    try:
-        rows = _each(ks, run, parallelism, n)
-    finally:
-        matrices.unpersist()
+    models = _fits(data, feats, ks, parallelism, max_iter=max_iter, tol=tol, seed=seed)
+    rows = [(int(k), m.summary.trainingCost, m.summary.trainingCost / n) for k, m in zip(ks, models)]
     return df.sparkSession.createDataFrame(rows, "k int, cost double, mean_cost double")
 
 
@@ -152,16 +153,11 @@ def entropy_sweep(df: DataFrame, ks: Sequence[int], *, numeric: Sequence[str],
                   seed: int = 42, parallelism: int | None = None) -> DataFrame:
     """(k, entropy): size-weighted label entropy of the clustering at each k."""
     data, feats = _prepared(df, numeric, categorical, scale, False, keep=[label])
-    matrices = packed(data, feats)
+    models = dict(zip(ks, _fits(data, feats, ks, parallelism, max_iter=max_iter, tol=tol, seed=seed)))
 
     def run(k: int) -> tuple[int, float]:
-        model = kmeans(k, feats, max_iter=max_iter, tol=tol, seed=seed, matrices=matrices).fit(data)
-        return int(k), float(only_row(cluster_entropy(model.transform(data), "cluster", label))["entropy"])
-
-    try:
-        rows = _each(ks, run, parallelism, data.count())
-    finally:
-        matrices.unpersist()
+        return int(k), float(only_row(cluster_entropy(models[k].transform(data), "cluster", label))["entropy"])
+    rows = _each(ks, run, parallelism, data.count())
     return df.sparkSession.createDataFrame(rows, "k int, entropy double")
 
 
