@@ -80,16 +80,15 @@ def fit_clusters(df: DataFrame, k: int, *, numeric: Sequence[str],
 def _prepared(df: DataFrame, numeric, categorical, scale, with_mean, keep=(),
               partitions: int | None = None):
     """The feature vectors over a checkpoint of the used columns, which keeps their parts and
-    order. They are not cached: a k-means that is given a cached frame reads and unpacks it
-    again in every step, while one that is not keeps its own vectors until it is done."""
+    order. They are not cached: k-means packs them and reads the matrices."""
     stages, feats = feature_stages(numeric, categorical, scale=scale, with_mean=with_mean)
     ensure_checkpoint_dir(df.sparkSession)
     base = spread(df.select(*dict.fromkeys([*keep, *numeric, *categorical])), partitions).checkpoint()
     return Pipeline(stages=stages).fit(base).transform(base).select(*keep, feats), feats
 
 
-# Most k-means fits of one sweep that run at the same time, and the rows of all of
-# them together: the start of each fit keeps vectors of its own.
+# Most models of one sweep that are applied at the same time, and the rows of all of
+# them together.
 MAX_CONCURRENT_FITS, CONCURRENT_ROWS = 8, 8_000_000
 
 
